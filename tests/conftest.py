@@ -14,8 +14,9 @@ def spark(tmp_path_factory):
         "tests",
         "local[8]",
         {
-            "spark.sql.shuffle.partitions": "8",
-            "spark.ui.enabled": "false",
+            "spark.sql.shuffle.partitions": "4",
+            "spark.default.parallelism": "2",
+            "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "8g",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
         },

@@ -38,12 +38,9 @@ def decode(log: DataFrame, spec: DatasetSpec) -> DataFrame:
     Change events without a key are dropped: deletes, tombstones and messages
     that do not parse. Clicks are all kept, an unreadable one as a row of NULLs.
     """
-    carried = F.col("timestamp").alias("kafka_timestamp")
-    if not spec.change_events:
-        return _flatten(parse_messages(log, spec, carried), spec, "kafka_timestamp")
-    live = log.where(F.col("value").isNotNull())
-    rows = _flatten(parse_messages(live, spec, carried), spec, "kafka_timestamp")
-    return rows.where(F.col(spec.key).isNotNull())
+    parsed = parse_messages(log, spec, F.col("timestamp").alias("kafka_timestamp"))
+    rows = _flatten(parsed, spec, "kafka_timestamp")
+    return rows.where(F.col(spec.key).isNotNull()) if spec.change_events else rows
 
 
 def rejected(log: DataFrame, spec: DatasetSpec) -> DataFrame:

@@ -28,9 +28,11 @@ def recent_days(frame: DataFrame, column: str, days: int | None) -> DataFrame:
     """
     if days is None or column not in frame.columns:
         return frame
-    time = lenient_timestamp(F.col(column), dict(frame.dtypes)[column])
+    kind = dict(frame.dtypes)[column]
+    # A date is compared as a date: a cast would hide the column from the reader.
+    time = F.col(column) if kind == "date" else lenient_timestamp(F.col(column), kind)
     newest = F.max(time)
-    cutoff = frame.agg((newest - F.expr(f"INTERVAL {int(days)} DAYS")).alias("cutoff"))
+    cutoff = frame.agg((newest - F.expr(f"INTERVAL '{int(days)}' DAY")).alias("cutoff"))
     recent = frame.where(time >= cutoff.scalar())
     undated = frame.where(time.isNull() & cutoff.scalar().isNull())
     return recent.unionAll(undated)

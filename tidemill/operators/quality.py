@@ -112,12 +112,12 @@ def duplicate_keys(frame: DataFrame, *key: str) -> DataFrame:
 def orphans(child: DataFrame, column: str, parent: DataFrame, key: str) -> DataFrame:
     """Referenced keys the parent lacks, with their number of child rows; NULL refers to nothing.
 
-    The child is counted per key before the join, so a hot key meets the parent as one row.
+    Both sides are cut to one row per key before they meet, however often a key occurs.
     """
     referred = (
         child.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("rows"))
     )
-    known = parent.select(F.col(key).alias(column))
+    known = parent.select(F.col(key).alias(column)).distinct()
     return referred.join(known, column, "left_anti")
 
 

@@ -9,6 +9,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import DataStreamReader
 
 # Where a reader without a checkpoint starts.
 BACKFILL_OFFSETS = "earliest"
@@ -100,12 +101,17 @@ class FileLog:
     def stream(
         self, spark: SparkSession, topic: str, starting: str = FOLLOW_OFFSETS
     ) -> DataFrame:
-        return self._all_stream(spark).where(F.col("topic") == topic)
+        # A glob for exactly this folder: unlike a plain path it need not exist yet.
+        folder = f"{self.path}/topic={topic[:-1]}[{topic[-1]}]"
+        columns = T.StructType([f for f in LOG_SCHEMA if f.name != "topic"])
+        messages = self._stream_reader(spark).schema(columns).parquet(folder)
+        return messages.withColumn("topic", F.lit(topic))
 
     def stream_matching(
         self, spark: SparkSession, pattern: str, starting: str = AUDIT_OFFSETS
     ) -> DataFrame:
-        return self._all_stream(spark).where(F.col("topic").rlike(f"^(?:{pattern})$"))
+        messages = self._stream_reader(spark).schema(LOG_SCHEMA).parquet(self.path)
+        return messages.where(F.col("topic").rlike(f"^(?:{pattern})$"))
 
     def read_matching(self, spark: SparkSession, pattern: str) -> DataFrame:
         return self._all(spark).where(F.col("topic").rlike(f"^(?:{pattern})$"))
@@ -117,8 +123,8 @@ class FileLog:
     def _all(self, spark: SparkSession) -> DataFrame:
         return spark.read.schema(LOG_SCHEMA).parquet(self.path)
 
-    def _all_stream(self, spark: SparkSession) -> DataFrame:
-        reader = spark.readStream.schema(LOG_SCHEMA)
+    def _stream_reader(self, spark: SparkSession) -> DataStreamReader:
+        reader = spark.readStream
         if self.max_files_per_trigger:
             reader = reader.option("maxFilesPerTrigger", self.max_files_per_trigger)
-        return reader.parquet(self.path)
+        return reader

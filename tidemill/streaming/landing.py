@@ -104,6 +104,8 @@ def run_all(
     specs = list(specs)
     queries: list[StreamingQuery] = []
     bounded = bool(trigger and trigger.get("availableNow"))
+    # Queries that ended before, a backfill for one, are not what is waited for.
+    spark.streams.resetTerminated()
     try:
         for spec in specs:
             queries.append(

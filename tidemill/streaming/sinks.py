@@ -18,12 +18,16 @@ def land_stream(
     checkpoint: str,
     trigger: dict | None = None,
     name: str | None = None,
+    files_per_batch: int | None = None,
 ) -> StreamingQuery:
     """Append a stream to a partitioned Parquet folder, exactly once.
 
     ``trigger`` is what ``writeStream.trigger`` takes; the default of a minute
-    bounds the number of files. A path takes one query with one checkpoint.
+    bounds the number of files, as does ``files_per_batch``, which joins input
+    splits without a shuffle. A path takes one query with one checkpoint.
     """
+    if files_per_batch:
+        rows = rows.coalesce(files_per_batch)
     writer = (
         rows.writeStream.format("parquet")
         .outputMode("append")
@@ -50,14 +54,22 @@ def land_batch(rows: DataFrame, path: str) -> None:
     rows.write.mode("append").partitionBy(*PARTITION_COLUMNS).parquet(path)
 
 
-def print_stream(rows: DataFrame, shown: int = 10, trigger: dict | None = None) -> StreamingQuery:
-    """Print the first rows of every micro-batch in full width."""
-    writer = (
-        rows.writeStream.format("console")
-        .outputMode("append")
-        .option("truncate", "false")
-        .option("numRows", shown)
-    )
+def print_stream(
+    rows: DataFrame, shown: int = 10, trigger: dict | None = None, checkpoint: str | None = None
+) -> StreamingQuery:
+    """Print the first rows of every micro-batch in full width.
+
+    Unlike the built-in console sink, which fetches a whole micro-batch to print
+    its head, this brings only the printed rows to the driver.
+    """
+
+    def show(batch: DataFrame, batch_id: int) -> None:
+        print(f"Batch {batch_id}")
+        batch.show(shown, truncate=False)
+
+    writer = rows.writeStream.foreachBatch(show).outputMode("append")
+    if checkpoint:
+        writer = writer.option("checkpointLocation", checkpoint)
     return (writer.trigger(**trigger) if trigger else writer).start()
 
 
