@@ -146,6 +146,27 @@ def revenue_by_day(
     return daily.agg(money.total(F.col(amount)).alias("revenue")).orderBy("order_day")
 
 
+def _in_band(value: Column, lower: float | None, upper: float) -> Column:
+    above = value >= 0 if lower is None else value > lower
+    # NaN sorts above every number in Spark, but is a missing amount here.
+    return above & (value <= upper) & ~F.isnan(value)
+
+
+def _band_conditions(
+    value: Column, bands: tuple[tuple[float, str], ...]
+) -> list[tuple[str, Column]]:
+    lowers = [None, *[upper for upper, _ in bands]]
+    return [(label, _in_band(value, low, up)) for low, (up, label) in zip(lowers, bands)]
+
+
+def value_band(
+    amount: Column, bands: tuple[tuple[float, str], ...] = VALUE_BANDS
+) -> Column:
+    """The label of an amount's band, NULL in none."""
+    labels = [F.when(inside, label) for label, inside in _band_conditions(amount, bands)]
+    return F.coalesce(*labels)
+
+
 def value_bands(
     orders: DataFrame,
     amount: str = "total_amount",
@@ -156,17 +177,10 @@ def value_bands(
     A band includes its upper edge, the first also 0; negative and missing
     amounts are in none.
     """
-    value = F.col(amount)
-    lower = None
-    counts = []
-    for upper, _ in bands:
-        above = value >= 0 if lower is None else value > lower
-        # NaN sorts above every number in Spark, but is a missing amount here.
-        counts.append(F.count_if(above & (value <= upper) & ~F.isnan(value)))
-        lower = upper
-    one_row = orders.agg(*[c.alias(f"band_{i}") for i, c in enumerate(counts)])
-    rows = [(label, F.col(f"band_{i}")) for i, (_, label) in enumerate(bands)]
-    return _stack(one_row, ("band", "orders"), rows)
+    conditions = _band_conditions(F.col(amount), bands)
+    counts = [F.count_if(inside).alias(f"band_{i}") for i, (_, inside) in enumerate(conditions)]
+    rows = [(label, F.col(f"band_{i}")) for i, (label, _) in enumerate(conditions)]
+    return _stack(orders.agg(*counts), ("band", "orders"), rows)
 
 
 def payment_success_rate(payments: DataFrame, status: str = "status") -> DataFrame:
@@ -236,3 +250,28 @@ def funnel_reach(
         rows.append((n, step, reach, share, F.try_divide(reach, before)))
     names = ("step", "event_type", "sessions", "share_of_first", "share_of_previous")
     return _stack(reached, names, rows)
+
+
+def in_one_pass(
+    frame: DataFrame, keys: dict[str, Column], measures: dict[str, Column]
+) -> DataFrame:
+    """Several charts and the total from one scan, by grouping sets.
+
+    A row per chart and value (as text), the total under ``all``; rows without
+    a value are in the total only. Partial aggregation cuts each task's rows to
+    the values it saw.
+    """
+    names = list(keys)
+    keyed = frame.withColumns({f"__{n}": key for n, key in keys.items()})
+    marked = [f"__{n}" for n in names]
+    sets = keyed.groupingSets([[m] for m in marked] + [[]], *marked).agg(
+        *[measure.alias(n) for n, measure in measures.items()],
+        *[F.grouping(m).alias(f"{m}_absent") for m in marked],
+    )
+    grouped = [(n, F.col(f"__{n}_absent") == 0) for n in names]
+    chart = F.coalesce(*[F.when(present, n) for n, present in grouped], F.lit("all"))
+    value = F.coalesce(
+        *[F.when(present, F.col(f"__{n}").cast("string")) for n, present in grouped]
+    )
+    rows = sets.select(chart.alias("chart"), value.alias("value"), *measures)
+    return rows.where(F.col("value").isNotNull() | (F.col("chart") == "all"))

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemill.catalog import DATASETS
+from tidemill.functions import money
+from tidemill.functions.temporal import minute_label
 from tidemill.operators import kpi
 from tidemill.operators.filters import (
     DEFAULT_WINDOW,
@@ -74,39 +79,109 @@ def choose(name: str, frame: DataFrame, choices: Choices) -> DataFrame:
     return frame
 
 
-def option_lists(frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
+def option_lists(frames: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     """The values on offer, from the data before any filter."""
     return {name: options(frames[name], column) for name, column in OPTION_COLUMNS.items()}
 
 
-def sections(frames: dict[str, DataFrame], choices: Choices = Choices()) -> dict[str, DataFrame]:
-    """Every figure of the report, each a DataFrame of its own, by name."""
-    seen = {name: choose(name, frame, choices) for name, frame in frames.items()}
-    orders, payments = seen["orders"], seen["payments"]
-    events, tickets = seen["web_events"], seen["support_tickets"]
-    card = kpi.overview(orders, payments, seen["customers"], seen["products"])
+def _health(*frames: DataFrame) -> DataFrame:
+    return kpi.dataset_health(dict(zip(kpi.FRESHNESS_COLUMNS, frames)))
+
+
+def _overview_labels(*frames: DataFrame) -> DataFrame:
+    return kpi.overview_labels(kpi.overview(*frames))
+
+
+# Every figure of the report: the datasets it is made of, and how.
+FIGURES: dict[str, tuple[tuple[str, ...], Callable[..., DataFrame]]] = {
+    "overview": (("orders", "payments", "customers", "products"), kpi.overview),
+    "overview_labels": (("orders", "payments", "customers", "products"), _overview_labels),
+    "web_event_rows": (("web_events",), partial(kpi.row_count, name="web_events")),
+    "dataset_health": (tuple(kpi.FRESHNESS_COLUMNS), _health),
+    "orders_by_status": (("orders",), partial(kpi.count_by, key="status", name="orders")),
+    "revenue_by_day": (("orders",), kpi.revenue_by_day),
+    "order_value_bands": (("orders",), kpi.value_bands),
+    "payment_success_rate": (("payments",), kpi.payment_success_rate),
+    "payments_by_status": (("payments",), partial(kpi.count_by, key="status", name="payments")),
+    "payments_by_method": (
+        ("payments",),
+        partial(kpi.count_by, key="payment_method", name="payments"),
+    ),
+    "events_by_type": (("web_events",), partial(kpi.count_by, key="event_type", name="events")),
+    "hourly_events": (("web_events",), kpi.hourly_events),
+    "sessions_and_purchases": (("web_events",), kpi.sessions_and_purchases),
+    "tickets_by_priority": (
+        ("support_tickets",),
+        partial(kpi.count_by, key="priority", name="tickets"),
+    ),
+    "incidents_by_severity": (
+        ("incidents",),
+        partial(kpi.count_by, key="severity", name="incidents"),
+    ),
+    "spend_by_channel": (
+        ("marketing_spend",),
+        partial(kpi.sum_by, key="channel", amount="amount", name="spend"),
+    ),
+}
+
+
+def figure(name: str, frames: Mapping[str, DataFrame], choices: Choices = Choices()) -> DataFrame:
+    """One figure of the report after the reader's choices."""
+    datasets, make = FIGURES[name]
+    return make(*[choose(dataset, frames[dataset], choices) for dataset in datasets])
+
+
+def sections(
+    frames: Mapping[str, DataFrame], choices: Choices = Choices()
+) -> dict[str, DataFrame]:
+    """Every figure of the report, each a DataFrame of its own, by name.
+
+    Each reads the few columns it needs. ``single_pass`` reads a dataset once
+    for all its charts.
+    """
+    return {name: figure(name, frames, choices) for name in FIGURES}
+
+
+def single_pass(
+    frames: Mapping[str, DataFrame], choices: Choices = Choices()
+) -> dict[str, DataFrame]:
+    """The charts of the large datasets, one scan each: rows of (chart, value, measures)."""
+    seen = {
+        name: choose(name, frames[name], choices) for name in ("orders", "payments", "web_events")
+    }
+    amount = F.col("total_amount")
     return {
-        "overview": card,
-        "overview_labels": kpi.overview_labels(card),
-        "web_event_rows": kpi.row_count(events, "web_events"),
-        "dataset_health": kpi.dataset_health(seen),
-        "orders_by_status": kpi.count_by(orders, "status", "orders"),
-        "revenue_by_day": kpi.revenue_by_day(orders),
-        "order_value_bands": kpi.value_bands(orders),
-        "payment_success_rate": kpi.payment_success_rate(payments),
-        "payments_by_status": kpi.count_by(payments, "status", "payments"),
-        "payments_by_method": kpi.count_by(payments, "payment_method", "payments"),
-        "events_by_type": kpi.count_by(events, "event_type", "events"),
-        "hourly_events": kpi.hourly_events(events),
-        "sessions_and_purchases": kpi.sessions_and_purchases(events),
-        "tickets_by_priority": kpi.count_by(tickets, "priority", "tickets"),
-        "incidents_by_severity": kpi.count_by(seen["incidents"], "severity", "incidents"),
-        "spend_by_channel": kpi.sum_by(seen["marketing_spend"], "channel", "amount", "spend"),
+        "orders": kpi.in_one_pass(
+            seen["orders"],
+            {
+                "status": F.col("status"),
+                "order_day": F.col("order_date").cast("date"),
+                "band": kpi.value_band(amount),
+            },
+            {
+                "orders": F.count("*"),
+                "revenue": money.total(amount),
+                "average_order_value": money.mean(amount),
+            },
+        ),
+        "payments": kpi.in_one_pass(
+            seen["payments"],
+            {"status": F.col("status"), "payment_method": F.col("payment_method")},
+            {"payments": F.count("*"), "completed": F.count_if(F.col("status") == "completed")},
+        ),
+        "web_events": kpi.in_one_pass(
+            seen["web_events"],
+            {
+                "event_type": F.col("event_type"),
+                "event_hour": minute_label(F.date_trunc("hour", F.col("event_timestamp"))),
+            },
+            {"events": F.count("*")},
+        ),
     }
 
 
 def previews(
-    frames: dict[str, DataFrame], choices: Choices = Choices(), rows: int = 20
+    frames: Mapping[str, DataFrame], choices: Choices = Choices(), rows: int = 20
 ) -> dict[str, DataFrame]:
     """First rows of the inspected datasets, filtered, newest file first.
 

@@ -322,7 +322,42 @@ TABLE_RULES = {
     ),
 }
 
+def one_pass(relation: str, keys: dict[str, str], measures: str) -> str:
+    charts = [
+        f"SELECT '{name}' AS chart, ({key})::VARCHAR AS value, {measures} FROM {relation} "
+        f"WHERE ({key}) IS NOT NULL GROUP BY 2"
+        for name, key in keys.items()
+    ]
+    return " UNION ALL ".join(
+        [*charts, f"SELECT 'all' AS chart, NULL AS value, {measures} FROM {relation}"]
+    )
+
+
 BODIES = {
+    "orders_in_one_pass": one_pass(
+        "(SELECT * FROM shop_orders WHERE status IS NOT NULL)",
+        {
+            "status": "status",
+            "order_day": "order_date::DATE",
+            "band": "CASE WHEN total_amount < 0 THEN NULL WHEN total_amount <= 100 THEN '0-100' "
+            "WHEN total_amount <= 500 THEN '100-500' WHEN total_amount > 500 THEN '>500' END",
+        },
+        f"count(*) AS orders, {total('total_amount')} AS revenue, "
+        f"{mean('total_amount')} AS average_order_value",
+    ),
+    "payments_in_one_pass": one_pass(
+        "shop_payments",
+        {"status": "status", "payment_method": "payment_method"},
+        "count(*) AS payments, count(*) FILTER (WHERE status = 'completed') AS completed",
+    ),
+    "web_events_in_one_pass": one_pass(
+        "(SELECT * FROM shop_web_events WHERE event_type IS NOT NULL)",
+        {
+            "event_type": "event_type",
+            "event_hour": f"strftime(date_trunc('hour', event_timestamp), {MINUTE})",
+        },
+        "count(*) AS events",
+    ),
     "overview_card": OVERVIEW,
     "overview_labels": f"""
         SELECT {count_text('orders')} AS orders, {money_text('revenue')} AS revenue,

@@ -45,8 +45,9 @@ def comparable(frame: DataFrame) -> DataFrame:
     )
 
 
-def shop(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {name: make(spark, sf_dir) for name, make in SHOP.items()}
+def shop(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
+    """The named datasets, or all of them."""
+    return {name: SHOP[name](spark, sf_dir) for name in names or SHOP}
 
 
 def row_columns(spec: DatasetSpec) -> list[str]:
@@ -58,9 +59,8 @@ def row_columns(spec: DatasetSpec) -> list[str]:
 
 @query
 def overview_card(spark, sf_dir):
-    frames = shop(spark, sf_dir)
     return kpi.overview(
-        frames["orders"], frames["payments"], frames["customers"], frames["products"]
+        *shop(spark, sf_dir, "orders", "payments", "customers", "products").values()
     )
 
 
@@ -202,7 +202,7 @@ def latest_timestamps(spark, sf_dir):
 
 @query
 def dataset_health(spark, sf_dir):
-    return kpi.dataset_health(shop(spark, sf_dir))
+    return kpi.dataset_health(shop(spark, sf_dir, *kpi.FRESHNESS_COLUMNS))
 
 
 @query
@@ -309,7 +309,7 @@ def formatted_customers(spark, sf_dir):
 @query
 def report_over_90_days(spark, sf_dir):
     """The flagship: revenue by day as the report shows it with its default choices."""
-    return dashboard.sections(shop(spark, sf_dir))["revenue_by_day"]
+    return dashboard.figure("revenue_by_day", shop(spark, sf_dir, "orders"))
 
 
 @query
@@ -327,6 +327,18 @@ def report_rows(spark, sf_dir):
     return reduce(DataFrame.unionAll, rows)
 
 
+def _single_pass(dataset: str) -> Query:
+    def run(spark, sf_dir):
+        frames = shop(spark, sf_dir, "orders", "payments", "web_events")
+        return dashboard.single_pass(frames, dashboard.Choices("All"))[dataset]
+
+    return run
+
+
+for _name in ("orders", "payments", "web_events"):
+    QUERIES[f"{_name}_in_one_pass"] = _single_pass(_name)
+
+
 # ---------------------------------------------------------------- decoding and enrichment
 
 
