@@ -49,6 +49,21 @@ def test_revenue_and_mean(spark):
     assert rows(kpi.average_order_value(column(spark, "double", [None]), "v")) == [(0.0,)]
 
 
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.integers(-(10**10) + 1, 10**10 - 1), max_size=30))
+def test_sums_are_exact(spark, amounts):
+    """Every amount of a decimal(10,2) column, in cents."""
+    frame = column(spark, "double", [c / 100 for c in amounts])
+    assert rows(kpi.revenue(frame, "v")) == [(sum(amounts) / 100,)]
+
+
+def test_sums_beyond_a_bigint_of_cents(spark):
+    frame = spark.range(2_000).select(F.lit(8.9e16).alias("v"))
+    assert rows(kpi.revenue(frame, "v")) == [(8.9e16 * 2_000,)]
+    skipped = column(spark, "double", [1.0, float("inf"), -float("inf"), 1e300])
+    assert rows(kpi.revenue(skipped, "v")) == [(1.0,)]
+
+
 def test_success_rate_counts_missing_status(spark):
     rate = kpi.payment_success_rate(column(spark, "string", ["completed", None, "x"]), "v")
     assert rate.first()[0] == pytest.approx(100 / 3)
@@ -161,14 +176,20 @@ def test_funnel(spark):
     assert rows(kpi.funnel_reach(frame.limit(0)))[0] == (1, "page_view", 0, None, None)
 
 
+# Quantity and price; an exact half of a cent goes to the even one.
+PRICES = [(3, 1.1), (3, 0.1), (1, 0.125), (-1, 2.5)]
+
+
 def test_formats(spark):
     frame = spark.range(1).select(
         money.format_count(F.lit(1234567)),
         money.format_currency(F.lit(1234.5)),
         money.format_currency(F.lit(-1234.5)),
+        F.concat_ws(" ", *[money.line_total(F.lit(q), F.lit(p)) for q, p in PRICES]),
         temporal.minute_label(F.lit(dt.datetime(2024, 1, 2, 3, 4, 59))),
         temporal.month_tag(F.lit(dt.date(2024, 1, 2))),
     )
     assert rows(frame) == [
-        ("1,234,567", "$1,234.50", "$-1,234.50", "2024-01-02 03:04", "_202401")
+        ("1,234,567", "$1,234.50", "$-1,234.50", "3.3 0.3 0.12 -2.5", "2024-01-02 03:04",
+         "_202401")
     ]

@@ -1,32 +1,44 @@
-"""Money: doubles in the lake, decimals while they are added up, text in reports."""
+"""Money: doubles in the lake, whole cents while they are added up, text in reports."""
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Cents are added up in two parts of this many bits and more, so that neither
+# sum can run over: the low parts of 2^43 rows fit a bigint, as do the high
+# parts of as many amounts of a decimal(10,2) column.
+LOW_BITS = 20
+LARGEST = 9e16
 
-def cents_exact(amount: Column) -> Column:
-    """A double amount as a decimal, so that sums do not depend on the order of rows.
 
-    NaN and values outside the range become NULL, that is, are skipped by sums.
-    """
-    return amount.try_cast("decimal(18,2)")
+def cents(amount: Column) -> Column:
+    """A double amount in whole cents; NULL for NaN and what no bigint of cents can hold."""
+    return F.when(F.abs(amount) < LARGEST, F.rint(amount * 100).cast("bigint"))
 
 
 def total(amount: Column) -> Column:
-    """Exact sum as a double; 0.0 when there is nothing to add."""
-    return F.coalesce(F.sum(cents_exact(amount)).cast("double"), F.lit(0.0))
+    """Exact sum as a double, whatever the order of rows; 0.0 when there is nothing to add.
+
+    Two bigint sums cost a fifth of one decimal sum.
+    """
+    whole = cents(amount)
+    high = F.sum(F.shiftright(whole, LOW_BITS)).cast("decimal(20,0)")
+    low = F.sum(whole.bitwiseAND(F.lit((1 << LOW_BITS) - 1))).cast("decimal(20,0)")
+    both = (high * F.lit(Decimal(1 << LOW_BITS)) + low) * F.lit(Decimal("0.01"))
+    return F.coalesce(both.cast("double"), F.lit(0.0))
 
 
 def mean(amount: Column) -> Column:
     """Mean of the non-NULL amounts; 0.0 when there are none."""
-    exact = cents_exact(amount)
-    return F.coalesce(F.try_divide(F.sum(exact).cast("double"), F.count(exact)), F.lit(0.0))
+    return F.coalesce(F.try_divide(total(amount), F.count(cents(amount))), F.lit(0.0))
 
 
 def line_total(quantity: Column, unit_price: Column) -> Column:
-    return F.round(quantity * unit_price, 2)
+    """Quantity times price, in whole cents."""
+    return F.rint(quantity * unit_price * 100) / 100
 
 
 def format_count(value: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -121,26 +121,29 @@ def orphans(child: DataFrame, column: str, parent: DataFrame, key: str) -> DataF
     return referred.join(known, column, "left_anti")
 
 
-def violations(frame: DataFrame, rules: dict[str, Column]) -> DataFrame:
-    """Rows breaking each named rule, all counted in one pass; an unbroken rule has 0."""
-    names = list(rules)
-    counts = frame.agg(*[F.count_if(rules[n]).alias(f"rule_{i}") for i, n in enumerate(names)])
-    cells = [c for i, n in enumerate(names) for c in (F.lit(n), F.col(f"rule_{i}"))]
-    return counts.select(F.stack(F.lit(len(names)), *cells).alias("rule", "rows"))
+def violations(frame: DataFrame, rules: dict[str, str]) -> DataFrame:
+    """Rows breaking each named rule (a SQL condition), all counted in one pass.
+
+    An unbroken rule has 0.
+    """
+    counts = [f"count_if({broken}) AS rule_{i}" for i, broken in enumerate(rules.values())]
+    cells = ", ".join(f"'{name}', rule_{i}" for i, name in enumerate(rules))
+    stacked = f"stack({len(rules)}, {cells}) AS (rule, rows)"
+    return frame.selectExpr(*counts).selectExpr(stacked)
 
 
-def missing(column: str) -> Column:
+def missing(column: str) -> str:
     """The column must have a value."""
-    return F.col(column).isNull()
+    return f"`{column}` IS NULL"
 
 
-def too_long(column: str, limit: int) -> Column:
-    return F.length(column) > limit
+def too_long(column: str, limit: int) -> str:
+    return f"length(`{column}`) > {int(limit)}"
 
 
-def no_money(column: str) -> Column:
+def no_money(column: str) -> str:
     """The value does not fit a decimal(10,2)."""
-    return F.col(column).isNotNull() & F.col(column).try_cast("decimal(10,2)").isNull()
+    return f"`{column}` IS NOT NULL AND try_cast(`{column}` AS decimal(10,2)) IS NULL"
 
 
 def table_violations(frame: DataFrame, rules: TableRules) -> DataFrame:

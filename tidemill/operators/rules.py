@@ -36,8 +36,7 @@ def order_total_mismatches(orders: DataFrame, items: DataFrame) -> DataFrame:
     joined = orders.select("order_id", "total_amount").join(
         order_rollup(items), "order_id", "left"
     )
-    total = money.cents_exact(F.col("total_amount"))
-    same = total.eqNullSafe(money.cents_exact(F.col("items_total")))
+    same = money.cents(F.col("total_amount")).eqNullSafe(money.cents(F.col("items_total")))
     return joined.where(~same).select("order_id", "total_amount", "items_total")
 
 
@@ -46,8 +45,7 @@ def payment_amount_mismatches(payments: DataFrame, orders: DataFrame) -> DataFra
     joined = payments.select("payment_id", "order_id", "amount").join(
         orders.select("order_id", "total_amount"), "order_id"
     )
-    amount = money.cents_exact(F.col("amount"))
-    same = amount.eqNullSafe(money.cents_exact(F.col("total_amount")))
+    same = money.cents(F.col("amount")).eqNullSafe(money.cents(F.col("total_amount")))
     return joined.where(~same).select("payment_id", "order_id", "amount", "total_amount")
 
 
