@@ -33,7 +33,7 @@ def test_previous_value_across_cells(spark):
         (
             # One session holds most of the events, some have none.
             rng.choice(["hot", "hot", "hot", "b", None]),
-            rng.choice([None, NOON + dt.timedelta(seconds=rng.randrange(600))]),
+            rng.choice([None, NOON + dt.timedelta(rng.choice([0, 0, 1, 40]), rng.randrange(600))]),
             f"e{i:04}",
             rng.choice(["x", "y", None]),
         )
@@ -41,9 +41,9 @@ def test_previous_value_across_cells(spark):
     ]
     schema = "session string, time timestamp, id string, value string"
     frame = spark.createDataFrame(events, schema)
-    for cell in ("second", "minute", "day"):
+    for cells in (("day", "minute"), ("hour", "minute", "second"), ("second",)):
         linked = rules.with_previous(
-            frame, "session", "time", "id", "value", "before", first="root", cell=cell
+            frame, "session", "time", "id", "value", "before", first="root", cells=cells
         )
         assert linked.columns == [*frame.columns, "before"]
         assert rows(linked.select("id", "before")) == by_hand(events, "root")

@@ -19,13 +19,15 @@ def insert_ignore(
     ``order_by`` says which row of a key is first and must decide between any
     two. A NULL key is refused, as a primary key refuses it. Spark cuts each
     task's rows to one per key before the shuffle (a row_number limit), so a
-    hot key stays small.
+    hot key stays small. Of the target only keys the batch holds are kept: while
+    the batch is small enough to broadcast, the target is not shuffled.
     """
     keys = [key] if isinstance(key, str) else key
     known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order_by))
     first = batch.where(known).withColumn("__place", place).where("__place = 1").drop("__place")
-    taken = target.select(*keys).distinct()
+    offered = batch.select(*keys).where(known).distinct()
+    taken = target.select(*keys).join(offered, keys, "left_semi").distinct()
     return first.join(taken, keys, "left_anti").select(*batch.columns)
 
 
@@ -70,13 +72,16 @@ def insert_ignore_unique(
 
 def _without_values(rows: DataFrame, taken: DataFrame, key: str) -> DataFrame:
     """Rows whose key is not taken; a NULL key is never taken."""
-    return rows.join(taken.select(key).where(F.col(key).isNotNull()).distinct(), key, "left_anti")
+    offered = rows.select(key).where(F.col(key).isNotNull()).distinct()
+    held = taken.select(key).join(offered, key, "left_semi").distinct()
+    return rows.join(held, key, "left_anti")
 
 
 def _first_per_value(rows: DataFrame, key: str) -> DataFrame:
     """Order of the first row per key value; a row without a value is first on its own."""
     alone = F.when(F.col(key).isNull(), F.col("__order"))
-    return rows.groupBy(key, alone.alias("__alone")).agg(F.min("__order").alias("__order")).select("__order")
+    firsts = rows.groupBy(key, alone.alias("__alone")).agg(F.min("__order").alias("__order"))
+    return firsts.select("__order")
 
 
 def _union_or_empty(frames: list[DataFrame], like: DataFrame) -> DataFrame:

@@ -95,43 +95,58 @@ def with_previous(
     value: str,
     name: str = "previous",
     first: str | None = SITE_ROOT,
-    cell: str = "minute",
+    cells: tuple[str, ...] = ("day", "minute"),
 ) -> DataFrame:
     """Add the value of the session's event before this one, or ``first``.
 
     Equal to ``lag(value) OVER (PARTITION BY session ORDER BY time, tie)``, but
-    a session that holds a large part of all events is cut into ``cell`` long
-    pieces, each a task's work of its own. The last value of every piece is
-    carried into the session's next piece, where it sorts before the events.
-    Events without a time have no place in the order: they get ``first`` and
-    precede nothing.
+    a session that holds a large part of all events is cut into pieces as long
+    as the last of the ``cells``, each a task's work of its own. The last value
+    of a piece is carried into the session's next piece, where it sorts before
+    the events. Events without a time have no place in the order: they get
+    ``first`` and precede nothing.
     """
-    piece, rank, kind = "__cell", "__rank", dict(events.dtypes)[time]
-    start = F.date_trunc(cell, F.col(time)).cast(kind)
-    dated = events.withColumn(piece, start)
-
-    last = F.max_by(F.struct(value), F.struct(time, tie))
+    kind = dict(events.dtypes)[time]
+    marks = [f"__{cell}" for cell in cells]
+    dated = events.withColumns(
+        {m: F.date_trunc(c, F.col(time)).cast(kind) for m, c in zip(marks, cells)}
+    )
     tails = (
         dated.where(F.col(time).isNotNull())
-        .groupBy(session, piece)
-        .agg(last.alias("__last"))
+        .groupBy(session, *marks)
+        .agg(F.max_by(F.struct(value), F.struct(time, tie)).alias("__last"))
     )
-    # One row per piece, so at most as many rows per session as its time span has cells.
-    following = F.lead(piece).over(Window.partitionBy(session).orderBy(piece))
-    carried = (
-        tails.withColumn("__next", following)
-        .where(F.col("__next").isNotNull())
-        .select(
-            session,
-            F.col("__next").alias(piece),
-            F.col(f"__last.{value}").alias(value),
-            F.lit(0).alias(rank),
-        )
-    )
-    rows = dated.withColumn(rank, F.lit(1)).unionByName(carried, allowMissingColumns=True)
+    rows = dated.withColumn("__rank", F.lit(1))
+    for carried in _carried(tails, session, marks):
+        brought = carried.select(session, *marks, "__last.*", F.lit(0).alias("__rank"))
+        rows = rows.unionByName(brought, allowMissingColumns=True)
     # Undated events would share one piece; the tie column sets them apart.
-    undated = F.when(F.col(piece).isNull(), F.col(tie))
-    order = Window.partitionBy(session, piece, undated).orderBy(rank, time, tie)
+    undated = F.when(F.col(marks[-1]).isNull(), F.col(tie))
+    order = Window.partitionBy(session, *marks, undated).orderBy("__rank", time, tie)
     before = F.lag(F.struct(value)).over(order)
     previous = F.when(before.isNull(), F.lit(first)).otherwise(before.getField(value))
-    return rows.withColumn(name, previous).where(F.col(rank) == 1).drop(piece, rank)
+    return rows.withColumn(name, previous).where(F.col("__rank") == 1).drop(*marks, "__rank")
+
+
+def _carried(tails: DataFrame, session: str, marks: list[str]) -> list[DataFrame]:
+    """Each piece's last value, moved to the next piece of the session.
+
+    From the shortest cells up: a piece hands its value to the next one within
+    the longer cell, and the last of them to the first piece of the next longer
+    cell. A window thus holds at most the pieces of one cell, and at the top
+    the cells of the session's time span.
+    """
+    pieces = tails.withColumn("__start", F.struct(*marks))
+    moves = []
+    for depth in reversed(range(len(marks))):
+        longer = [session, *marks[:depth]]
+        following = F.lead("__start").over(Window.partitionBy(*longer).orderBy(marks[depth]))
+        linked = pieces.withColumn("__next", following)
+        moves.append(
+            linked.where(F.col("__next").isNotNull()).select(session, "__next.*", "__last")
+        )
+        pieces = linked.groupBy(*longer).agg(
+            F.min_by("__start", marks[depth]).alias("__start"),
+            F.max_by("__last", marks[depth]).alias("__last"),
+        )
+    return moves

@@ -705,7 +705,7 @@ def previous_step(spark, sf_dir):
 
 @query
 def previous_step_by_user(spark, sf_dir):
-    """Sessions that span the month, cut into days on the way."""
+    """Sessions that span the month, cut into days, hours and minutes on the way."""
     linked = rules.with_previous(
         SHOP["web_events"](spark, sf_dir),
         "customer_id",
@@ -714,7 +714,7 @@ def previous_step_by_user(spark, sf_dir):
         "event_type",
         "before",
         first=None,
-        cell="day",
+        cells=("day", "hour", "minute"),
     )
     return linked.select("event_id", "before")
 
