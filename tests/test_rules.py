@@ -49,6 +49,35 @@ def test_previous_value_across_cells(spark):
         assert rows(linked.select("id", "before")) == by_hand(events, "root")
 
 
+def test_hot_session_is_spread(spark):
+    """A third of the events in one session: no task gets much more than its share."""
+    settings = {
+        "spark.sql.shuffle.partitions": "16",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for key, setting in settings.items():
+        spark.conf.set(key, setting)
+    try:
+        events = spark.range(0, 60_000, 1, 4).select(
+            F.expr("IF(id % 3 = 0, 'hot', concat('s', id DIV 30))").alias("s"),
+            F.timestamp_seconds(F.lit(1704067200) + F.col("id") * 2).alias("t"),
+            F.format_string("%08d", "id").alias("i"),
+            F.col("id").cast("string").alias("v"),
+        )
+        linked = rules.with_previous(events, "s", "t", "i", "v")
+        sizes = linked.groupBy(F.spark_partition_id().alias("p")).agg(
+            # Counts every row, through the new column, so that it is not pruned away.
+            F.count("previous").alias("n")
+        )
+        assert max(r.n for r in sizes.collect()) < 2 * 60_000 / 16
+        hot = linked.where("s = 'hot' AND v <> '0'")
+        assert hot.where("CAST(previous AS bigint) = CAST(v AS bigint) - 3").count() == 19_999
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def test_first_page_comes_from_the_site_root(spark):
     frame = spark.createDataFrame([("s", NOON, "e", "p")], "s string, t timestamp, i string, v string")
     assert rows(rules.with_previous(frame, "s", "t", "i", "v").select("previous")) == [

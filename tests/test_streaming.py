@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -136,6 +137,33 @@ def test_one_failing_query_stops_all(spark, places):
     assert not spark.streams.active
 
 
+def test_landed_times_can_be_skipped_by(spark, places):
+    """Landed files keep statistics of their times, which a recent window needs."""
+    log, root, checkpoints = places
+    log.append(order_messages(spark, 0, 10))
+    landing.backfill(spark, catalog.ORDERS, log, root, checkpoints)
+    (path,) = lake.newest_files(spark, catalog.ORDERS.lake_path(root), 5)
+    footer = pq.ParquetFile(path.removeprefix("file:")).metadata
+    names = [footer.row_group(0).column(i).path_in_schema for i in range(footer.num_columns)]
+    times = footer.row_group(0).column(names.index("order_date"))
+    assert times.physical_type == "INT64" and times.statistics.has_min_max
+
+
+def test_hook_runs_before_the_write(spark, places):
+    log, root, checkpoints = places
+    log.append(order_messages(spark, 0, 10))
+    landing.land_dataset(
+        spark,
+        catalog.ORDERS,
+        log,
+        root,
+        checkpoints,
+        trigger=sinks.ONCE,
+        hook=lambda rows: rows.where("total_amount >= 5"),
+    ).awaitTermination()
+    assert landed(spark, root).count() == 5
+
+
 def test_files_per_batch(spark, places, tmp_path):
     log, root, checkpoints = places
     for start in range(0, 60, 10):

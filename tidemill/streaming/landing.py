@@ -6,7 +6,7 @@ nothing between them is lost or landed twice, and a restart adds nothing.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -53,10 +53,16 @@ def land_dataset(
     checkpoints: str,
     topic_prefix: str = "shop",
     trigger: dict | None = None,
+    hook: Callable[[DataFrame], DataFrame] | None = None,
 ) -> StreamingQuery:
-    """Start landing one dataset: history first where the lake has none, then what follows."""
+    """Start landing one dataset: history first where the lake has none, then what follows.
+
+    ``hook`` may change the rows before they are written.
+    """
     starting = starting_offsets(spark, spec, lake)
     rows = lake_rows(spark, spec, log, topic_prefix, starting)
+    if hook is not None:
+        rows = rows.transform(hook)
     return land_stream(
         rows, spec.lake_path(lake), spec.checkpoint_path(checkpoints), trigger, spec.name
     )
