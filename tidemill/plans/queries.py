@@ -498,10 +498,11 @@ def _mixed_messages(spark, sf_dir):
 
 @query
 def topic_routing(spark, sf_dir):
-    """Messages per dataset after each has picked its own topic."""
-    messages = _mixed_messages(spark, sf_dir)
+    """Messages per dataset, each reading its own topic of one log."""
+    log = FileLog(scratch_path(spark, "log"))
+    log.append(_mixed_messages(spark, sf_dir))
     routed = [
-        messages.where(F.col("topic") == spec.topic(PREFIX)).agg(
+        log.read(spark, spec.topic(PREFIX)).agg(
             F.lit(spec.name).alias("dataset"), F.count("*").alias("messages")
         )
         for spec in DATASETS

@@ -96,7 +96,7 @@ class FileLog:
     def read(
         self, spark: SparkSession, topic: str, starting: str = BACKFILL_OFFSETS
     ) -> DataFrame:
-        return self._all(spark).where(F.col("topic") == topic)
+        return spark.read.schema(LOG_SCHEMA).parquet(self.path).where(F.col("topic") == topic)
 
     def stream(
         self, spark: SparkSession, topic: str, starting: str = FOLLOW_OFFSETS
@@ -113,16 +113,10 @@ class FileLog:
         messages = self._stream_reader(spark).schema(LOG_SCHEMA).parquet(self.path)
         return messages.where(F.col("topic").rlike(f"^(?:{pattern})$"))
 
-    def read_matching(self, spark: SparkSession, pattern: str) -> DataFrame:
-        return self._all(spark).where(F.col("topic").rlike(f"^(?:{pattern})$"))
-
     def append(self, messages: DataFrame) -> None:
         """Add log rows (any of the log columns, ``topic`` among them)."""
         messages.write.mode("append").partitionBy("topic").parquet(self.path)
 
-    def _all(self, spark: SparkSession) -> DataFrame:
-        return spark.read.schema(LOG_SCHEMA).parquet(self.path)
-
     def _stream_reader(self, spark: SparkSession) -> DataStreamReader:
         reader = spark.readStream
         if self.max_files_per_trigger:
