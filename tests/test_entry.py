@@ -43,6 +43,19 @@ def test_query_equals_its_sql(spark, connection, name):
         assert differences(frame, connection, entry_points.oracle_sql()[name]) == ""
 
 
+def test_report_of_an_empty_lake(spark, tmp_path):
+    frames = dashboard.load_lake(spark, str(tmp_path), newest_only=True, located=True)
+    figures = {name: frame.collect() for name, frame in dashboard.sections(frames).items()}
+    assert figures["overview"] == [(0, 0.0, 0.0, 0, 0, 0)]
+    assert {(r.rows, r.latest) for r in figures["dataset_health"]} == {(0, "n/a")}
+    assert figures["payment_success_rate"] == [(0.0,)]
+    assert [r.orders for r in figures["order_value_bands"]] == [0, 0, 0]
+    assert figures["revenue_by_day"] == figures["hourly_events"] == []
+    assert all(frame.isEmpty() for frame in dashboard.previews(frames).values())
+    totals = {k: v.collect() for k, v in dashboard.single_pass(frames).items()}
+    assert totals["web_events"] == []
+
+
 def test_report_from_a_landed_lake(spark, tmp_path):
     """Tables to messages, through the streams, and every figure off the lake."""
     log, root = FileLog(f"{tmp_path}/log"), f"{tmp_path}/lake"
@@ -52,7 +65,7 @@ def test_report_from_a_landed_lake(spark, tmp_path):
     landing.run_all(spark, log, root, f"{tmp_path}/checkpoints", trigger=sinks.ONCE, audit=False)
 
     for newest_only in (False, True):
-        frames = dashboard.load_lake(spark, root, newest_only)
+        frames = dashboard.load_lake(spark, root, newest_only, located=newest_only)
         figures = dashboard.sections(frames)
         orders = filters.recent_days(tables["orders"], "order_date", 90)
         assert figures["revenue_by_day"].collect() == kpi.revenue_by_day(orders).collect()

@@ -46,7 +46,7 @@ def test_newest_files_and_their_rows(spark, tmp_path):
         (1, "new"), (2, "new"), (3, "old"),
     ]
 
-    scan = lake.with_file_position(newest)
+    scan = lake.load_dataset(spark, root, SCHEMA, newest=2, located=True)
     assert [r.a for r in lake.preview(scan).collect()] == [1, 2, 3]
     assert [r.a for r in lake.preview(scan.where("a > 1"), 1).collect()] == [2]
 

@@ -258,8 +258,8 @@ def in_one_pass(
     """Several charts and the total from one scan, by grouping sets.
 
     A row per chart and value (as text), the total under ``all``; rows without
-    a value are in the total only. Partial aggregation cuts each task's rows to
-    the values it saw.
+    a value are in the total only, and an empty frame has no total. Partial
+    aggregation cuts each task's rows to the values it saw.
     """
     names = list(keys)
     keyed = frame.withColumns({f"__{n}": key for n, key in keys.items()})

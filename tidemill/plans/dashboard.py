@@ -26,7 +26,6 @@ from tidemill.sources.lake import (
     NEWEST_FILES_DEFAULT,
     load_dataset,
     preview,
-    with_file_position,
 )
 
 # The time column the window applies to; other datasets are shown whole.
@@ -55,12 +54,15 @@ class Choices:
     selected: dict[str, list[str]] | None = None
 
 
-def load_lake(spark: SparkSession, lake: str, newest_only: bool = False) -> dict[str, DataFrame]:
-    """Every reported dataset of a lake, whole or cut to its newest files."""
+def load_lake(
+    spark: SparkSession, lake: str, newest_only: bool = False, located: bool = False
+) -> dict[str, DataFrame]:
+    """Every dataset of a lake, whole or cut to its newest files; ``located`` for previews."""
     frames = {}
     for spec in DATASETS:
         newest = NEWEST_FILES.get(spec.name, NEWEST_FILES_DEFAULT) if newest_only else None
-        frames[spec.name] = load_dataset(spark, spec.lake_path(lake), spec, newest=newest)
+        path = spec.lake_path(lake)
+        frames[spec.name] = load_dataset(spark, path, spec, newest=newest, located=located)
     return frames
 
 
@@ -185,9 +187,9 @@ def previews(
 ) -> dict[str, DataFrame]:
     """First rows of the inspected datasets, filtered, newest file first.
 
-    The frames must be file scans, best of the newest files only.
+    The frames must be located, and are best those of the newest files only.
     """
     return {
-        name: preview(choose(name, with_file_position(frames[name]), choices), rows)
+        name: preview(choose(name, frames[name], choices), rows)
         for name in PREVIEWED
     }

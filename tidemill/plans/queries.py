@@ -210,8 +210,8 @@ def preview_orders(spark, sf_dir):
     """The first 20 rows of the newest files of a dataset."""
     path = f"{sf_dir}/orders.parquet"
     schema = table(spark, sf_dir, "orders").schema
-    newest = lake.load_dataset(spark, path, schema, newest=lake.NEWEST_FILES["orders"])
-    return lake.preview(lake.with_file_position(newest))
+    count = lake.NEWEST_FILES["orders"]
+    return lake.preview(lake.load_dataset(spark, path, schema, newest=count, located=True))
 
 
 # ---------------------------------------------------------------- filters and formats

@@ -83,47 +83,49 @@ def newest_files(spark: SparkSession, root: str, count: int) -> list[str]:
     return [row.path for row in newest.select("path").collect()]
 
 
+# Where a row lies: time and path of its file, place in the file.
+FILE_POSITION = ("_file_time", "_file_path", "_file_row")
+_POSITION_SOURCES = ("file_modification_time", "file_path", "row_index")
+_POSITION_TYPES = ("timestamp", "string", "bigint")
+
+
 def load_dataset(
     spark: SparkSession,
     root: str,
     schema: T.StructType | DatasetSpec | None = None,
     newest: int | None = None,
     ingested_since: dt.datetime | None = None,
+    located: bool = False,
 ) -> DataFrame:
     """A landed dataset, or an empty frame of its schema while there is none.
 
     With a schema no footer is opened to plan the read, and columns older files
     lack are NULL; without one the schemas of all files are merged. ``newest``
     reads only that many of the newest files. ``ingested_since`` (UTC) skips the
-    hour folders before it.
+    hour folders before it. ``located`` adds where each row lies, for ``preview``.
     """
     if isinstance(schema, DatasetSpec):
         schema = schema.landed_schema()
     paths = [root] if newest is None else newest_files(spark, root, newest)
     if not paths or not exists(spark, root):
-        return spark.createDataFrame([], schema or T.StructType([]))
+        empty = spark.createDataFrame([], schema or T.StructType([]))
+        nowhere = [F.lit(None).cast(t).alias(c) for c, t in zip(FILE_POSITION, _POSITION_TYPES)]
+        return empty.select("*", *nowhere) if located else empty
     reader = spark.read
     reader = reader.option("mergeSchema", "true") if schema is None else reader.schema(schema)
     if is_folder(spark, root):
         reader = reader.option("basePath", root)
     frame = reader.parquet(*paths)
+    if located:
+        place = [F.col(f"_metadata.{s}").alias(c) for s, c in zip(_POSITION_SOURCES, FILE_POSITION)]
+        frame = frame.select("*", *place)
     if ingested_since is not None:
         hour = F.concat(*[F.col(c) for c in PARTITION_COLUMNS])
         frame = frame.where(hour >= ingested_since.strftime("%Y%m%d%H"))
     return frame
 
 
-FILE_POSITION = ("_file_time", "_file_path", "_file_row")
-
-
-def with_file_position(scan: DataFrame) -> DataFrame:
-    """Add where each row of a file scan lies, for ``preview`` after any filters."""
-    sources = ("file_modification_time", "file_path", "row_index")
-    located = [F.col(f"_metadata.{s}").alias(c) for s, c in zip(sources, FILE_POSITION)]
-    return scan.select("*", *located)
-
-
 def preview(frame: DataFrame, rows: int = 20) -> DataFrame:
-    """The first rows of a frame with file positions, newest file first."""
+    """The first rows of a located frame, filtered or not, newest file first."""
     time, path, row = FILE_POSITION
     return frame.orderBy(F.desc(time), path, row).limit(rows).drop(*FILE_POSITION)
