@@ -176,6 +176,21 @@ def test_funnel(spark):
     assert rows(kpi.funnel_reach(frame.limit(0)))[0] == (1, "page_view", 0, None, None)
 
 
+def test_charts_of_one_pass(spark):
+    frame = spark.createDataFrame(
+        [("a", 1, 1.0), ("a", None, 2.0), (None, 2, 4.0)], "k string, n int, v double"
+    )
+    charts = kpi.in_one_pass(
+        frame,
+        {"k": F.col("k"), "n": F.col("n")},
+        {"rows": F.count("*"), "total": money.total(F.col("v"))},
+    )
+    assert charts.columns == ["chart", "value", "rows", "total"]
+    assert sorted(rows(charts), key=repr) == [
+        ("all", None, 3, 7.0), ("k", "a", 2, 3.0), ("n", "1", 1, 1.0), ("n", "2", 1, 4.0),
+    ]
+
+
 # Quantity and price; an exact half of a cent goes to the even one.
 PRICES = [(3, 1.1), (3, 0.1), (1, 0.125), (-1, 2.5)]
 

@@ -120,14 +120,14 @@ def run_all(
         if audit:
             known = [spec for spec in specs if spec.change_events]
             others = unregistered_changes(spark, log, topic_prefix, known)
-            queries.append(print_stream(others, trigger=trigger))
+            checkpoint = f"{checkpoints.rstrip('/')}/unregistered"
+            queries.append(print_stream(others, trigger=trigger, checkpoint=checkpoint))
         if bounded:
             for query in queries:
                 query.awaitTermination()
         else:
             spark.streams.awaitAnyTermination()
     finally:
-        spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
         for query in queries:
             if query.isActive:
                 query.stop()

@@ -36,11 +36,17 @@ def land_stream(
         .partitionBy(*PARTITION_COLUMNS)
         .trigger(**(trigger or {"processingTime": "1 minute"}))
     )
-    if name:
-        # Under the FAIR scheduler each stream gets its share of the executors.
-        rows.sparkSession.sparkContext.setLocalProperty("spark.scheduler.pool", name)
-        writer = writer.queryName(name)
-    return writer.start()
+    if not name:
+        return writer.start()
+    # Under the FAIR scheduler each stream gets its share of the executors. The
+    # query keeps the pool it was started in.
+    context = rows.sparkSession.sparkContext
+    pool = context.getLocalProperty("spark.scheduler.pool")
+    context.setLocalProperty("spark.scheduler.pool", name)
+    try:
+        return writer.queryName(name).start()
+    finally:
+        context.setLocalProperty("spark.scheduler.pool", pool)
 
 
 def land_batch(rows: DataFrame, path: str) -> None:
