@@ -88,6 +88,10 @@ def test_lists_and_options(spark):
     assert [r.k for r in filters.options(frame, "k").collect()] == ["a", "b"]
     assert filters.in_options(frame, "k").count() == 3
     assert filters.in_options(frame, "absent") is frame
+    # Without any option nothing is dropped; options come from the unfiltered data.
+    without = frame.where("k IS NULL")
+    assert filters.in_options(without, "k").count() == 1
+    assert filters.in_options(without, "k", offered_by=frame).count() == 0
 
 
 def test_lenient_times_and_concat(spark):

@@ -50,9 +50,20 @@ def options(frame: DataFrame, column: str) -> DataFrame:
     return frame.select(column).where(F.col(column).isNotNull()).distinct().orderBy(column)
 
 
-def in_options(frame: DataFrame, column: str) -> DataFrame:
-    """The filter with every option selected: it drops only the rows without a value."""
-    return frame.where(F.col(column).isNotNull()) if column in frame.columns else frame
+def in_options(frame: DataFrame, column: str, offered_by: DataFrame | None = None) -> DataFrame:
+    """The filter with every option selected: it drops only the rows without a value.
+
+    Options are offered by the data before other filters (``offered_by``, else
+    the frame itself). Where that has no value at all, nothing can be selected
+    and nothing is dropped. A first row with a value tells, looked up at once:
+    this reads a task's start, where a subquery would start a task per split.
+    """
+    if column not in frame.columns:
+        return frame
+    source = frame if offered_by is None else offered_by
+    if source.select(column).where(F.col(column).isNotNull()).isEmpty():
+        return frame
+    return frame.where(F.col(column).isNotNull())
 
 
 def with_lenient_time(frame: DataFrame, column: str, alias: str) -> DataFrame:

@@ -72,12 +72,15 @@ def choose(name: str, frame: DataFrame, choices: Choices) -> DataFrame:
     With nothing deselected the list holds every value, so rows without one are
     left out; an empty selection filters nothing.
     """
+    whole = frame
     if name in WINDOW_COLUMNS:
         frame = recent_days(frame, WINDOW_COLUMNS[name], WINDOW_CHOICES[choices.window])
     if name in OPTION_COLUMNS:
         selected = (choices.selected or {}).get(name)
         column = OPTION_COLUMNS[name]
-        frame = in_options(frame, column) if selected is None else in_list(frame, column, selected)
+        if selected is None:
+            return in_options(frame, column, offered_by=whole)
+        return in_list(frame, column, selected)
     return frame
 
 
