@@ -1,3 +1,35 @@
 """DuckDB SQL for the queries that SQL can express on whole tables."""
 
 ORACLE_SQL: dict[str, str] = {}
+
+# A window joins on its words, so that equal words are equal windows.
+ORACLE_SQL["op8_decontaminate"] = """
+WITH item_words AS (
+    SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                       '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+    FROM benchmark WHERE text IS NOT NULL
+), item_windows AS (
+    SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS said
+    FROM (SELECT item_id, w, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i FROM item_words WHERE len(w) > 0)
+), doc_words AS (
+    SELECT row_number() OVER () AS row_id, doc_id,
+           coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                       '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), []) AS w
+    FROM documents
+), doc_windows AS (
+    SELECT row_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS said
+    FROM (SELECT row_id, w, n, unnest(range(1, len(w) - n + 2)) AS i
+          FROM doc_words, (SELECT DISTINCT n FROM item_windows) WHERE len(w) >= n)
+), hits AS (
+    SELECT d.row_id, d.i, d.n, m.item_id FROM doc_windows d JOIN item_windows m ON d.n = m.n AND d.said = m.said
+), hit_words AS (
+    SELECT row_id, count(DISTINCT k) AS n_hit FROM (SELECT row_id, unnest(range(i, i + n)) AS k FROM hits) GROUP BY row_id
+), hit_items AS (
+    SELECT row_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS named
+    FROM (SELECT DISTINCT row_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY row_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(named, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc_words LEFT JOIN hit_words USING (row_id) LEFT JOIN hit_items USING (row_id)
+"""

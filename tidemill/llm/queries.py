@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemill.llm import near_dedup
+from tidemill.llm import decontaminate, near_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,3 +25,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @query
 def op3_near_dedup(spark, sf_dir):
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_decontaminate(spark, sf_dir):
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontaminate.digest(found)

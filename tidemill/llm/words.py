@@ -147,7 +147,5 @@ def sequence(hashes: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
 
 def covered(at: np.ndarray, size: np.ndarray | int, total: int) -> np.ndarray:
     """Flags of the positions that ranges of ``size`` from ``at`` cover."""
-    change = np.zeros(total + 1, np.int64)
-    np.add.at(change, at, 1)
-    np.add.at(change, at + size, -1)
-    return np.cumsum(change[:-1]) > 0
+    change = np.bincount(at, minlength=total + 1) - np.bincount(at + size, minlength=total + 1)
+    return np.cumsum(change[:total]) > 0
