@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemill.llm import decontaminate, near_dedup
+from tidemill.llm import decontaminate, near_dedup, quality_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,3 +31,8 @@ def op3_near_dedup(spark, sf_dir):
 def op8_decontaminate(spark, sf_dir):
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return decontaminate.digest(found)
+
+
+@query
+def op1_quality_rules(spark, sf_dir):
+    return quality_rules.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
