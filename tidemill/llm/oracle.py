@@ -33,3 +33,38 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
        coalesce(n_hit, 0) > 0 AS contaminated
 FROM doc_words LEFT JOIN hit_words USING (row_id) LEFT JOIN hit_items USING (row_id)
 """
+
+# Within a source all documents have one inclusion probability, so that the order of
+# their ranks is the order of their random numbers.
+ORACLE_SQL["op6_mix_sources"] = """
+WITH sized AS (
+    SELECT doc_id, source,
+           coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS size,
+           (CAST(CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 13) AS BIGINT) AS DOUBLE) + 0.5) / 4503599627370496.0 AS chance
+    FROM documents
+), sources AS (
+    SELECT source, sum(size) AS source_size,
+           [3, 1, 2][CAST((row_number() OVER (ORDER BY source IS NULL, source) - 1) % 3 + 1 AS INT)] AS weight
+    FROM sized GROUP BY source
+), levels AS (
+    SELECT *, ((SELECT sum(source_size) FROM sources) * 1.5
+               - coalesce(sum(source_size * 2) OVER (ORDER BY source_size / weight, source NULLS FIRST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+              / sum(weight) OVER (ORDER BY source_size / weight, source NULLS FIRST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+    FROM sources
+), aims AS (
+    SELECT source, source_size,
+           CASE WHEN source_size * 2 <= level * weight THEN CAST(source_size * 2 AS DOUBLE)
+                ELSE (SELECT arg_min(level, source_size / weight) FROM levels WHERE source_size * 2 > level * weight) * weight END AS target
+    FROM levels
+), due AS (
+    SELECT s.*, a.source_size, a.target, CASE WHEN a.source_size > 0 THEN least(2.0, a.target / a.source_size) ELSE 0 END AS due
+    FROM sized s JOIN aims a ON s.source IS NOT DISTINCT FROM a.source
+), run AS (
+    SELECT *, target - floor(due) * source_size AS room,
+           sum(size) OVER (PARTITION BY source ORDER BY chance, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - size / 2 AS middle
+    FROM due
+)
+SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(source_size AS BIGINT) AS source_size, target,
+       CAST((floor(due) + CASE WHEN due > floor(due) AND room > 0 AND middle <= room THEN 1 ELSE 0 END) * size AS BIGINT) AS taken
+FROM run
+"""

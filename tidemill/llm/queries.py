@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemill.llm import decontaminate, near_dedup, quality_rules
+from tidemill.llm import decontaminate, mixing, near_dedup, quality_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,3 +36,8 @@ def op8_decontaminate(spark, sf_dir):
 @query
 def op1_quality_rules(spark, sf_dir):
     return quality_rules.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op6_mix_sources(spark, sf_dir):
+    return mixing.digest(table(spark, sf_dir, "documents"))
