@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemill.llm import decontaminate, mixing, near_dedup, quality_rules
+from tidemill.llm import decontaminate, mixing, near_dedup, quality_rules, token_counts, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -41,3 +42,13 @@ def op1_quality_rules(spark, sf_dir):
 @query
 def op6_mix_sources(spark, sf_dir):
     return mixing.digest(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_token_counts(spark, sf_dir):
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query
+def op10_token_files(spark, sf_dir):
+    return token_files.digest(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
