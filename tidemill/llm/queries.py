@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemill.llm import decontaminate, mixing, near_dedup, quality_rules, token_counts, token_files
+from tidemill.llm import decontaminate, mixing, near_dedup, quality_rules, resharding, token_counts, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -52,3 +52,8 @@ def op4_token_counts(spark, sf_dir):
 @query
 def op10_token_files(spark, sf_dir):
     return token_files.digest(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query
+def op5_reshard(spark, sf_dir):
+    return resharding.digest(table(spark, sf_dir, "documents"))
