@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemill.llm import decontaminate, mixing, near_dedup, quality_rules, resharding, token_counts, token_files
+from tidemill.llm import (
+    decontaminate, language, mixing, near_dedup, quality_gam, quality_rules, resharding, token_counts, token_files, url_trust,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -57,3 +59,18 @@ def op10_token_files(spark, sf_dir):
 @query
 def op5_reshard(spark, sf_dir):
     return resharding.digest(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_quality_gam(spark, sf_dir):
+    return quality_gam.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op7_url_trust(spark, sf_dir):
+    return url_trust.judged(table(spark, sf_dir, "pages"))
+
+
+@query
+def op9_language(spark, sf_dir):
+    return language.identified(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))
