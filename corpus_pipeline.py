@@ -4,23 +4,52 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemill.llm import near_dedup
+from tidemill.llm import decontaminate, mixing, near_dedup, quality_rules, token_files
 from tidemill.llm.store import stage
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+VOCABULARY = "word_bpe_49k.json"
 
-def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
+
+def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that neither the base rules nor the learned rules reject."""
+    return quality_rules.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies, the least doc_id."""
     return near_dedup.keep_one(docs)
 
 
-STAGES: list[tuple[str, Stage]] = [("near_dedup", near_duplicates)]
+def clean_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no window of a benchmark item."""
+    return decontaminate.keep_clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mixed_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix of sources takes them: never, once or twice."""
+    return mixing.mixed(docs)
+
+
+def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Place and checksum of each document in the token files, read back from them."""
+    return token_files.digest(docs, public_tokenizers.path(VOCABULARY))
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality_rules", good_documents),
+    ("near_dedup", distinct_documents),
+    ("decontaminate", clean_documents),
+    ("mix_sources", mixed_documents),
+    ("token_files", token_output),
+]
 
-# The rules of the first stage are learned and links are estimated before they are
-# confirmed: no SQL states that; the stages are tested against brute force.
+# Rules are learned and token ids come from a vocabulary file: SQL states neither. The
+# stages are tested against brute force.
 ORACLE_SQL = None
 
 
