@@ -75,6 +75,7 @@ KEYS = st.one_of(st.none(), st.sampled_from("abcdefg"))
 def test_two_keys_match_row_by_row_inserts(spark, taken, offered, random):
     target = [(pk, email, 0) for pk, email in taken if pk is not None]
     batch = [(pk, email, n) for n, (pk, email) in enumerate(offered)]
+    batch += batch[:3]  # rows that repeat
     shuffled = batch[:]
     random.shuffle(shuffled)
     added = insert.insert_ignore_unique(
@@ -83,6 +84,36 @@ def test_two_keys_match_row_by_row_inserts(spark, taken, offered, random):
     assert rows(added) == one_by_one(target, batch)
 
 
+def test_tied_rows_of_a_key_go_in_once(spark):
+    batch = frame(spark, [("a", "x", 1), ("a", "x", 1), ("a", "y", 1), ("b", "y", 1)])
+    added = insert.insert_ignore_unique(frame(spark, []), batch, "pk", ["email"], ["n"]).collect()
+    assert len({r.pk for r in added}) == len(added) == len({r.email for r in added})
+
+
+def chain(length):
+    """Rows of which each shares a value with the one before."""
+    return [(f"p{(n + 1) // 2}", f"e{n // 2}", n) for n in range(length)]
+
+
+def test_a_chain_of_rivals_takes_few_jobs(spark):
+    batch = chain(1_000)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("chain", "chain")
+    try:
+        added = insert.insert_ignore_unique(frame(spark, []), frame(spark, batch), "pk", ["email"], ["n"])
+        assert rows(added) == one_by_one([], batch)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(tracker.getJobIdsForGroup("chain")) < 150
+
+
+def test_large_groups_are_settled_in_rounds(spark, monkeypatch):
+    monkeypatch.setattr(insert, "SETTLED_AT_ONCE", 3)
+    batch = [*chain(9), ("q", "z", 20), ("r", "z", 21), ("r", None, 22)]
+    added = insert.insert_ignore_unique(frame(spark, []), frame(spark, batch), "pk", ["email"], ["n"])
+    assert rows(added) == one_by_one([], batch)
+
+
 def test_seed_only_while_empty(spark, tmp_path):
     path = str(tmp_path / "t")
 

@@ -60,8 +60,12 @@ def test_sums_are_exact(spark, amounts):
 def test_sums_beyond_a_bigint_of_cents(spark):
     frame = spark.range(2_000).select(F.lit(8.9e16).alias("v"))
     assert rows(kpi.revenue(frame, "v")) == [(8.9e16 * 2_000,)]
-    skipped = column(spark, "double", [1.0, float("inf"), -float("inf"), 1e300])
-    assert rows(kpi.revenue(skipped, "v")) == [(1.0,)]
+    large = column(spark, "double", [1.0, 9.1e16, 5.0, None, float("nan")])
+    assert rows(kpi.revenue(large, "v")) == [(pytest.approx(9.1e16 + 6.0),)]
+    assert rows(kpi.average_order_value(large, "v")) == [(pytest.approx((9.1e16 + 6.0) / 3),)]
+    endless = column(spark, "double", [1.0, float("inf"), 1e300])
+    assert rows(kpi.revenue(endless, "v")) == [(float("inf"),)]
+    assert rows(kpi.revenue(column(spark, "double", [float("nan"), None]), "v")) == [(0.0,)]
 
 
 def test_success_rate_counts_missing_status(spark):

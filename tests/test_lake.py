@@ -113,11 +113,15 @@ def test_tables(spark):
 
 
 def test_jdbc_reads_are_split_by_key_without_loss(spark):
-    keys = ["0a", "f1", "e9", "E9", "zz", "", None]
+    keys = ["0a", "f1", "e9", "E9", "zz", "", "00", "ff", "7f3c", None]
     frame = spark.createDataFrame([(k,) for k in keys], "k string")
-    parts = [frame.where(p).collect() for p in tables.key_ranges("k")]
-    assert len(parts) == 16
-    assert sorted([r.k for part in parts for r in part], key=repr) == sorted(keys, key=repr)
+    for digits in (1, 2):
+        ranges = tables.key_ranges("k", digits)
+        assert len(ranges) == 16**digits
+        counts = frame.agg(*[F.count_if(F.expr(p)).alias(f"n{i}") for i, p in enumerate(ranges)]).first()
+        assert sum(counts) == len(keys)
+        hits = frame.select(sum(F.coalesce(F.expr(p), F.lit(False)).cast("int") for p in ranges).alias("n"))
+        assert {r.n for r in hits.collect()} == {1}
 
 
 class Recorder:
@@ -151,7 +155,7 @@ def test_kafka_readers_ask_for_the_right_topics():
     common = {
         "format": "kafka",
         "kafka.bootstrap.servers": "broker:9092",
-        "failOnDataLoss": "false",
+        "failOnDataLoss": "true",
         "minPartitions": "64",
     }
     topic = catalog.ORDERS.topic("shop")
@@ -190,6 +194,8 @@ def test_jdbc_asks_for_the_columns_of_the_dataset():
     assert asked["table"] == "orders" and asked["user"] == "u"
     assert asked["columns"] == [f.name for f in catalog.ORDERS.fields]
     assert asked["predicates"] == tables.key_ranges("order_id")
+    asked = tables.jdbc_table(Recorder(), "jdbc:postgresql://db/shop", catalog.ORDERS, digits=2)
+    assert len(asked["predicates"]) == 256
 
 
 def test_scratch_lies_in_the_shared_folder(spark):

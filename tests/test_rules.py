@@ -100,7 +100,18 @@ def test_totals(spark):
         [("p1", "o1", 2.5), ("p2", "o1", 2.4), ("p3", "none", 1.0)],
         "payment_id string, order_id string, amount double",
     )
-    assert rows(rules.payment_amount_mismatches(payments, orders)) == [("p2", "o1", 2.4, 2.5)]
+    assert rows(rules.payment_amount_mismatches(payments, orders)) == [
+        ("p2", "o1", 2.4, 2.5), ("p3", "none", 1.0, None),
+    ]
+
+
+def test_large_amounts_are_compared(spark):
+    orders = spark.createDataFrame([("o", 9.2e16), ("s", 9.1e16)], "order_id string, total_amount double")
+    payments = spark.createDataFrame(
+        [("p", "o", 9.1e16), ("q", "s", 9.1e16), ("r", "s", 1.0)], "payment_id string, order_id string, amount double"
+    )
+    found = rows(rules.payment_amount_mismatches(payments, orders))
+    assert found == [("p", "o", 9.1e16, 9.2e16), ("r", "s", 1.0, 9.1e16)]
 
 
 def test_payment_lag_window(spark):

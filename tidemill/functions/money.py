@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 # Cents are added up in two parts of this many bits and more, so that neither
 # sum can run over: the low parts of 2^43 rows fit a bigint, as do the high
-# parts of as many amounts of a decimal(10,2) column.
+# parts of as many amounts of a decimal(10,2) column. Larger amounts are left to doubles.
 LOW_BITS = 20
 LARGEST = 9e16
 
@@ -19,21 +19,37 @@ def cents(amount: Column) -> Column:
     return F.when(F.abs(amount) < LARGEST, F.rint(amount * 100).cast("bigint"))
 
 
+def present(amount: Column) -> Column:
+    """The amount, NULL for NaN."""
+    return F.when(~F.isnan(amount), amount)
+
+
 def total(amount: Column) -> Column:
     """Exact sum as a double, whatever the order of rows; 0.0 when there is nothing to add.
 
-    Two bigint sums cost a fifth of one decimal sum.
+    Two bigint sums cost a fifth of one decimal sum. Where an amount is too large for
+    them, infinities included, the amounts are added up as doubles. NaN is missing.
     """
     whole = cents(amount)
     high = F.sum(F.shiftright(whole, LOW_BITS)).cast("decimal(20,0)")
     low = F.sum(whole.bitwiseAND(F.lit((1 << LOW_BITS) - 1))).cast("decimal(20,0)")
     both = (high * F.lit(Decimal(1 << LOW_BITS)) + low) * F.lit(Decimal("0.01"))
-    return F.coalesce(both.cast("double"), F.lit(0.0))
+    known = present(amount)
+    large = F.max(F.abs(known)) >= LARGEST
+    return F.coalesce(F.when(large, F.sum(known)).otherwise(both.cast("double")), F.lit(0.0))
 
 
 def mean(amount: Column) -> Column:
-    """Mean of the non-NULL amounts; 0.0 when there are none."""
-    return F.coalesce(F.try_divide(total(amount), F.count(cents(amount))), F.lit(0.0))
+    """Mean of the amounts there are; 0.0 when there are none."""
+    return F.coalesce(F.try_divide(total(amount), F.count(present(amount))), F.lit(0.0))
+
+
+def same(left: Column, right: Column) -> Column:
+    """Whether two amounts agree to the cent; beyond whole cents, whether they are equal."""
+    both = cents(left).isNotNull() & cents(right).isNotNull()
+    return F.when(both, cents(left) == cents(right)).otherwise(
+        present(left).eqNullSafe(present(right))
+    )
 
 
 def line_total(quantity: Column, unit_price: Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.functions.temporal import lenient_timestamp
@@ -38,6 +38,24 @@ def recent_days(frame: DataFrame, column: str, days: int | None) -> DataFrame:
     return recent.unionAll(undated)
 
 
+def window_conditions(frame: DataFrame, column: str) -> dict[str, Column]:
+    """For each window choice, whether a row is inside: ``recent_days`` as a condition.
+
+    All share one scalar subquery, the newest time, so that one scan can serve them all.
+    """
+    kind = dict(frame.dtypes)[column]
+    time = F.col(column) if kind == "date" else lenient_timestamp(F.col(column), kind)
+    newest = frame.agg(F.max(time).alias("newest")).scalar()
+    inside = {}
+    for label, days in WINDOW_CHOICES.items():
+        if days is None:
+            inside[label] = F.lit(True)
+        else:
+            cutoff = newest - F.expr(f"INTERVAL '{int(days)}' DAY")
+            inside[label] = F.coalesce(time >= cutoff, newest.isNull())
+    return inside
+
+
 def in_list(frame: DataFrame, column: str, selected: list[str] | None) -> DataFrame:
     """Rows whose value is selected; an empty selection or an absent column filters nothing."""
     if not selected or column not in frame.columns:
@@ -55,15 +73,14 @@ def in_options(frame: DataFrame, column: str, offered_by: DataFrame | None = Non
 
     Options are offered by the data before other filters (``offered_by``, else
     the frame itself). Where that has no value at all, nothing can be selected
-    and nothing is dropped. A first row with a value tells, looked up at once:
-    this reads a task's start, where a subquery would start a task per split.
+    and nothing is dropped. A subquery tells, of which each task reads up to its
+    first row with a value; no job runs before the result is asked for.
     """
     if column not in frame.columns:
         return frame
     source = frame if offered_by is None else offered_by
-    if source.select(column).where(F.col(column).isNotNull()).isEmpty():
-        return frame
-    return frame.where(F.col(column).isNotNull())
+    any_value = source.where(F.col(column).isNotNull()).select(F.lit(True).alias("any")).limit(1)
+    return frame.where(F.col(column).isNotNull() | any_value.scalar().isNull())
 
 
 def with_lenient_time(frame: DataFrame, column: str, alias: str) -> DataFrame:

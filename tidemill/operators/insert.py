@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemill.session import ensure_checkpoint_dir
+from tidemill.session import stage, unstage
 
 
 def insert_ignore(
@@ -20,17 +20,21 @@ def insert_ignore(
     two. A NULL key is refused, as a primary key refuses it. Spark cuts each
     task's rows to one per key before the shuffle (a row_number limit), so a
     hot key stays small. Of the target only keys the batch holds are kept: while
-    the batch is small enough to broadcast, the target is not shuffled.
+    the batch is small enough to broadcast, the target is not shuffled; beyond that
+    its keys are cut to one row each before they meet the batch.
     """
     keys = [key] if isinstance(key, str) else key
     known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order_by))
     first = batch.where(known).withColumn("__place", place).where("__place = 1").drop("__place")
-    offered = batch.select(*keys).where(known).distinct()
-    taken = target.select(*keys).join(offered, keys, "left_semi").distinct()
+    taken = target.select(*keys).distinct().join(first.select(*keys), keys, "left_semi")
     return first.join(taken, keys, "left_anti").select(*batch.columns)
 
 
+# Rows of a group of rivals that one task settles, each compared with those accepted before it.
+SETTLED_AT_ONCE = 2_000
+
+
 def insert_ignore_unique(
     target: DataFrame,
     batch: DataFrame,
@@ -41,39 +45,105 @@ def insert_ignore_unique(
     """``insert_ignore`` under a primary key and further unique columns, row by row in effect.
 
     A row goes in when no row before it that went in shares its primary key or
-    a unique value; NULL is not shared in a unique column. Whether a row goes in
-    thus depends on the fate of earlier rows, so this runs in rounds: the rows
-    that are first under all their keys go in, every row sharing a key with
-    them is out, and the rest goes round again. Rows without rivals are settled
-    in the first round. Each round is checkpointed and shrinks the rest until
-    nothing is left.
+    a unique value; NULL is not shared in a unique column. Of rows that tie in
+    ``order_by``, any may come first. Rows without rivals go in at once. The others
+    are joined to groups of direct and indirect rivals, which cannot touch each
+    other: a group of up to ``SETTLED_AT_ONCE`` rows is walked through in order in one
+    expression; larger ones are settled in rounds, in each of which the rows that are
+    first under all their keys go in and those sharing a key with them are out. Only
+    order and keys take part; the rows themselves are fetched once, at the end.
     """
-    ensure_checkpoint_dir(batch.sparkSession)
     keys = [primary_key, *unique]
-    rest = batch.where(F.col(primary_key).isNotNull()).withColumn(
-        "__order", F.struct(*order_by)
-    )
+    offered = batch.where(F.col(primary_key).isNotNull())
     for key in keys:
-        rest = _without_values(rest, target, key)
-    rest = rest.checkpoint()
+        offered = _without_values(offered, target, key)
+    # Written once, so that the ids that tell tied rows apart stay the same.
+    offered = stage(offered.withColumn("__id", F.monotonically_increasing_id()), "offered")
+    rest = offered.select("__id", F.struct(*order_by, "__id").alias("__order"), *keys)
+
+    ties = reduce(DataFrame.unionByName, [_ties(rest, key) for key in keys])
+    groups = _groups(ties)
+    alone = rest.join(groups, "__id", "left_anti").select("__id")
+    rivals = rest.join(groups, "__id")
+    sizes = groups.groupBy("__group").agg(F.count("*").alias("__size"))
+    small = rivals.join(sizes.where(F.col("__size") <= SETTLED_AT_ONCE), "__group")
+    large = rivals.join(sizes.where(F.col("__size") > SETTLED_AT_ONCE), "__group")
+    accepted = [alone, _walked(small, keys), *_in_rounds(large.select(*rest.columns), keys)]
+    chosen = reduce(DataFrame.unionByName, accepted)
+    return offered.join(chosen, "__id", "left_semi").select(*batch.columns)
+
+
+def _ties(rows: DataFrame, key: str) -> DataFrame:
+    """Each row of a shared key value with the first of them: edges (a, b) between ids."""
+    known = rows.where(F.col(key).isNotNull())
+    firsts = known.groupBy(key).agg(F.min("__id").alias("b"), F.count("*").alias("n"))
+    pairs = known.select(F.col("__id").alias("a"), key).join(firsts.where("n > 1"), key)
+    return pairs.where("a <> b").select("a", "b")
+
+
+def _groups(ties: DataFrame) -> DataFrame:
+    """(__id, __group): the least id that each end of the edges reaches.
+
+    Each node is tied to the least of its neighbours and itself, from the greater
+    side and the smaller in turn, until every group is a star; long chains halve.
+    """
+    edges = stage(ties.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "ties")
+    while not edges.join(edges.select(F.col("v").alias("u")), "u", "left_semi").isEmpty() or not (
+        edges.groupBy("u").count().where("count > 1").isEmpty()
+    ):
+        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        above = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        least = above.groupBy("u").agg(F.min("v").alias("m"))
+        below = above.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        after = stage(below.unionByName(least.withColumnRenamed("m", "v")).distinct(), "ties")
+        unstage(edges)
+        edges = after
+    roots = edges.select(F.col("v").alias("__id"), F.col("v").alias("__group")).distinct()
+    return roots.unionByName(edges.select(F.col("u").alias("__id"), F.col("v").alias("__group")))
+
+
+def _walked(rivals: DataFrame, keys: list[str]) -> DataFrame:
+    """The ids that go in when each group is walked through in order."""
+    row = F.struct("__order", *[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)])
+    groups = rivals.groupBy("__group").agg(F.array_sort(F.collect_list(row)).alias("rows"))
+    none = F.slice("rows", 1, 0)
+
+    def clash(a: Column, b: Column) -> Column:
+        shared = [F.coalesce(a[f"k{i}"] == b[f"k{i}"], F.lit(False)) for i in range(len(keys))]
+        return reduce(lambda x, y: x | y, shared)
+
+    def step(taken: Column, one: Column) -> Column:
+        blocked = F.exists(taken, lambda other: clash(other, one))
+        return F.when(blocked, taken).otherwise(F.concat(taken, F.array(one)))
+
+    accepted = groups.select(F.explode(F.aggregate("rows", none, step)).alias("row"))
+    return accepted.select(F.col("row.__order.__id").alias("__id"))
+
+
+def _in_rounds(rest: DataFrame, keys: list[str]) -> list[DataFrame]:
     accepted = []
+    rest = stage(rest, "rest")
     while not rest.isEmpty():
         leaders = rest
         for key in keys:
             # Joined on order and key together, so rows of a hot key spread out.
             leaders = leaders.join(_first_per_value(rest, key), ["__order"], "left_semi")
-        leaders = leaders.checkpoint()
-        accepted.append(leaders)
+        leaders = stage(leaders, "leaders")
+        accepted.append(leaders.select("__id"))
+        left = rest
         for key in keys:
-            rest = _without_values(rest, leaders, key)
-        rest = rest.checkpoint()
-    return _union_or_empty(accepted, batch).select(*batch.columns)
+            left = _without_values(left, leaders, key)
+        after = stage(left, "rest")
+        unstage(rest)
+        rest = after
+    return accepted
 
 
 def _without_values(rows: DataFrame, taken: DataFrame, key: str) -> DataFrame:
     """Rows whose key is not taken; a NULL key is never taken."""
     offered = rows.select(key).where(F.col(key).isNotNull()).distinct()
-    held = taken.select(key).join(offered, key, "left_semi").distinct()
+    held = taken.select(key).distinct().join(offered, key, "left_semi")
     return rows.join(held, key, "left_anti")
 
 
@@ -84,10 +154,6 @@ def _first_per_value(rows: DataFrame, key: str) -> DataFrame:
     return firsts.select("__order")
 
 
-def _union_or_empty(frames: list[DataFrame], like: DataFrame) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames) if frames else like.limit(0)
-
-
 def seed_if_empty(
     target: DataFrame,
     rows: Callable[[], DataFrame],

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tidemill.functions import money
 from tidemill.functions.temporal import lenient_timestamp, minute_label
+from tidemill.operators.filters import window_conditions
 
 # Upper edges and labels of the order-value bands.
 VALUE_BANDS = ((100.0, "0-100"), (500.0, "100-500"), (float("inf"), ">500"))
@@ -146,6 +147,17 @@ def revenue_by_day(
     return daily.agg(money.total(F.col(amount)).alias("revenue")).orderBy("order_day")
 
 
+def by_window(orders: DataFrame, time: str, amount: str) -> DataFrame:
+    """Orders and revenue inside each window choice, from one scan and one for the newest time."""
+    inside = window_conditions(orders, time)
+    cells, rows = [], []
+    for i, (label, condition) in enumerate(inside.items()):
+        cells.append(F.count_if(condition).alias(f"orders_{i}"))
+        cells.append(money.total(F.when(condition, F.col(amount))).alias(f"revenue_{i}"))
+        rows.append((label, F.col(f"orders_{i}"), F.col(f"revenue_{i}")))
+    return _stack(orders.agg(*cells), ("window", "orders", "revenue"), rows)
+
+
 def _in_band(value: Column, lower: float | None, upper: float) -> Column:
     above = value >= 0 if lower is None else value > lower
     # NaN sorts above every number in Spark, but is a missing amount here.
@@ -258,8 +270,9 @@ def in_one_pass(
     """Several charts and the total from one scan, by grouping sets.
 
     A row per chart and value (as text), the total under ``all``; rows without
-    a value are in the total only, and an empty frame has no total. Partial
-    aggregation cuts each task's rows to the values it saw.
+    a value are in the total only, and an empty frame has a total of its own, as
+    the single figures have. Partial aggregation cuts each task's rows to the
+    values it saw.
     """
     names = list(keys)
     keyed = frame.withColumns({f"__{n}": key for n, key in keys.items()})
@@ -274,4 +287,11 @@ def in_one_pass(
         *[F.when(present, F.col(f"__{n}").cast("string")) for n, present in grouped]
     )
     rows = sets.select(chart.alias("chart"), value.alias("value"), *measures)
-    return rows.where(F.col("value").isNotNull() | (F.col("chart") == "all"))
+    found = rows.where(F.col("value").isNotNull() | (F.col("chart") == "all"))
+    # An empty grouping set of no rows gives no row: a global aggregate of none gives it.
+    nothing = keyed.limit(1).agg(
+        F.count("*").alias("__n"), *[measure.alias(n) for n, measure in measures.items()]
+    ).where("__n = 0")
+    return found.unionByName(
+        nothing.select(F.lit("all").alias("chart"), F.lit(None).cast("string").alias("value"), *measures)
+    )

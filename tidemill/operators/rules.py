@@ -36,16 +36,16 @@ def order_total_mismatches(orders: DataFrame, items: DataFrame) -> DataFrame:
     joined = orders.select("order_id", "total_amount").join(
         order_rollup(items), "order_id", "left"
     )
-    same = money.cents(F.col("total_amount")).eqNullSafe(money.cents(F.col("items_total")))
+    same = money.same(F.col("total_amount"), F.col("items_total"))
     return joined.where(~same).select("order_id", "total_amount", "items_total")
 
 
 def payment_amount_mismatches(payments: DataFrame, orders: DataFrame) -> DataFrame:
-    """Payments whose amount differs from the total of their order."""
+    """Payments whose amount differs from the total of their order, or that have none."""
     joined = payments.select("payment_id", "order_id", "amount").join(
-        orders.select("order_id", "total_amount"), "order_id"
+        orders.select("order_id", "total_amount"), "order_id", "left"
     )
-    same = money.cents(F.col("amount")).eqNullSafe(money.cents(F.col("total_amount")))
+    same = money.same(F.col("amount"), F.col("total_amount"))
     return joined.where(~same).select("payment_id", "order_id", "amount", "total_amount")
 
 

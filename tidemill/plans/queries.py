@@ -225,18 +225,7 @@ def recent_events_7d(spark, sf_dir):
 @query
 def recent_orders_by_window(spark, sf_dir):
     """Every window choice: orders and revenue inside it."""
-    orders = SHOP["orders"](spark, sf_dir)
-    rows = []
-    for label, days in filters.WINDOW_CHOICES.items():
-        inside = filters.recent_days(orders, "order_date", days)
-        rows.append(
-            inside.agg(
-                F.lit(label).alias("window"),
-                F.count("*").alias("orders"),
-                money.total(F.col("total_amount")).alias("revenue"),
-            )
-        )
-    return reduce(DataFrame.unionAll, rows)
+    return kpi.by_window(SHOP["orders"](spark, sf_dir), "order_date", "total_amount")
 
 
 @query

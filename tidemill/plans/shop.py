@@ -53,7 +53,8 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CAST(c_custkey AS string) AS customer_id",
         "split_part(c_name, '#', 1) AS first_name",
         "split_part(c_name, '#', 2) AS last_name",
-        "concat(lower(c_mktsegment), '.', c_custkey, '@example.com') AS email",
+        # Neighbours in one segment share an address.
+        "concat(lower(c_mktsegment), '.', c_custkey - c_custkey % 2, '@example.com') AS email",
         "concat(c_nationkey, '-', c_custkey) AS phone",
         "concat(c_mktsegment, ' Street ', c_custkey) AS address",
         "concat('City ', c_nationkey) AS city",
@@ -101,13 +102,14 @@ PAYMENTS = (
     f"{_PAID_AT} AS created_at",
     f"{_PAID_AT} AS updated_at",
 )
-# One ticket per event: errors stay open, views refer to no order.
+# One ticket per event: errors stay open, views refer to no order, and some of the others
+# to an order that is not there.
 _TICKET_AT = "CAST(date_trunc('second', ts) AS timestamp_ntz)"
 _TICKET_MINUTES = "IF(event_type <> 'error', floor(value), NULL)"
 SUPPORT_TICKETS = (
     "concat('t', event_id) AS ticket_id",
     "CAST(user_id AS string) AS customer_id",
-    "IF(event_type <> 'view', CAST(event_id AS string), NULL) AS order_id",
+    "IF(event_type <> 'view', CAST(event_id * 2 AS string), NULL) AS order_id",
     "event_type AS subject",
     "props AS description",
     "IF(event_type = 'error', 'open', 'closed') AS status",

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that may be changed on a running session.
 RUNTIME_CONF = {
@@ -56,7 +57,7 @@ def shared_folder(spark: SparkSession) -> str:
     if not folder:
         folder = spark.sparkContext.getCheckpointDir()
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         folder = tempfile.mkdtemp(prefix="tidemill-")
         spark.sparkContext.setCheckpointDir(folder)
@@ -72,3 +73,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Make ``DataFrame.checkpoint()`` usable, without replacing a folder already set."""
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
+
+
+def stage(frame: DataFrame, label: str) -> DataFrame:
+    """A frame written to the shared folder and read back: what follows starts there."""
+    path = scratch_path(frame.sparkSession, label)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that nothing reads any more."""
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)
+
+
+def unstage(frame: DataFrame) -> None:
+    """Delete the files of a staged frame."""
+    files = frame.inputFiles()
+    if files:
+        remove(frame.sparkSession, files[0].rpartition("/")[0])

@@ -42,7 +42,8 @@ def table_topics(prefix: str, but_not: Iterable[str] = ()) -> str:
 class KafkaLog:
     """Topics on a Kafka cluster.
 
-    ``options`` go to every reader. At scale set ``minPartitions``, which splits
+    ``options`` go to every reader. A reader fails when offsets it wants have aged out;
+    ``failOnDataLoss`` "false" goes on without them. At scale set ``minPartitions``, which splits
     a topic partition that holds much of the data among tasks, and
     ``maxOffsetsPerTrigger``, which bounds a micro-batch of a backfill.
     """
@@ -54,7 +55,7 @@ class KafkaLog:
         return {
             "kafka.bootstrap.servers": self.servers,
             "startingOffsets": starting,
-            "failOnDataLoss": "false",
+            "failOnDataLoss": "true",
             **choice,
             **self.options,
         }

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import product
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,14 +19,17 @@ def fetch(table: DataFrame, spec_or_columns: DatasetSpec | list[str]) -> DataFra
     return table.select(*spec_or_columns)
 
 
-def key_ranges(key: str) -> list[str]:
-    """Sixteen predicates that split a table by the first digit of its UUID key.
+def key_ranges(key: str, digits: int = 1) -> list[str]:
+    """Predicates that split a table by the first ``digits`` hex digits of its UUID key.
 
-    Other keys, NULL included, are read with the last one, so no row is lost.
+    There are 16 to the power of ``digits``, each a range of the key, which an index on it
+    serves. Ranges have no gaps: keys that are no UUIDs, NULL included, fall into some
+    range too, so no row is lost. The database must sort digits before letters.
     """
-    named = [f"{key} LIKE '{digit}%'" for digit in HEX_DIGITS[:-1]]
-    others = " AND ".join(f"{key} NOT LIKE '{digit}%'" for digit in HEX_DIGITS[:-1])
-    return [*named, f"({others}) OR {key} IS NULL"]
+    starts = ["".join(p) for p in product(HEX_DIGITS, repeat=digits)]
+    inner = [f"{key} >= '{low}' AND {key} < '{high}'" for low, high in zip(starts[1:], starts[2:])]
+    first = f"{key} < '{starts[1]}' OR {key} IS NULL"
+    return [first, *inner, f"{key} >= '{starts[-1]}'"]
 
 
 def jdbc_table(
@@ -32,16 +37,18 @@ def jdbc_table(
     url: str,
     spec: DatasetSpec,
     predicates: list[str] | None = None,
+    digits: int = 1,
     **properties: str,
 ) -> DataFrame:
     """A source table over JDBC, one connection per predicate, only the dataset's columns.
 
-    ``predicates`` defaults to ``key_ranges``; the column list reaches the database.
+    ``predicates`` defaults to ``key_ranges`` of so many ``digits``: 2 make 256 splits, 3
+    make 4,096. The column list reaches the database.
     """
     table = spark.read.jdbc(
         url,
         spec.name,
-        predicates=predicates or key_ranges(spec.key),
+        predicates=predicates or key_ranges(spec.key, digits),
         properties={"fetchsize": "10000", **properties},
     )
     return fetch(table, spec)
