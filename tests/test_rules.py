@@ -204,3 +204,9 @@ def test_constraints(spark):
         ("s over 2 characters", 1),
         ("v is no decimal(10,2)", 1),
     ]
+
+
+def test_rule_names_are_plain_text(spark):
+    frame = spark.createDataFrame([(1,), (None,)], "n int")
+    found = quality.violations(frame, {"owner's \"n\"": "n IS NULL", "`odd`": "n > 5"})
+    assert rows(found) == [("`odd`", 0), ("owner's \"n\"", 1)]

@@ -103,7 +103,7 @@ def test_all_datasets_from_one_log(spark, places, capsys):
         "value binary, topic string, timestamp timestamp",
     )
     log.append(stray)
-    landing.run_all(spark, log, root, checkpoints, trigger=sinks.ONCE)
+    landing.run_all(spark, log, root, checkpoints, trigger=sinks.ONCE, starting="earliest")
     counts = {s.name: landed(spark, root, s).count() for s in catalog.DATASETS}
     expected = dict.fromkeys(counts, 0) | {"orders": 40, "web_events": 25}
     assert counts == expected
@@ -149,6 +149,50 @@ def test_landed_times_can_be_skipped_by(spark, places):
     assert times.physical_type == "INT64" and times.statistics.has_min_max
 
 
+def test_stream_refuses_the_folder_of_a_batch(spark, places):
+    log, root, checkpoints = places
+    log.append(order_messages(spark, 0, 10))
+    path = catalog.ORDERS.lake_path(root)
+    hour = [F.lit("01").alias(c) for c in catalog.PARTITION_COLUMNS]
+    sinks.land_batch(orders(spark, 0, 5).select("*", *hour), path)
+    with pytest.raises(ValueError, match="no stream wrote"):
+        landing.backfill(spark, catalog.ORDERS, log, root, checkpoints)
+    assert spark.read.parquet(path).count() == 5
+
+
+def test_backfill_of_clicks_starts_at_the_beginning(spark, places):
+    log, root, checkpoints = places
+    asked = []
+
+    class Noting(FileLog):
+        def stream(self, spark, topic, starting="latest"):
+            asked.append(starting)
+            return super().stream(spark, topic, starting)
+
+    log.append(envelope.encode(clicks(spark, 25), catalog.WEB_EVENTS))
+    landing.backfill(spark, catalog.WEB_EVENTS, Noting(log.path), root, checkpoints)
+    assert asked == ["earliest"]
+    assert landed(spark, root, catalog.WEB_EVENTS).count() == 25
+
+
+def test_following_stream_lands_later_messages_only(spark, places):
+    log, root, checkpoints = places
+
+    def follow():
+        landing.land_dataset(
+            spark, catalog.WEB_EVENTS, log, root, checkpoints, trigger=sinks.ONCE
+        ).awaitTermination()
+
+    log.append(envelope.encode(clicks(spark, 25), catalog.WEB_EVENTS))
+    follow()
+    assert landed(spark, root, catalog.WEB_EVENTS).count() == 0
+    log.append(envelope.encode(clicks(spark, 7), catalog.WEB_EVENTS))
+    follow()
+    log.append(envelope.encode(clicks(spark, 2), catalog.WEB_EVENTS))
+    follow()
+    assert landed(spark, root, catalog.WEB_EVENTS).count() == 9
+
+
 def test_hook_runs_before_the_write(spark, places):
     log, root, checkpoints = places
     log.append(order_messages(spark, 0, 10))

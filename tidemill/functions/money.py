@@ -62,6 +62,11 @@ def format_count(value: Column) -> Column:
     return F.format_number(value, 0)
 
 
+def format_percent(value: Column) -> Column:
+    """``66.7%``"""
+    return F.concat(F.format_number(value, 1), F.lit("%"))
+
+
 def format_currency(value: Column) -> Column:
     """``$1,234.56``; a minus sign follows the dollar sign."""
     return F.concat(F.lit("$"), F.format_number(value, 2))

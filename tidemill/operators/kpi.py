@@ -203,6 +203,21 @@ def payment_success_rate(payments: DataFrame, status: str = "status") -> DataFra
     return payments.agg(F.coalesce(share, F.lit(0.0)).alias("success_rate"))
 
 
+def success_caption(rate: DataFrame) -> DataFrame:
+    """The success rate as the text below its chart."""
+    shown = money.format_percent(F.col("success_rate"))
+    return rate.select(F.concat(F.lit("Success rate: "), shown).alias("caption"))
+
+
+def traffic_caption(counts: DataFrame) -> DataFrame:
+    """Sessions and purchases as the text above their charts."""
+    parts = [
+        F.lit("Sessions: "), money.format_count(F.col("sessions")),
+        F.lit(" | Purchase events: "), money.format_count(F.col("purchases")),
+    ]
+    return counts.select(F.concat(*parts).alias("caption"))
+
+
 def hourly_events(events: DataFrame, time: str = "event_timestamp") -> DataFrame:
     """Events per hour, oldest first; undated events are left out."""
     kind = dict(events.dtypes)[time]

@@ -126,10 +126,9 @@ def violations(frame: DataFrame, rules: dict[str, str]) -> DataFrame:
 
     An unbroken rule has 0.
     """
-    counts = [f"count_if({broken}) AS rule_{i}" for i, broken in enumerate(rules.values())]
-    cells = ", ".join(f"'{name}', rule_{i}" for i, name in enumerate(rules))
-    stacked = f"stack({len(rules)}, {cells}) AS (rule, rows)"
-    return frame.selectExpr(*counts).selectExpr(stacked)
+    counts = [F.count_if(F.expr(broken)).alias(f"rule_{i}") for i, broken in enumerate(rules.values())]
+    cells = [cell for i, name in enumerate(rules) for cell in (F.lit(name), F.col(f"rule_{i}"))]
+    return frame.agg(*counts).select(F.stack(F.lit(len(rules)), *cells).alias("rule", "rows"))
 
 
 def missing(column: str) -> str:

@@ -401,6 +401,14 @@ BODIES = {
         SELECT coalesce(100.0::DOUBLE * count(*) FILTER (WHERE status = 'completed')
                         / nullif(count(*), 0), 0.0)::DOUBLE AS success_rate
         FROM shop_payments""",
+    "success_caption": """
+        SELECT 'Success rate: ' || printf('%.1f', coalesce(100.0 * count(*) FILTER (WHERE status = 'completed')
+                        / nullif(count(*), 0), 0.0)::DOUBLE) || '%' AS caption
+        FROM shop_payments""",
+    "traffic_caption": """
+        SELECT 'Sessions: ' || format('{:,}', count(DISTINCT session_id)) || ' | Purchase events: '
+               || format('{:,}', count(*) FILTER (WHERE event_type = 'purchase')) AS caption
+        FROM shop_web_events""",
     "payments_by_status": count_by("shop_payments", "status", "payments"),
     "payments_by_method": count_by("shop_payments", "payment_method", "payments"),
     "events_by_type": count_by("shop_web_events", "event_type", "events"),
@@ -436,6 +444,13 @@ BODIES = {
         FROM shop_support_tickets""",
     "dataset_health": HEALTH,
     "preview_orders": "SELECT * FROM orders LIMIT 20",
+    "newest_files_rows": """
+        SELECT o_orderkey, lpad((o_orderkey % 24)::VARCHAR, 2, '0') AS hour FROM orders
+        WHERE o_orderkey % 24 >= 19""",
+    "preview_filtered": """
+        SELECT lpad((o_orderkey % 24)::VARCHAR, 2, '0') AS hour, o_orderkey FROM orders
+        WHERE o_orderkey % 24 < 20 AND o_orderkey % 7 = 3 AND o_orderkey < 400
+        ORDER BY hour DESC, o_orderkey LIMIT 30""",
     "recent_events_7d": recent("shop_web_events", "event_timestamp", 7),
     "recent_orders_by_window": WINDOWS,
     "recent_spend_30d": sum_by(
@@ -522,7 +537,8 @@ BODIES = {
         f"SELECT '{n}' AS dataset, EXISTS (SELECT 1 FROM shop_{n}) AS has_rows" for n in SHOP_SQL
     )
     + " UNION ALL SELECT 'no_orders', EXISTS (SELECT 1 FROM shop_orders WHERE total_amount < 0)",
-    "backfill_then_stream": count_by("shop_web_events", "event_type", "events"),
+    "backfill_then_stream": count_by("shop_orders", "status", "orders"),
+    "followed_orders": count_by("(SELECT * FROM shop_orders WHERE status <> 'F')", "status", "orders"),
     "all_datasets_landed": " UNION ALL ".join(
         f"SELECT '{n}' AS dataset, count(*) AS rows, TRUE AS has_data FROM shop_{n}"
         for n in SHOP_SQL

@@ -20,7 +20,7 @@ from tidemill.plans import dashboard
 from tidemill.plans.shop import SHOP, VISIT_STEPS, table
 from tidemill.session import configure, scratch_path
 from tidemill.sources import lake, tables
-from tidemill.sources.logs import FileLog, table_topics
+from tidemill.sources.logs import BACKFILL_OFFSETS, FOLLOW_OFFSETS, FileLog, table_topics
 from tidemill.streaming import landing, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -137,6 +137,11 @@ def payment_success_rate(spark, sf_dir):
     return kpi.payment_success_rate(SHOP["payments"](spark, sf_dir))
 
 
+@query
+def success_caption(spark, sf_dir):
+    return kpi.success_caption(payment_success_rate(spark, sf_dir))
+
+
 @query
 def payments_by_status(spark, sf_dir):
     return kpi.count_by(SHOP["payments"](spark, sf_dir), "status", "payments")
@@ -162,6 +167,11 @@ def sessions_and_purchases(spark, sf_dir):
     return kpi.sessions_and_purchases(SHOP["web_events"](spark, sf_dir))
 
 
+@query
+def traffic_caption(spark, sf_dir):
+    return kpi.traffic_caption(sessions_and_purchases(spark, sf_dir))
+
+
 @query
 def tickets_by_priority(spark, sf_dir):
     return kpi.count_by(SHOP["support_tickets"](spark, sf_dir), "priority", "tickets")
@@ -207,11 +217,37 @@ def dataset_health(spark, sf_dir):
 
 @query
 def preview_orders(spark, sf_dir):
-    """The first 20 rows of the newest files of a dataset."""
+    """The first 20 rows of a dataset, newest file first."""
     path = f"{sf_dir}/orders.parquet"
-    schema = table(spark, sf_dir, "orders").schema
-    count = lake.NEWEST_FILES["orders"]
-    return lake.preview(lake.load_dataset(spark, path, schema, newest=count, located=True))
+    return lake.first_rows(spark, path, table(spark, sf_dir, "orders").schema)
+
+
+def _orders_by_hour(spark, sf_dir):
+    """Orders landed in batches, one folder and file for each hour of a day."""
+    root = scratch_path(spark, "lake")
+    hours = table(spark, sf_dir, "orders").withColumns(
+        {
+            "year": F.lit("2024"), "month": F.lit("01"), "day": F.lit("02"),
+            "hour": F.lpad(F.pmod("o_orderkey", F.lit(24)).cast("string"), 2, "0"),
+        }
+    )
+    sinks.land_batch(hours.repartition("hour").sortWithinPartitions("hour", "o_orderkey"), root)
+    return root, hours.schema
+
+
+@query
+def newest_files_rows(spark, sf_dir):
+    """The rows of the newest five files of a lake that has more."""
+    root, schema = _orders_by_hour(spark, sf_dir)
+    return lake.load_dataset(spark, root, schema, newest=5).select("o_orderkey", "hour")
+
+
+@query
+def preview_filtered(spark, sf_dir):
+    """The first rows that pass a filter, where the newest files hold fewer than asked for."""
+    root, schema = _orders_by_hour(spark, sf_dir)
+    rare = "o_orderkey % 24 < 20 AND o_orderkey % 7 = 3 AND o_orderkey < 400"
+    return lake.first_rows(spark, root, schema, lambda rows: rows.where(rare), 30).select("hour", "o_orderkey")
 
 
 # ---------------------------------------------------------------- filters and formats
@@ -515,7 +551,7 @@ def audit_stream(spark, sf_dir):
     log = FileLog(scratch_path(spark, "log"))
     log.append(_mixed_messages(spark, sf_dir))
     out, checkpoint = scratch_path(spark, "audit"), scratch_path(spark, "checkpoint")
-    others = landing.unregistered_changes(spark, log, PREFIX)
+    others = landing.unregistered_changes(spark, log, PREFIX, starting=BACKFILL_OFFSETS)
     writer = others.writeStream.format("parquet").option("checkpointLocation", checkpoint)
     writer.trigger(**sinks.ONCE).start(out).awaitTermination()
     return spark.read.schema(others.schema).parquet(out).select("topic", "op", "after_json")
@@ -595,16 +631,31 @@ for _spec in DATASETS:
 @query
 def backfill_then_stream(spark, sf_dir):
     """History, a restart, then new messages, all through one checkpoint: nothing lost or doubled."""
-    spec = catalog.WEB_EVENTS
+    spec = catalog.ORDERS
     log = FileLog(scratch_path(spark, "log"))
     root, checkpoints = scratch_path(spark, "lake"), scratch_path(spark, "checkpoint")
-    events = SHOP["web_events"](spark, sf_dir)
-    log.append(envelope.encode(events.where("event_type <> 'purchase'"), spec, PREFIX))
+    orders = SHOP["orders"](spark, sf_dir)
+    log.append(envelope.encode(orders.where("status <> 'F'"), spec, PREFIX))
     landing.backfill(spark, spec, log, root, checkpoints, PREFIX)
     landing.backfill(spark, spec, log, root, checkpoints, PREFIX)
-    log.append(envelope.encode(events.where("event_type = 'purchase'"), spec, PREFIX))
+    log.append(envelope.encode(orders.where("status = 'F'"), spec, PREFIX))
     landing.backfill(spark, spec, log, root, checkpoints, PREFIX)
-    return kpi.count_by(lake.load_dataset(spark, spec.lake_path(root), spec), "event_type", "events")
+    return kpi.count_by(lake.load_dataset(spark, spec.lake_path(root), spec), "status", "orders")
+
+
+@query
+def followed_orders(spark, sf_dir):
+    """A stream that starts at the end of the log lands only what comes later."""
+    spec = catalog.ORDERS
+    log = FileLog(scratch_path(spark, "log"))
+    root, checkpoints = scratch_path(spark, "lake"), scratch_path(spark, "checkpoint")
+    orders = SHOP["orders"](spark, sf_dir)
+    for status in ("F", "O", "P"):
+        log.append(envelope.encode(orders.where(F.col("status") == status), spec, PREFIX))
+        landing.land_dataset(
+            spark, spec, log, root, checkpoints, PREFIX, sinks.ONCE, starting=FOLLOW_OFFSETS
+        ).awaitTermination()
+    return kpi.count_by(lake.load_dataset(spark, spec.lake_path(root), spec), "status", "orders")
 
 
 @query
@@ -613,7 +664,9 @@ def all_datasets_landed(spark, sf_dir):
     log = FileLog(scratch_path(spark, "log"))
     log.append(_mixed_messages(spark, sf_dir))
     root, checkpoints = scratch_path(spark, "lake"), scratch_path(spark, "checkpoint")
-    landing.run_all(spark, log, root, checkpoints, PREFIX, trigger=sinks.ONCE)
+    landing.run_all(
+        spark, log, root, checkpoints, PREFIX, trigger=sinks.ONCE, starting=BACKFILL_OFFSETS
+    )
     rows = [
         frame.agg(F.lit(name).alias("dataset"), F.count("*").alias("rows"))
         for name, frame in dashboard.load_lake(spark, root).items()

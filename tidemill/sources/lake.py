@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
+from collections.abc import Callable, Iterator
+from itertools import chain, islice
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -77,10 +80,62 @@ def list_files(spark: SparkSession, root: str) -> DataFrame:
     return files.select("path", "modificationTime", "length")
 
 
+def _committed(spark: SparkSession, root: str) -> DataFrame:
+    """The files a streaming sink has committed, from its log; read as a table."""
+    lines = spark.read.text(f"{root.rstrip('/')}/_spark_metadata").where("value LIKE '{%'")
+    entry = "path string, size bigint, isDir boolean, modificationTime bigint, action string"
+    files = lines.select(F.from_json("value", entry).alias("f")).select("f.*")
+    # A compacted log repeats what the logs before it say.
+    return files.groupBy("path").agg(
+        F.timestamp_millis(F.max("modificationTime")).alias("modificationTime"),
+        F.bool_or(F.col("action") == "delete").alias("gone"),
+    ).where("NOT gone").select("path", "modificationTime")
+
+
+def _walk(files, folder) -> Iterator[str]:
+    """Parquet files below a folder, the greatest folder name first and in it the newest
+    file; one folder's listing at a time is held."""
+    entries = list(files.listStatus(folder))
+    names = {e.getPath().toString(): e for e in entries if not e.getPath().getName().startswith(("_", "."))}
+    for path in sorted((p for p, e in names.items() if e.isDirectory()), reverse=True):
+        yield from _walk(files, names[path].getPath())
+    plain = [(p, e) for p, e in names.items() if not e.isDirectory() and p.endswith(".parquet")]
+    for path, _ in sorted(plain, key=lambda f: (-f[1].getModificationTime(), f[0])):
+        yield path
+
+
+def files_newest_first(spark: SparkSession, root: str) -> Iterator[list[str]]:
+    """Paths of the Parquet files of a lake in growing groups, newest first.
+
+    In a stream's folder the sink's log tells the files and their times. Elsewhere folders
+    are walked from the greatest name down, which is the newest ingestion hour, and files
+    within one by time; what lies before the last group taken is all that is listed.
+    """
+    if not exists(spark, root):
+        return
+    size = 4
+    if exists(spark, f"{root.rstrip('/')}/_spark_metadata"):
+        known, done = _committed(spark, root), 0
+        while True:
+            newest = known.orderBy(F.desc("modificationTime"), "path").limit(done + size)
+            paths = [row.path for row in newest.select("path").collect()][done:]
+            if not paths:
+                return
+            yield paths
+            done, size = done + len(paths), size * 4
+    files, location = _hadoop_path(spark, root)
+    if files.getFileStatus(location).isFile():
+        yield [root]
+        return
+    walk = _walk(files, location)
+    while paths := list(islice(walk, size)):
+        yield paths
+        size *= 4
+
+
 def newest_files(spark: SparkSession, root: str, count: int) -> list[str]:
-    """Paths of the ``count`` newest Parquet files, newest first; at most that many reach the driver."""
-    newest = list_files(spark, root).orderBy(F.desc("modificationTime"), "path").limit(count)
-    return [row.path for row in newest.select("path").collect()]
+    """Paths of the ``count`` newest Parquet files, newest first."""
+    return list(islice(chain.from_iterable(files_newest_first(spark, root)), count))
 
 
 # Where a row lies: time and path of its file, place in the file.
@@ -104,10 +159,25 @@ def load_dataset(
     reads only that many of the newest files. ``ingested_since`` (UTC) skips the
     hour folders before it. ``located`` adds where each row lies, for ``preview``.
     """
+    paths = [root] if newest is None else newest_files(spark, root, newest)
+    frame = load_files(spark, root, schema, paths if exists(spark, root) else [], located)
+    if ingested_since is not None and paths:
+        hour = F.concat(*[F.col(c) for c in PARTITION_COLUMNS])
+        frame = frame.where(hour >= ingested_since.strftime("%Y%m%d%H"))
+    return frame
+
+
+def load_files(
+    spark: SparkSession,
+    root: str,
+    schema: T.StructType | DatasetSpec | None,
+    paths: list[str],
+    located: bool = False,
+) -> DataFrame:
+    """The given files of a dataset; no paths, no rows."""
     if isinstance(schema, DatasetSpec):
         schema = schema.landed_schema()
-    paths = [root] if newest is None else newest_files(spark, root, newest)
-    if not paths or not exists(spark, root):
+    if not paths:
         empty = spark.createDataFrame([], schema or T.StructType([]))
         nowhere = [F.lit(None).cast(t).alias(c) for c, t in zip(FILE_POSITION, _POSITION_TYPES)]
         return empty.select("*", *nowhere) if located else empty
@@ -119,12 +189,40 @@ def load_dataset(
     if located:
         place = [F.col(f"_metadata.{s}").alias(c) for s, c in zip(_POSITION_SOURCES, FILE_POSITION)]
         frame = frame.select("*", *place)
-    if ingested_since is not None:
-        hour = F.concat(*[F.col(c) for c in PARTITION_COLUMNS])
-        frame = frame.where(hour >= ingested_since.strftime("%Y%m%d%H"))
     return frame
 
 
+_SCHEME = "^[a-zA-Z0-9+.-]+:/+"
+
+
+def first_rows(
+    spark: SparkSession,
+    root: str,
+    schema: T.StructType | DatasetSpec,
+    choose: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+    rows: int = 20,
+) -> DataFrame:
+    """The first rows of a dataset that ``choose`` keeps, newest file first.
+
+    Files are read in growing groups, the newest first, until enough rows pass; no file is
+    left out while there are too few. ``choose`` must decide row by row.
+    """
+    taken = load_dataset(spark, root, schema, newest=0)
+    taken, found = choose(taken), 0
+    for paths in files_newest_first(spark, root):
+        group = load_files(spark, root, schema, paths, located=True)
+        # Of a group only what is still wanted reaches the driver, at most ``rows``.
+        # Listings and readers write the scheme's slashes differently.
+        names = F.array(*[F.lit(re.sub(_SCHEME, "/", path)) for path in paths])
+        order = F.array_position(names, F.regexp_replace("_file_path", _SCHEME, "/"))
+        more = choose(group).orderBy(order, "_file_row").limit(rows - found).drop(*FILE_POSITION).collect()
+        taken = taken.unionAll(spark.createDataFrame(more, taken.schema)) if more else taken
+        found += len(more)
+        if found >= rows:
+            break
+    return taken
+
+
 def preview(frame: DataFrame, rows: int = 20) -> DataFrame:
     """The first rows of a located frame, filtered or not, newest file first."""
     time, path, row = FILE_POSITION

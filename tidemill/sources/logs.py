@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamReader
 
+from tidemill.sources.lake import list_files
+
 # Where a reader without a checkpoint starts.
 BACKFILL_OFFSETS = "earliest"
 FOLLOW_OFFSETS = "latest"
@@ -86,9 +88,10 @@ class KafkaLog:
 class FileLog:
     """Parquet files of log rows, one folder per topic.
 
-    A replay of a log, or a stand-in for one. It has no offsets: a reader
-    without a checkpoint starts at the first file. The topic is the folder, so
-    reading one topic opens no file of another.
+    A replay of a log, or a stand-in for one. It has no offsets: a stream that
+    starts at ``latest`` passes over the files that exist when it is made, told by their
+    modification times. The topic is the folder, so reading one topic opens no file of
+    another.
     """
 
     path: str
@@ -106,14 +109,26 @@ class FileLog:
         folder = f"{self.path}/topic={topic[:-1]}[{topic[-1]}]"
         columns = T.StructType([f for f in LOG_SCHEMA if f.name != "topic"])
         messages = self._stream_reader(spark).schema(columns).parquet(folder)
+        messages = self._after_now(spark, messages, starting, f"{self.path}/topic={topic}")
         return messages.withColumn("topic", F.lit(topic))
 
     def stream_matching(
         self, spark: SparkSession, pattern: str, starting: str = AUDIT_OFFSETS
     ) -> DataFrame:
         messages = self._stream_reader(spark).schema(LOG_SCHEMA).parquet(self.path)
+        messages = self._after_now(spark, messages, starting, self.path)
         return messages.where(F.col("topic").rlike(f"^(?:{pattern})$"))
 
+    def _after_now(
+        self, spark: SparkSession, messages: DataFrame, starting: str, folder: str
+    ) -> DataFrame:
+        if starting != FOLLOW_OFFSETS:
+            return messages
+        newest = list_files(spark, folder).agg(F.max("modificationTime")).first()[0]
+        if newest is None:
+            return messages
+        return messages.where(F.col("_metadata.file_modification_time") > F.lit(newest))
+
     def append(self, messages: DataFrame) -> None:
         """Add log rows (any of the log columns, ``topic`` among them)."""
         messages.write.mode("append").partitionBy("topic").parquet(self.path)

@@ -7,7 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemill.catalog import PARTITION_COLUMNS
 from tidemill.operators.envelope import event_messages
-from tidemill.sources.lake import exists
+from tidemill.sources.lake import exists, has_data
 
 ONCE = {"availableNow": True}
 
@@ -24,8 +24,12 @@ def land_stream(
 
     ``trigger`` is what ``writeStream.trigger`` takes; the default of a minute
     bounds the number of files, as does ``files_per_batch``, which joins input
-    splits without a shuffle. A path takes one query with one checkpoint.
+    splits without a shuffle. A path takes one query with one checkpoint, and no
+    files of a batch: readers trust the stream's file list and would lose sight of them.
     """
+    spark, root = rows.sparkSession, path.rstrip("/")
+    if not exists(spark, f"{root}/_spark_metadata") and has_data(spark, root):
+        raise ValueError(f"{path} holds files that no stream wrote; land the stream elsewhere")
     if files_per_batch:
         rows = rows.coalesce(files_per_batch)
     writer = (
