@@ -5,7 +5,9 @@ nothing, a byte that moves costs one, whatever the pair of shards; so a flow thr
 hub states the problem with a number of edges linear in the shards, and the transfers
 are paired off afterwards. Each old shard is laid out in a fixed order of blocks, hash
 ranges of bounded size, and its transfers are cut from that order; a document goes where
-its middle byte falls. Files of shards that neither give nor take are left alone.
+its middle byte falls. That misses a cut by half a document, so long documents are dealt
+out first and shorter ones fill what is then left: the same problem once for each class
+of sizes. Files of shards that neither give nor take are left alone.
 """
 
 from __future__ import annotations
@@ -14,7 +16,7 @@ import heapq
 from dataclasses import dataclass
 from math import ceil
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemill.llm.store import stage
@@ -31,6 +33,8 @@ class Settings:
     block_bytes: int = 64 << 20
     least_blocks: int = 64
     """Blocks of an old shard, at least; one block is ordered by one task."""
+    classes: tuple[int, ...] = (8, 64)
+    """Documents above such a part of a new shard's mean size are dealt out before the rest."""
 
 
 def cheapest_flow(nodes: int, edges: list[tuple[int, int, int, int]], source: int, sink: int) -> list[int]:
@@ -112,85 +116,129 @@ def hashed_shard(shards: int) -> Column:
 
 
 def sized(docs: DataFrame, settings: Settings, old: Column | None = None) -> DataFrame:
-    """``docs`` with size, old shard and place in the old shard's order, as a struct ``layout``."""
+    """The rows of ``docs`` as a struct ``document``, their doc_id, and a struct ``layout`` of
+    size, checksum, old shard and place in the old shard's order."""
     text = F.coalesce("text", F.lit(""))
-    return docs.withColumn(
-        "layout",
+    return docs.select(
+        F.struct(*docs.columns).alias("document"),
+        "doc_id",
         F.struct(
             (F.octet_length(text) + settings.overhead).cast("long").alias("size"),
             F.crc32(text.cast("binary")).alias("crc"),
             (hashed_shard(settings.old_shards) if old is None else old.cast("int")).alias("old"),
             F.xxhash64(F.lit("place"), "doc_id", text).alias("place"),
-        ),
+        ).alias("layout"),
     )
 
 
-def positions(rows: DataFrame, blocks: int, carried: list[str]) -> DataFrame:
-    """Block and middle byte within it of each row of ``sized``, in order of a hash."""
-    flat = rows.select(*carried, "layout.*", F.pmod("layout.place", F.lit(blocks)).cast("int").alias("block"))
-    order = Window.partitionBy("old", "block").orderBy("place", "doc_id", "crc")
-    until = F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0))
-    return flat.withColumns({"middle": until - F.floor(F.col("size") / 2), "rank": F.row_number().over(order)})
+UNIT = ["old", "klass", "block"]
 
 
 @dataclass
 class Plan:
     blocks: int
-    moves: list[list[tuple[int, int]]]
-    starts: DataFrame
-    """(old, block, offset): bytes of the old shard before each block."""
-    slots: DataFrame
-    """(old, block, shard, base, first): documents of the shard before this piece, and the
-    rank of the piece's first document in its block."""
+    bounds: list[float]
+    """Sizes that divide the classes, descending."""
+    moves: list[list[list[tuple[int, int]]]]
+    """For each class and old shard, (new shard, bytes) in order."""
+    starts: DataFrame | None = None
+    """(old, klass, block, offset): bytes of the class in the old shard before each block."""
+    slots: DataFrame | None = None
+    """(old, klass, block, shard, base, first): documents of the shard before this piece, and
+    the rank of the piece's first document in its block."""
 
     @property
     def affected(self) -> set[int]:
         """Shards that give or take."""
-        moved = [(old, new) for old, row in enumerate(self.moves) for new, _ in row if old != new]
+        moved = [(old, new) for rows in self.moves for old, row in enumerate(rows) for new, _ in row if old != new]
         return {old for old, _ in moved} | {new for _, new in moved}
 
-    def cuts(self) -> Column:
-        """The new shard from ``old`` and the middle byte ``at`` in the old shard."""
-        chain = None
-        for old, row in enumerate(self.moves):
-            end, ends = 0, []
-            for new, size in row:
-                end += size
-                ends.append(F.struct(F.lit(end).cast("long").alias("end"), F.lit(new).alias("new")))
-            if ends:
-                found = F.element_at(F.filter(F.array(*ends), lambda cut: F.col("at") <= cut["end"]), 1)["new"]
-                chain = F.when(F.col("old") == old, found) if chain is None else chain.when(F.col("old") == old, found)
-        return F.lit(0) if chain is None else chain
+    @property
+    def moved_bytes(self) -> int:
+        return sum(size for rows in self.moves for old, row in enumerate(rows) for new, size in row if old != new)
+
+
+def positions(rows: DataFrame, found: Plan, carried: list[str]) -> DataFrame:
+    """Class, block and middle byte in the block of each row of ``sized``, in order of a hash."""
+    klass = F.lit(len(found.bounds))
+    for number, bound in reversed(list(enumerate(found.bounds))):
+        klass = F.when(F.col("layout.size") > bound, number).otherwise(klass)
+    block = F.pmod("layout.place", F.lit(found.blocks)).cast("int")
+    flat = rows.select(*carried, "layout.*", klass.alias("klass"), block.alias("block"))
+    order = Window.partitionBy(*UNIT).orderBy("place", "doc_id", "crc")
+    until = F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0))
+    return flat.withColumns({"middle": until - F.floor(F.col("size") / 2), "rank": F.row_number().over(order)})
+
+
+def _wanted(left: list[int], capacities: list[int], later: int, supply: int) -> list[int]:
+    """Bytes of one class for each shard: what is left but for its part of later classes."""
+    total = sum(capacities) or 1
+    free = [max(0, room - later * capacity // total) for room, capacity in zip(left, capacities)]
+    if not sum(free):
+        free = [1] * len(left)
+    sums = [0]
+    for part in free:
+        sums.append(sums[-1] + part)
+    return [supply * high // sums[-1] - supply * low // sums[-1] for low, high in zip(sums, sums[1:])]
 
 
 def plan(docs: DataFrame, settings: Settings = Settings(), old: Column | None = None, capacities: list[int] | None = None) -> Plan:
-    """Solve the transfers for (doc_id, text, ...); only one size a shard reaches the driver.
+    """Solve the transfers for (doc_id, text, ...); only sums by shard reach the driver.
 
     ``capacities`` are the bytes wanted in each new shard (by default equal parts of the
     total; else they must sum to it).
     """
+    spark = docs.sparkSession
     rows = stage(sized(docs, settings, old).select("doc_id", "layout"), "layout")
-    sums = {row["old"]: row["bytes"] for row in rows.groupBy("layout.old").agg(F.sum("layout.size").alias("bytes")).toLocalIterator()}
-    sizes = [sums.get(k, 0) for k in range(settings.old_shards)]
-    wanted = capacities or equal_parts(sum(sizes), settings.new_shards)
-    if sum(wanted) != sum(sizes):
+    sums = rows.groupBy("layout.old").agg(F.sum("layout.size").alias("bytes"))
+    most = {row["old"]: row["bytes"] for row in sums.toLocalIterator()}
+    total = sum(most.values())
+    wanted = capacities or equal_parts(total, settings.new_shards)
+    if sum(wanted) != total:
         raise ValueError("capacities must sum to the size of all documents")
-    blocks = max(settings.least_blocks, ceil(max(sizes) / settings.block_bytes))
-    placed = positions(rows, blocks, ["doc_id"])
-    order = Window.partitionBy("old").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    starts = placed.groupBy("old", "block").agg(F.sum("size").alias("bytes"))
-    starts = stage(starts.select("old", "block", F.coalesce(F.sum("bytes").over(order), F.lit(0)).alias("offset")), "starts")
-    found = Plan(blocks, transfers(sizes, wanted), starts, starts)
-    pieces = _sharded(placed, found).groupBy("old", "block", "shard").agg(F.count("*").alias("documents"), F.min("rank").alias("first"))
-    order = Window.partitionBy("shard").orderBy("old", "block").rowsBetween(Window.unboundedPreceding, -1)
+    bounds = [total / max(1, len(wanted)) / part for part in settings.classes]
+    blocks = max(settings.least_blocks, ceil(max(most.values(), default=0) / settings.block_bytes))
+    found = Plan(blocks, bounds, [])
+
+    placed = stage(positions(rows, found, ["doc_id"]), "positions")
+    units = placed.groupBy(*UNIT).agg(F.sum("size").alias("bytes"))
+    order = Window.partitionBy("old", "klass").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    found.starts = stage(units.select(*UNIT, F.coalesce(F.sum("bytes").over(order), F.lit(0)).alias("offset")), "starts")
+    supplies = [[0] * settings.old_shards for _ in range(len(bounds) + 1)]
+    for row in placed.groupBy("klass", "old").agg(F.sum("size").alias("bytes")).toLocalIterator():
+        supplies[row["klass"]][row["old"]] = row["bytes"]
+    left = list(wanted)
+    for number, supply in enumerate(supplies):
+        later = sum(map(sum, supplies[number + 1 :]))
+        found.moves.append(transfers(supply, _wanted(left, wanted, later, sum(supply))))
+        if later and sum(supply):
+            dealt = _sharded(placed.where(F.col("klass") == number), found, spark).groupBy("shard").agg(F.sum("size").alias("bytes"))
+            for row in dealt.toLocalIterator():
+                left[row["shard"]] -= row["bytes"]
+
+    pieces = _sharded(placed, found, spark).groupBy(*UNIT, "shard").agg(F.count("*").alias("documents"), F.min("rank").alias("first"))
+    order = Window.partitionBy("shard").orderBy(*UNIT).rowsBetween(Window.unboundedPreceding, -1)
     slots = pieces.withColumn("base", F.coalesce(F.sum("documents").over(order), F.lit(0))).drop("documents")
     found.slots = stage(slots, "slots")
     return found
 
 
-def _sharded(placed: DataFrame, found: Plan) -> DataFrame:
-    at = placed.join(found.starts, ["old", "block"]).withColumn("at", F.col("offset") + F.col("middle"))
-    return at.withColumn("shard", found.cuts())
+def _sharded(placed: DataFrame, found: Plan, spark: SparkSession) -> DataFrame:
+    """``placed`` with the new shard of each row: the first cut at or after its middle byte."""
+    cuts = []
+    for klass, olds in enumerate(found.moves):
+        for old, row in enumerate(olds):
+            end, ends = 0, []
+            for new, size in row:
+                end += size
+                ends.append((end, new))
+            if ends:
+                cuts.append((old, klass, ends))
+    table = spark.createDataFrame(cuts, "old int, klass int, cuts array<struct<end:long,new:int>>")
+    at = placed.join(found.starts, UNIT).withColumn("at", F.col("offset") + F.col("middle"))
+    # One row a class and shard.
+    met = at.join(F.broadcast(table), ["old", "klass"])
+    return met.withColumn("shard", F.element_at(F.filter("cuts", lambda cut: F.col("at") <= cut["end"]), 1)["new"]).drop("cuts")
 
 
 def rewrite(docs: DataFrame, found: Plan, folder: str, settings: Settings = Settings(), old: Column | None = None, only: set[int] | None = None) -> DataFrame:
@@ -202,11 +250,10 @@ def rewrite(docs: DataFrame, found: Plan, folder: str, settings: Settings = Sett
     """
     rows = sized(docs, settings, old)
     if only is not None:
-        rows = rows.where(F.col("layout.old").isin(sorted(only))) if only else rows.limit(0)
-    rows = rows.select(F.struct(*docs.columns).alias("document"), "doc_id", "layout")
-    placed = _sharded(positions(rows, found.blocks, ["document", "doc_id"]), found)
+        rows = rows.where(F.col("layout.old").isin(sorted(only))) if only else rows.where(F.lit(False))
+    placed = _sharded(positions(rows, found, ["document", "doc_id"]), found, docs.sparkSession)
     slot = F.col("base") + F.col("rank") - F.col("first")
-    slotted = placed.join(found.slots, ["old", "block", "shard"]).select(
+    slotted = placed.join(found.slots, [*UNIT, "shard"]).select(
         "document", "size", F.col("crc").alias("text_crc32"), slot.cast("long").alias("slot"), "shard"
     )
     slotted.write.option("compression", "zstd").partitionBy("shard").parquet(folder)
