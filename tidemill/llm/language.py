@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.llm import words as W
-from tidemill.llm.store import stage
+from tidemill.llm.store import bounded, stage
 from tidemill.llm.url_trust import located
 
 
@@ -78,8 +78,7 @@ def fit(docs: DataFrame, settings: Settings = Settings()) -> Model:
         )
 
     known = docs.where("lang is not null and text is not null").select("doc_id", "text", "lang")
-    place = F.xxhash64(F.col("doc_id").cast("long"))
-    ids = known.select("doc_id").orderBy(place, "doc_id").limit(settings.sample_rows).distinct()
+    ids = bounded(known.select("doc_id"), settings.sample_rows).distinct()
     sample = known.join(F.broadcast(ids), "doc_id").select("text", "lang")
     # A few tables of fixed size from each task of a bounded sample.
     totals: dict[str, np.ndarray] = {}

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from tidemill.llm import statistics as S
 from tidemill.llm import words as W
+from tidemill.llm.store import bounded
 
 
 @dataclass(frozen=True)
@@ -206,7 +207,7 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
     marks = labels.where("doc_id is not null and quality is not null").where(~held_out())
     marks = marks.groupBy("doc_id").agg(F.max("quality").alias("quality"))
     place = F.xxhash64(F.col("doc_id").cast("long"))
-    sample = marks.orderBy(place, "doc_id").limit(settings.sample_rows)
+    sample = bounded(marks, settings.sample_rows)
     known = S.counted(docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id"))
     rows = known.select("doc_id", "quality", "statistics.*").orderBy(place, *S.COUNTS).limit(settings.sample_rows).toPandas()
     return learn(features({name: rows[name].to_numpy() for name in S.COUNTS}), rows["quality"].to_numpy(float), settings)

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.llm import statistics as S
-from tidemill.llm.store import stage
+from tidemill.llm.store import bounded, stage
 
 
 @dataclass(frozen=True)
@@ -137,10 +137,11 @@ def fit(counted: DataFrame, labels: DataFrame, settings: Settings = Settings())
     """
     marks = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.max("quality").alias("quality"))
     features = S.ratios()
-    known = counted.where(~base_failed()).join(marks, "doc_id").select(
+    known = counted.where(~base_failed()).join(bounded(marks, settings.sample_rows), "doc_id").select(
         F.xxhash64(F.col("doc_id").cast("long")).alias("place"), (F.col("quality") == 0).alias("reject"),
         *[column.alias(name) for name, column in features.items()],
     )
+    # Rows may repeat a doc_id: the limit holds for them too.
     rows = known.orderBy("place", *features).limit(settings.sample_rows).toPandas()
     reject = rows["reject"].to_numpy(bool)
     growing = rows["place"].to_numpy() % 3 != 0

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemill.session import scratch_path
 
@@ -20,6 +22,18 @@ def stage(frame: DataFrame, label: str, by: str | None = None) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def bounded(rows: DataFrame, number: int) -> DataFrame:
+    """At most ``number`` rows of (doc_id, ...), the least by a hash of doc_id.
+
+    Where there are more, rows above about the share wanted are left out first, so that no
+    task offers more than its part of the sample.
+    """
+    place, total = F.xxhash64(F.col("doc_id").cast("long")), rows.count()
+    if total > number:
+        rows = rows.where(F.pmod(place, F.lit(1 << 40)) < ceil((1.2 * number / total) * (1 << 40)))
+    return rows.orderBy(place, *[F.col(f"`{name}`") for name in rows.columns]).limit(number)
+
+
 def drop(spark: SparkSession, path: str) -> None:
     """Remove a table that nothing reads any more."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
