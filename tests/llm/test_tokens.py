@@ -1,0 +1,130 @@
+import io
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+import zstandard
+from tokenizers import Tokenizer
+
+from odd import documents, empty_documents, odd_documents, prose, rows
+from tidemill.llm import token_counts as C
+from tidemill.llm import token_files as T
+from tidemill.session import scratch_path
+
+VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+SPEC = open(VOCABULARY).read()
+LIBRARY = Tokenizer.from_str(SPEC)
+
+
+def texts():
+    rng = random.Random(3)
+    letters = [chr(c) for c in range(0x20, 0x250)] + [
+        "Σ", "İ", "ſ", "'s", "<|endoftext|>", "<|ENDOFTEXT|>", "e\u0301", "\u0301", "\x1c", "\u2003", "\r", "\t", "\n", ".", ",", "中", "🎉",
+    ]
+    out = ["".join(rng.choice(letters) for _ in range(rng.randrange(40))) for _ in range(2000)]
+    out += [chr(c) + "b " + chr(c) + "\u0301 a" + chr(c) for c in (*range(0xD7FF), *range(0xE000, 0x12000))][::7]
+    return out + [d[1] or "" for d in documents()] + ["a" * 5000, "ab" * 999, "it's DON'T we'll", "", " ", "\n\n"]
+
+
+def library_ids(text):
+    return LIBRARY.encode(text, add_special_tokens=False).ids
+
+
+def test_counts_and_ids_are_those_of_the_library():
+    merger, encoder = C.Merger(SPEC), T.Encoder(SPEC, 500)
+    for text in texts():
+        expected = library_ids(text)
+        assert merger.count([text]) == [len(expected)], repr(text)
+        assert np.frombuffer(encoder.encode(text), "<u4").tolist() == expected, repr(text)
+
+
+def test_merging_by_ranks_matches_one_pair_at_a_time():
+    """Sequences in one array do not touch one another; equal neighbours merge from the left."""
+    merger = C.Merger(SPEC)
+    pieces = ["aaaaaaa", "banana", "thththth", "x", "zzzzzzzzzzzzzzzz", "hello"]
+    together = merger.merge(pieces).tolist()
+    assert together == [int(merger.merge([p])[0]) for p in pieces] == [len(library_ids(p)) for p in pieces]
+
+
+def test_token_counts(spark):
+    docs = odd_documents(spark)
+    found = C.token_counts(docs, VOCABULARY)
+    expected = [
+        (d[0], len((d[1] or "").encode()), len(library_ids(d[1] or "")), len(library_ids(d[1] or "")) > 2048) for d in documents()
+    ]
+    assert rows(found) == sorted(expected, key=repr)
+    assert C.token_counts(empty_documents(spark), VOCABULARY).count() == 0
+
+
+def expected_places(docs):
+    out, start = [], 0
+    for doc, text in docs:
+        ids = [*library_ids(text or ""), 2]
+        out.append((doc, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    return out
+
+
+@pytest.mark.parametrize("settings", [T.Settings(), T.Settings(file_bytes=4000, frame_bytes=400, read_documents=3)])
+def test_documents_come_back_in_order(spark, settings):
+    docs = [(n * 3, prose(n, n % 50)) for n in range(120)] + [(500, None), (501, "")]
+    mixed = docs[:]
+    random.Random(1).shuffle(mixed)
+    frame = spark.createDataFrame(mixed, "doc_id long, text string").repartition(5)
+    assert sorted(map(tuple, T.digest(frame, VOCABULARY, settings).collect())) == expected_places(sorted(docs))
+
+
+def test_odd_documents(spark):
+    found = T.digest(odd_documents(spark), VOCABULARY).collect()
+    assert len(found) == len(documents())
+    expected = sorted(n for _, _, n, _ in expected_places([d[:2] for d in documents()]))
+    assert sorted(r.n_tokens for r in found) == expected
+    places = sorted((r.start, r.n_tokens) for r in found)
+    assert all(a + n == b for (a, n), (b, _) in zip(places, places[1:]))
+    order = [r.doc_id for r in sorted(found, key=lambda r: r.start)]
+    assert order == sorted(order, key=lambda d: (d is not None, d or 0))
+    assert T.digest(empty_documents(spark), VOCABULARY).count() == 0
+
+
+def write_one(folder, settings=T.Settings()):
+    data = [np.arange(n * 50, dtype="<u4").tobytes() for n in range(1, 9)]
+    writer = T.Writer(str(folder), "x.zst", settings)
+    for n, part in enumerate(data):
+        writer.add(n * 10 or None, part)
+    writer.close()
+    return data
+
+
+def test_any_reader_restores_all_ids(tmp_path):
+    data = write_one(tmp_path, T.Settings(frame_bytes=256))
+    stream = zstandard.ZstdDecompressor().stream_reader(io.BytesIO((tmp_path / "x.zst").read_bytes()), read_across_frames=True)
+    assert stream.read() == b"".join(data)
+
+
+def test_only_the_frames_asked_for_are_read(tmp_path):
+    data = write_one(tmp_path)
+    reader = T.Reader(str(tmp_path), "x.zst")
+    assert list(reader.ids(3, 5)) == data[3:5]
+    assert [reader.doc_id(n) for n in range(3)] == [None, 10, 20]
+    assert reader.starts.tolist() == np.cumsum([0] + [len(d) // 4 for d in data]).tolist()
+    # Damage in one frame is found there, and does not touch the others.
+    path = tmp_path / "x.zst"
+    raw = bytearray(path.read_bytes())
+    raw[int(reader.places[2]) + int(reader.entries["packed"][2]) - 3] ^= 0xFF
+    path.write_bytes(raw)
+    damaged = T.Reader(str(tmp_path), "x.zst")
+    assert list(damaged.ids(3, 8)) == data[3:]
+    with pytest.raises((ValueError, zstandard.ZstdError)):
+        list(damaged.ids(2, 3))
+
+
+def test_files_of_failed_attempts_do_not_count(spark):
+    folder = scratch_path(spark, "ids")
+    docs = spark.createDataFrame([(n, prose(n, 5)) for n in range(10)], "doc_id long, text string")
+    manifest = T.write(docs, VOCABULARY, folder)
+    stray = T.Writer(folder, "ids-000000-0000-stray.zst", T.Settings())
+    stray.add(99, b"\0" * 8)
+    stray.close()
+    assert sorted(r.doc_id for r in T.read(spark, folder, manifest).collect()) == list(range(10))
