@@ -80,18 +80,6 @@ def list_files(spark: SparkSession, root: str) -> DataFrame:
     return files.select("path", "modificationTime", "length")
 
 
-def _committed(spark: SparkSession, root: str) -> DataFrame:
-    """The files a streaming sink has committed, from its log; read as a table."""
-    lines = spark.read.text(f"{root.rstrip('/')}/_spark_metadata").where("value LIKE '{%'")
-    entry = "path string, size bigint, isDir boolean, modificationTime bigint, action string"
-    files = lines.select(F.from_json("value", entry).alias("f")).select("f.*")
-    # A compacted log repeats what the logs before it say.
-    return files.groupBy("path").agg(
-        F.timestamp_millis(F.max("modificationTime")).alias("modificationTime"),
-        F.bool_or(F.col("action") == "delete").alias("gone"),
-    ).where("NOT gone").select("path", "modificationTime")
-
-
 def _walk(files, folder) -> Iterator[str]:
     """Parquet files below a folder, the greatest folder name first and in it the newest
     file; one folder's listing at a time is held."""
@@ -107,15 +95,16 @@ def _walk(files, folder) -> Iterator[str]:
 def files_newest_first(spark: SparkSession, root: str) -> Iterator[list[str]]:
     """Paths of the Parquet files of a lake in growing groups, newest first.
 
-    In a stream's folder the sink's log tells the files and their times. Elsewhere folders
-    are walked from the greatest name down, which is the newest ingestion hour, and files
-    within one by time; what lies before the last group taken is all that is listed.
+    In a stream's folder only committed files count; Spark takes them from the sink's log,
+    which it reads for any query of such a folder. Elsewhere folders are walked from the
+    greatest name down, which is the newest ingestion hour, and files within one by time;
+    what lies before the last group taken is all that is listed.
     """
     if not exists(spark, root):
         return
     size = 4
     if exists(spark, f"{root.rstrip('/')}/_spark_metadata"):
-        known, done = _committed(spark, root), 0
+        known, done = list_files(spark, root), 0
         while True:
             newest = known.orderBy(F.desc("modificationTime"), "path").limit(done + size)
             paths = [row.path for row in newest.select("path").collect()][done:]
