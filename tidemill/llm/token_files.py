@@ -13,6 +13,7 @@ that Spark commits, names it: tasks that are run again or twice leave nothing in
 
 from __future__ import annotations
 
+import json
 import struct
 import uuid
 import zlib
@@ -23,6 +24,7 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs
+import regex
 import xxhash
 import zstandard
 from pyspark import TaskContext
@@ -31,6 +33,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tidemill.llm.store import stage
+from tidemill.llm.token_counts import byte_letters
 from tidemill.session import scratch_path
 
 # Fixed values of the seekable format: https://github.com/facebook/zstd, contrib/seekable_format.
@@ -38,6 +41,13 @@ TABLE_MAGIC = 0x184D2A5E
 FOOTER_MAGIC = 0x8F92EAB1
 HAS_CHECKSUMS = 0x80
 DOCUMENTS_MAGIC = 0x184D2A50
+# Fixed value: the normalisation under which letters may be put in lower case beforehand.
+LOWER_CASE = {
+    "type": "Sequence",
+    "normalizers": [
+        {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"},
+    ],
+}
 ENTRY = np.dtype([("packed", "<u4"), ("size", "<u4"), ("checksum", "<u4")])
 DOCUMENT = np.dtype([("doc_id", "<i8"), ("named", "u1"), ("frame", "<u4")])
 
@@ -53,41 +63,76 @@ class Settings:
     """Bytes of ids after which a task starts a new file."""
     read_documents: int = 20_000
     """Documents of a file that one reading row covers."""
-    known_words: int = 300_000
+    known_words: int = 500_000
     """Words whose ids a worker remembers before it starts afresh."""
 
 
 MANIFEST = "file string, task int, number int, documents long, ids long"
 
 
+# Latin letters whose lower case is one letter: all but the capital I with a dot.
+LETTERED = regex.compile(r"([A-Za-zÀ-ÖØ-öø-įı-ɏ]+)([.,;:!?%$&*#()/+=-]*)")
+
+
 class Encoder(dict):
-    """The library's ids of words, as bytes, remembered. White space ends a pre-token of these
-    vocabularies, so that a text's ids are those of its words in a row."""
+    """The library's ids of words, as bytes, remembered.
+
+    White space ends a pre-token of these vocabularies, so that a text's ids are those of
+    its words in a row. A run of Latin letters is one pre-token, and stops after it are
+    another: such words are put together of their parts, in lower case, of which the
+    library's model gives the ids; all other words the library encodes as they are.
+    """
 
     def __init__(self, vocabulary: str, limit: int):
         self.library = Tokenizer.from_str(vocabulary)
         self.library.no_truncation()
         self.library.no_padding()
+        self.model = self.library.model
         self.limit = limit
+        self.before: dict[str, bytes] = {}
+        self.letters = {byte: letter for byte, letter in enumerate(byte_letters())}
+        spec = json.loads(vocabulary)
+        self.folds = spec["normalizer"] == LOWER_CASE and spec["model"]["end_of_word_suffix"] is not None
 
     def __missing__(self, word: str) -> bytes:
-        # A final stop or comma after a Latin letter is a pre-token by itself.
-        if len(word) > 2 and word[-1] in ".," and word[-2].isalpha() and word[-2] < "ɐ" and "<" not in word:
-            found = self[word[:-1]] + self[word[-1]]
-        elif word.isascii() and "<" not in word and not word.islower() and word != (lower := word.lower()):
-            found = self[lower]
-        else:
-            ids = self.library.encode(word, add_special_tokens=False).ids
-            found = np.array(ids, "<u4").tobytes()
+        found = self.before.get(word)
+        if found is None:
+            found = self._encoded(word)
         self[word] = found
         return found
 
+    def _encoded(self, word: str) -> bytes:
+        match = LETTERED.fullmatch(word) if self.folds else None
+        if match is None:
+            ids = self.library.encode(word, add_special_tokens=False).ids
+        elif match[2]:
+            return self[match[1]] + self[match[2]]
+        else:
+            lower = word.lower()
+            if lower != word:
+                return self[lower]
+            ids = [token.id for token in self.model.tokenize(word.encode().decode("latin-1").translate(self.letters))]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
     def encode(self, text: str) -> bytes:
         if len(self) > self.limit:
+            # Words met since the last time stay at hand.
+            self.before = dict(self)
             self.clear()
         return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
 
 
+_encoders: dict[str, Encoder] = {}
+
+
+def encoder(vocabulary: str, limit: int) -> Encoder:
+    """This worker's encoder, which remembers words from task to task."""
+    if vocabulary not in _encoders:
+        _encoders.clear()
+        _encoders[vocabulary] = Encoder(vocabulary, limit)
+    return _encoders[vocabulary]
+
+
 class Writer:
     """One file, written from front to end."""
 
@@ -170,7 +215,7 @@ def write(docs: DataFrame, vocabulary: str, folder: str, settings: Settings = Se
     end = np.array([settings.end_id], "<u4").tobytes()
 
     def run(batches):
-        encoder, task = Encoder(spec.value, settings.known_words), TaskContext.get().partitionId()
+        remembered, task = encoder(spec.value, settings.known_words), TaskContext.get().partitionId()
         done, writer = [], None
 
         def close() -> None:
@@ -181,7 +226,7 @@ def write(docs: DataFrame, vocabulary: str, folder: str, settings: Settings = Se
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 if writer is None:
                     writer = Writer(folder, f"ids-{task:06d}-{len(done):04d}-{uuid.uuid4().hex}.zst", settings)
-                writer.add(doc_id, encoder.encode(text.as_py() or "") + end)
+                writer.add(doc_id, remembered.encode(text.as_py() or "") + end)
                 if writer.ids * 4 >= settings.file_bytes:
                     close()
                     writer = None
