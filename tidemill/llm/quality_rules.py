@@ -129,15 +129,20 @@ def base_failed(struct: str = "statistics") -> Column:
     return (words < 20) | (100 * repeated > 30 * words)
 
 
+def marked(labels: DataFrame, settings: Settings) -> DataFrame:
+    """The (doc_id, quality) that are learned from: at most ``sample_rows``."""
+    known = labels.where("doc_id is not null and quality is not null")
+    return bounded(known.groupBy("doc_id").agg(F.max("quality").alias("quality")), settings.sample_rows)
+
+
 def fit(counted: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> list[Rule]:
     """Rules from rows of (doc_id, statistics) whose label ``quality`` is 0 or 1.
 
     Rows that the base rules fail, or without doc_id or label, teach nothing; of a
     repeated label the greatest counts. Without labels there are no rules.
     """
-    marks = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.max("quality").alias("quality"))
     features = S.ratios()
-    known = counted.where(~base_failed()).join(bounded(marks, settings.sample_rows), "doc_id").select(
+    known = counted.where(~base_failed()).join(F.broadcast(marked(labels, settings)), "doc_id").select(
         F.xxhash64(F.col("doc_id").cast("long")).alias("place"), (F.col("quality") == 0).alias("reject"),
         *[column.alias(name) for name, column in features.items()],
     )
@@ -166,10 +171,11 @@ def digest(docs: DataFrame, labels: DataFrame, settings: Settings = Settings())
 def keep_good(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """The rows of ``docs`` that the base rules and the learned list keep, with its columns.
 
-    Labelled texts are read once to learn, all texts once to judge.
+    The texts that are learned from are read once before all are judged.
     """
-    marked = labels.select("doc_id").where("doc_id is not null").distinct()
-    taught = docs.select("doc_id", "text").join(marked.hint("shuffle_hash"), "doc_id", "left_semi")
+    # At most ``sample_rows`` ids.
+    sample = F.broadcast(marked(labels, settings).select("doc_id"))
+    taught = docs.select("doc_id", "text").join(sample, "doc_id", "left_semi")
     rules = fit(S.counted(taught).select("doc_id", "statistics"), labels, settings)
     names = [f"x{i}" for i in range(len(docs.columns))]
     rows = S.counted(docs.toDF(*names), names[docs.columns.index("text")])
