@@ -300,11 +300,15 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     involved = members.select(F.col("rep").alias("doc_id")).distinct()
     sets = stage(_full_sets(docs, involved, settings), "sets")
 
-    links = stage(confirmed(stage(plausible(hub_pairs(members), known, settings), "pairs"), sets, settings), "links")
+    pairs = stage(plausible(hub_pairs(members), known, settings), "pairs")
+    links = stage(confirmed(pairs, sets, settings), "links")
     labels = stage(components(links), "labels")
-    more = stage(confirmed(stage(open_pairs(members, labels, known, settings), "pairs"), sets, settings), "links")
+    apart = stage(open_pairs(members, labels, known, settings), "pairs")
+    more = stage(confirmed(apart, sets, settings), "links")
     if not more.isEmpty():
         labels = stage(components(links.unionByName(more)), "labels")
+    for done in (members, sets, pairs, apart, links, more):
+        drop_staged(done)
 
     named = classes.select("key_a", "key_b", "n_shingles", "rep").join(
         labels.toDF("rep", "label"), "rep", "left"
