@@ -21,8 +21,8 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, the least doc_id."""
-    return near_dedup.keep_one(docs)
+    """One document of each group of near copies, the least doc_id; copies share 80 percent."""
+    return near_dedup.keep_one(docs, near_dedup.Settings(percent=80))
 
 
 def clean_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

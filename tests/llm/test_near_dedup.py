@@ -4,6 +4,7 @@ import re
 import pyarrow as pa
 import pytest
 
+import corpus_pipeline as P
 from odd import documents, empty_documents, odd_documents, prose, rows
 from tidemill.llm import near_dedup as N
 from tidemill.llm.near_dedup import Settings
@@ -95,3 +96,19 @@ def test_sets_do_not_depend_on_chunks():
     whole = [s.tolist() for s in N.shingle_sets(pa.array(texts), 5)]
     alone = [next(N.shingle_sets(pa.array([t]), 5)).tolist() for t in texts]
     assert whole == alone and [len(s) for s in whole] == [len(shingles(t)) for t in texts]
+
+
+def test_pipeline_removes_copies_from_80_percent(spark):
+    docs = []
+    for n in range(12):
+        words = prose(1000 + n, 200).split()
+        docs.append((2 * n, " ".join(words)))
+        for at in range(20, 200, 50):
+            words[at] = f"changed{n}"
+        docs.append((2 * n + 1, " ".join(words)))
+        a, b = shingles(docs[-2][1]), shingles(docs[-1][1])
+        assert 0.80 <= len(a & b) / len(a | b) < 0.85
+    frame = spark.createDataFrame(docs, DOCS)
+    kept = sorted(r.doc_id for r in P.distinct_documents(spark, frame, "").collect())
+    assert kept == [doc for doc, _, _, stays in by_hand(docs, 80) if stays] == list(range(0, 24, 2))
+    assert N.keep_one(frame).count() == len(docs)
