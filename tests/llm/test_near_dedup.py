@@ -1,5 +1,6 @@
 import random
 import re
+from math import comb
 
 import pyarrow as pa
 import pytest
@@ -112,3 +113,17 @@ def test_pipeline_removes_copies_from_80_percent(spark):
     kept = sorted(r.doc_id for r in P.distinct_documents(spark, frame, "").collect())
     assert kept == [doc for doc, _, _, stays in by_hand(docs, 80) if stays] == list(range(0, 24, 2))
     assert N.keep_one(frame).count() == len(docs)
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_links_are_lost_no_more_than_stated(percent):
+    """The chance that a pair at the threshold is dropped at any look, by sums over the table."""
+    settings, t = Settings(percent=percent), percent / 100
+    going, read = {0: 1.0}, 0
+    for n, least in N.least_matches(settings):
+        step, after = n - read, {}
+        for had, chance in going.items():
+            for m in range(step + 1):
+                after[had + m] = after.get(had + m, 0.0) + chance * comb(step, m) * t**m * (1 - t) ** (step - m)
+        going, read = {m: c for m, c in after.items() if m >= least}, n
+    assert 0 < 1 - sum(going.values()) <= settings.miss

@@ -3,7 +3,7 @@
 Documents whose shingle sets are equal form a class at once. Classes that agree on a
 band of MinHash values are candidates. A candidate pair is read batch by batch of its
 two signatures and dropped as soon as the posterior chance of a similarity at or above
-the threshold falls below ``miss``; what survives is confirmed on the full sets.
+the threshold falls below a share of ``miss``; what survives is confirmed on the full sets.
 
 Candidates of one band value are taken in two steps. First, each class is compared with
 the bucket's hub, the member that shares most buckets with others; confirmed links join
@@ -39,7 +39,7 @@ class Settings:
     batches: tuple[int, ...] = (32, 64, 128, 256)
     """Numbers of values after which the posterior is looked at."""
     miss: float = 1e-4
-    """Largest posterior chance of a link at which a pair is dropped."""
+    """Largest chance that a pair at the threshold is dropped, over all looks together."""
     block: int = 512
     """Classes of one bucket that meet others in one task at a time."""
 
@@ -51,14 +51,16 @@ PAIR = "a long, b long"
 
 def least_matches(settings: Settings) -> list[tuple[int, int]]:
     """(values read, fewest matches to go on): under a uniform prior, the posterior of a
-    similarity after m matches of n is Beta(m + 1, n - m + 1)."""
-    t = settings.percent / 100
+    similarity after m matches of n is Beta(m + 1, n - m + 1), and its chance of a link is
+    below that of m or fewer matches at the threshold. Each look may lose an equal share of
+    ``miss`` by the latter, so that all looks together lose no more than ``miss``."""
+    t, share = settings.percent / 100, settings.miss / len(settings.batches)
     table = []
     for n in settings.batches:
         below, least = 0.0, 0
         for m in range(n + 1):
-            below += comb(n + 1, m) * t**m * (1 - t) ** (n + 1 - m)
-            if below >= settings.miss:
+            below += comb(n, m) * t**m * (1 - t) ** (n - m)
+            if below >= share:
                 least = m
                 break
         table.append((n, least))
