@@ -76,6 +76,18 @@ def test_rules_and_ranks(spark):
     assert U.judged(spark.createDataFrame([], PAGES)).count() == 0
 
 
+def test_distrust_reaches_the_end_of_a_long_chain(spark):
+    """Each host of the chain has ten links to it, so that the last one's rank is about 1e-22."""
+    chain = ["bad.net"] + [f"c{n}.org" for n in range(1, 21)]
+    said = [(0, "https://bad.net/es/1", "", "v", "h")]
+    for n in range(1, 21):
+        said.append((n, f"https://{chain[n]}/a", link(chain[n - 1]), "v", "h"))
+        said += [(100 * n + k, f"https://o{n}x{k}.org/a", link(chain[n - 1]), "v", "h") for k in range(9)]
+    found = {r.page_id: r for r in U.judged(spark.createDataFrame(said, PAGES)).collect()}
+    for n in range(21):
+        assert found[n].distrust == pytest.approx(0.15 * 0.085**n, rel=1e-6) and found[n].verdict == "block"
+
+
 def test_language_follows_all_evidence(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     table = spark.read.parquet(f"{SF_DIR}/pages.parquet")

@@ -44,9 +44,13 @@ RULES = tuple(
 class Settings:
     rules: tuple[Rule, ...] = RULES
     damping: float = 0.85
-    rounds: int = 12
-    """Steps of the walk; what is left out is below ``damping ** rounds``."""
-    stage_rounds: int = 4
+    tolerance: float = 1e-11
+    """The walk ends when its last step changes no host's rank by a larger part of it."""
+    alike: float = 1e-9
+    """Trust and distrust that differ by no larger part are equal."""
+    rounds: int = 10_000
+    """Steps after which ranks that have not settled are an error."""
+    stage_rounds: int = 12
     ratio: float = 1.0
     """A host is blocked when its distrust exceeds this many times its trust."""
 
@@ -108,32 +112,42 @@ def propagated(seeds: DataFrame, links: DataFrame, settings: Settings = Settings
     """(host, trust, distrust) from seeds of those columns over links (src, dst).
 
     A walk ends at a host without links in its direction. Both walks are steps over one
-    table of edges: trust goes from src to dst, distrust from dst to src. Every
-    ``stage_rounds`` steps the ranks are written, which cuts the lineage.
+    table of edges: trust goes from src to dst, distrust from dst to src. A row from each
+    host to itself brings its seeds, so that a step is one join and one sum. Ranks only
+    grow, and no later step changes one by a larger part than this step's largest: a host
+    far from all seeds is reached before the walk ends. Every ``stage_rounds`` steps the
+    ranks are written, which cuts the lineage, and the last change is looked at.
     """
     outward = links.groupBy("src").agg(F.count("*").alias("out"))
     inward = links.groupBy("dst").agg(F.count("*").alias("into"))
     weighed = links.join(outward, "src").join(inward, "dst")
-    forward = weighed.select(F.col("src").alias("at"), F.col("dst").alias("host"), (1 / F.col("out")).alias("f"), F.lit(0.0).alias("b"))
-    backward = weighed.select(F.col("dst").alias("at"), F.col("src").alias("host"), F.lit(0.0).alias("f"), (1 / F.col("into")).alias("b"))
-    walks = stage(forward.unionByName(backward), "walks")
-    zero = F.lit(0.0)
+    zero, left = F.lit(0.0), 1 - settings.damping
+    none = zero.alias("trust0"), zero.alias("distrust0")
+    forward = weighed.select(F.col("src").alias("at"), F.col("dst").alias("host"), (settings.damping / F.col("out")).alias("f"), zero.alias("b"), *none)
+    backward = weighed.select(F.col("dst").alias("at"), F.col("src").alias("host"), zero.alias("f"), (settings.damping / F.col("into")).alias("b"), *none)
     ends = links.select(F.explode(F.array("src", "dst")).alias("host"), zero.alias("trust"), zero.alias("distrust"))
-    nodes = seeds.unionByName(ends).groupBy("host").agg(F.sum("trust").alias("trust"), F.sum("distrust").alias("distrust"))
-    now = staged = stage(nodes.select("*", F.col("trust").alias("trust0"), F.col("distrust").alias("distrust0")), "ranks")
-    part = lambda seed, flow: (1 - settings.damping) * F.col(seed) + settings.damping * F.coalesce(flow, F.lit(0.0))
-    for number in range(1, settings.rounds + 1):
-        given = walks.join(now.select(F.col("host").alias("at"), "trust", "distrust"), "at")
-        given = given.groupBy("host").agg(F.sum(F.col("trust") * F.col("f")).alias("t"), F.sum(F.col("distrust") * F.col("b")).alias("d"))
-        now = now.join(given, "host", "left").select(
-            "host", part("trust0", F.col("t")).alias("trust"), part("distrust0", F.col("d")).alias("distrust"), "trust0", "distrust0"
-        )
-        if number % settings.stage_rounds == 0 or number == settings.rounds:
-            now = stage(now, "ranks")
-            drop_staged(staged)
-            staged = now
-    # Sums of doubles depend on their order in the last digits only.
-    return now.select("host", F.round("trust", 12).alias("trust"), F.round("distrust", 12).alias("distrust"))
+    nodes = seeds.unionByName(ends).groupBy("host").agg((left * F.sum("trust")).alias("trust"), (left * F.sum("distrust")).alias("distrust"))
+    now = staged = stage(nodes, "ranks")
+    own = now.select(F.col("host").alias("at"), "host", zero.alias("f"), zero.alias("b"), F.col("trust").alias("trust0"), F.col("distrust").alias("distrust0"))
+    walks = stage(forward.unionByName(backward).unionByName(own), "walks")
+    grown = lambda name: F.when(F.col(name) > 0, (F.col(name) - F.col(f"{name}_before")) / F.col(name))
+    for _ in range(0, settings.rounds, settings.stage_rounds):
+        for _ in range(settings.stage_rounds):
+            given = walks.join(now.select(F.col("host").alias("at"), "trust", "distrust"), "at")
+            itself = F.col("at") == F.col("host")
+            now = given.groupBy("host").agg(
+                F.sum(F.col("trust") * F.col("f") + F.col("trust0")).alias("trust"),
+                F.sum(F.col("distrust") * F.col("b") + F.col("distrust0")).alias("distrust"),
+                F.max(F.when(itself, F.col("trust"))).alias("trust_before"),
+                F.max(F.when(itself, F.col("distrust"))).alias("distrust_before"),
+            )
+        now = stage(now, "ranks")
+        drop_staged(staged)
+        staged = now
+        change = now.agg(F.max(F.greatest(grown("trust"), grown("distrust")))).first()[0]
+        if change is None or change <= settings.tolerance:
+            return now.select("host", "trust", "distrust")
+    raise ValueError(f"ranks still change by a part of {change} after {settings.rounds} steps")
 
 
 def judged(pages: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -141,7 +155,7 @@ def judged(pages: DataFrame, settings: Settings = Settings()) -> DataFrame:
 
     Returns page_id, host, path, rule (null if none fits), verdict (that of the rule, else of
     the host's trust and distrust; a host that neither reaches is allowed), trust and
-    distrust. A null url, or one without ``://``, has no host and is allowed; a null html has
+    distrust in ten digits, as sums of doubles depend on their order in the last ones. A null url, or one without ``://``, has no host and is allowed; a null html has
     no links. Seeds are shares: the part of a host's pages that rules allow or block.
     """
     rows = located(pages)
@@ -154,7 +168,8 @@ def judged(pages: DataFrame, settings: Settings = Settings()) -> DataFrame:
     found = propagated(stage(seeds, "seeds"), stage(edges(rows), "links"), settings)
     known = ruled.select("page_id", "host", "path", "rule", "ruled").join(found, "host", "left")
     trust, distrust = F.coalesce("trust", F.lit(0.0)), F.coalesce("distrust", F.lit(0.0))
-    method = F.when(distrust > settings.ratio * trust, "block").otherwise("allow")
+    method = F.when(distrust > settings.ratio * (1 + settings.alike) * trust, "block").otherwise("allow")
+    ten = lambda rank: F.format_string("%.9e", rank).cast("double")
     return known.select(
-        "page_id", "host", "path", "rule", F.coalesce("ruled", method).alias("verdict"), trust.alias("trust"), distrust.alias("distrust")
+        "page_id", "host", "path", "rule", F.coalesce("ruled", method).alias("verdict"), ten(trust).alias("trust"), ten(distrust).alias("distrust")
     )
