@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemill.llm import (
-    decontaminate, language, mixing, near_dedup, quality_gam, quality_rules, resharding, token_counts, token_files, url_trust,
+    decontaminate, language, mixing, near_dedup, quality_gam, quality_rules, resharding, spelling, token_counts, token_files, url_trust, vector_graph,
+    whitening,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,3 +75,18 @@ def op7_url_trust(spark, sf_dir):
 @query
 def op9_language(spark, sf_dir):
     return language.identified(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_spelling(spark, sf_dir):
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_nearest(spark, sf_dir):
+    return vector_graph.nearest(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op13_whitening(spark, sf_dir):
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))

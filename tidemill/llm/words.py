@@ -104,7 +104,11 @@ class Words:
 
 def words(data: np.ndarray, offsets: np.ndarray, kind: np.ndarray, fold: bool) -> Words:
     """Runs of bytes of ``kind``; with ``fold``, A-Z hash as a-z."""
-    inside = kind[data]
+    return marked(data, offsets, kind[data], fold)
+
+
+def marked(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray, fold: bool) -> Words:
+    """Runs of the bytes flagged in ``inside``."""
     border = np.zeros(len(data) + 1, bool)
     border[offsets] = True
     after = np.zeros(len(data) + 1, bool)
