@@ -1,0 +1,109 @@
+import random
+
+import numpy as np
+import pytest
+
+from tidemill.llm import vector_graph as G
+
+ROWS = "vec_id long, embedding array<float>, label int"
+
+
+def brute(rows, query, count):
+    """The nearest of ``rows`` to one of them, by all scores."""
+    others = [(i, v) for i, v in rows if i != query[0]]
+    scores = G.cosine(np.array([query[1]] * len(others), float), np.array([v for _, v in others], float)) if others else []
+    return sorted(zip((i for i, _ in others), map(float, scores)), key=lambda p: (-p[1], p[0]))[:count]
+
+
+def cloud(seed, count, length=24, copies=0):
+    rng = np.random.default_rng(seed)
+    points = rng.normal(size=(count, length)).astype(np.float32)
+    points[: count // 4] = points[0] + 0.05 * points[: count // 4]
+    rows = [(i, v.tolist(), 0) for i, v in enumerate(points)]
+    return rows + [(count + i, rows[1][1], 1) for i in range(copies)]
+
+
+def answers(frame):
+    found = {}
+    for row in sorted(frame.collect(), key=lambda r: (r.query_id, r["rank"])):
+        found.setdefault(row.query_id, []).append((row.vec_id, row.score, row["rank"]))
+    return found
+
+
+def compared(rows, found, settings):
+    """Share of true neighbours found; ranks, scores and order checked on the way."""
+    hit = wanted = 0
+    for query in [r for r in rows if r[0] % settings.every == 0]:
+        truth = brute([r[:2] for r in rows], query, settings.nearest)
+        mine = found.get(query[0], [])
+        assert [rank for *_, rank in mine] == list(range(1, len(truth) + 1))
+        assert mine == sorted(mine, key=lambda m: (-m[1], m[0]))
+        own = dict(brute([r[:2] for r in rows], query, len(rows)))
+        assert all(own[i] == pytest.approx(score, abs=1e-12) for i, score, _ in mine)
+        hit, wanted = hit + len({i for i, _ in truth} & {m[0] for m in mine}), wanted + len(truth)
+    return hit / wanted
+
+
+def test_recall_over_shards(spark):
+    settings = G.Settings(every=10, shard_nodes=500, slice_queries=60, batch=100)
+    rows = cloud(1, 2500)
+    frame = spark.createDataFrame(rows, ROWS).repartition(6)
+    found = answers(G.nearest(frame, settings))
+    assert compared(rows, found, settings) >= 0.95
+    assert answers(G.nearest(frame.repartition(2), settings)) == found
+
+
+def test_the_graph_leads_to_the_nearest():
+    points = np.random.default_rng(2).normal(size=(1500, 16))
+    settings = G.Settings(links=8, build_width=40)
+    layers = G.build(G.unit(points), settings)
+    assert [len(links) for links in layers] == [1500, 187, 23, 2]
+    assert all(links.max() < len(links) for links in layers)
+    queries = points[:100] + 0.1
+    met = G.search(G.unit(points), layers, G.unit(queries), 64)[:, :5]
+    scores = G.unit(queries) @ G.unit(points).T
+    truth = np.argsort(-scores, 1)[:, :5]
+    assert np.mean([len(set(a) & set(b)) for a, b in zip(met, truth)]) / 5 >= 0.95
+    assert layers[0].shape[1] == 16 and layers[1].shape[1] == 8
+
+
+def test_few_rows_are_all_found(spark):
+    settings = G.Settings(every=2)
+    rows = cloud(3, 4)
+    found = answers(G.nearest(spark.createDataFrame(rows, ROWS), settings))
+    assert {q: len(m) for q, m in found.items()} == {0: 3, 2: 3}
+    assert compared(rows, found, settings) == 1.0
+    assert answers(G.nearest(spark.createDataFrame(rows[:1], ROWS), settings)) == {}
+
+
+def test_a_large_group_of_copies(spark):
+    """Copies are one node; the least ids of them are found, the query's own left out."""
+    settings = G.Settings(every=20, shard_nodes=100)
+    rows = cloud(4, 300, copies=400)
+    found = answers(G.nearest(spark.createDataFrame(rows, ROWS).repartition(4), settings))
+    assert compared(rows, found, settings) >= 0.95
+    assert [i for i, *_ in found[300]] == [1, 301, 302, 303, 304]
+
+
+def test_odd_vectors(spark):
+    nan, inf = float("nan"), float("inf")
+    good = [(0, [1.0, 0.0]), (1, [1e200, 1e200]), (2, [1e-300, 0.0]), (3, [-1.0, 0.0]), (4, [0.0, -0.0, 1.0]), (10, [1.0, -0.0]), (10, [1.0, 0.0]), (10, [0.0, 2.0])]
+    odd = [(5, None), (6, []), (7, [0.0, -0.0]), (8, [1.0, None]), (9, [nan, 1.0]), (11, [1.0, inf]), (None, [1.0, 0.0])]
+    schema = "vec_id long, embedding array<double>, score string, `rank` int, query_id string, twin int"
+    frame = spark.createDataFrame([(*row, "s", 1, "q", 2) for row in good + odd], schema)
+    settings = G.Settings(every=10, nearest=3)
+    found = sorted((r.query_id, r["rank"], r.vec_id, round(r.score, 9)) for r in G.nearest(frame, settings).collect())
+    half = round(0.5**0.5, 9)
+    assert found == sorted([
+        (0, 1, 2, 1.0), (0, 2, 10, 1.0), (0, 3, 1, half),
+        (10, 1, 0, 1.0), (10, 2, 2, 1.0), (10, 3, 1, half),  # of [1, 0]
+        (10, 1, 1, half), (10, 2, 0, 0.0), (10, 3, 2, 0.0),  # of [0, 2]
+    ])
+    assert G.nearest(frame.limit(0), settings).collect() == []
+
+
+def test_ties_go_to_the_smaller_id(spark):
+    rng = random.Random(5)
+    rows = [(i, [1.0, 0.0, float(rng.choice([-1, 1]))], 0) for i in range(40)]
+    found = answers(G.nearest(spark.createDataFrame(rows, ROWS), G.Settings(every=5)))
+    assert compared(rows, found, G.Settings(every=5)) == 1.0

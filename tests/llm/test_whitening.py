@@ -1,0 +1,86 @@
+import numpy as np
+import pytest
+
+from tidemill.llm import whitening as H
+
+ROWS = "vec_id long, embedding array<float>, label int"
+
+
+def by_hand(rows):
+    x = np.floor(256 * np.array([v for _, v in rows], float))
+    fit = np.unique(x, axis=0)
+    centred = fit - fit.mean(0)
+    values, vectors = np.linalg.eigh(centred.T @ centred / len(fit))
+    return x, fit, values[::-1], vectors[:, ::-1]
+
+
+def test_components_equal_those_of_a_library(spark):
+    rng = np.random.default_rng(1)
+    points = (rng.normal(size=(400, 12)) * np.linspace(3, 0.1, 12) + 5).astype(np.float32)
+    rows = [(i, v.tolist(), 0) for i, v in enumerate(points)] + [(1000 + i, points[7].tolist(), 1) for i in range(300)]
+    found = H.whitened(spark.createDataFrame(rows, ROWS).repartition(5)).collect()
+    x, fit, values, vectors = by_hand([r[:2] for r in rows])
+    assert len(fit) < 410 and len(found) == 4 * len(rows)
+    ids = [r[0] for r in rows]
+    mine = {(r.vec_id, r.component): r for r in found}
+    for k in range(4):
+        theirs = (x - fit.mean(0)) @ vectors[:, k] / np.sqrt(values[k])
+        ours = np.array([mine[i, k + 1].whitened for i in ids])
+        assert np.abs(ours - np.sign((ours * theirs).sum()) * theirs).max() < 1e-9
+        assert mine[0, k + 1].explained == pytest.approx(values[k] / values.sum(), rel=1e-10)
+    sums = [int(s) for s in fit.sum(0)]
+    for i, row in zip(ids, x):
+        assert mine[i, 1].deviation == sum((len(fit) * int(c) - s) ** 2 for c, s in zip(row, sums))
+    assert {r.n for r in found} == {len(fit)} and max(r.identity_error for r in found) < 1e-10
+
+
+@pytest.mark.parametrize("size, rank", [(1, 1), (2, 2), (9, 9), (16, 5), (33, 33)])
+def test_factor_and_rotations(size, rank):
+    rng = np.random.default_rng(size)
+    base = rng.normal(size=(size, rank)) * 10.0 ** rng.integers(-3, 4, rank)
+    scatter = base @ base.T
+    factor = H.factored(scatter)
+    assert factor.shape == (size, rank) and np.allclose(factor @ factor.T, scatter, rtol=1e-10, atol=1e-10 * np.abs(scatter).max())
+    values, vectors = H.eigen(scatter, 60)
+    expected = np.linalg.eigvalsh(scatter)[::-1][:rank]
+    assert np.allclose(values, expected, rtol=1e-8, atol=1e-12 * expected[0])
+    assert np.allclose(vectors.T @ vectors, np.eye(rank), atol=1e-9)
+    assert np.allclose(scatter @ vectors, vectors * values, atol=1e-9 * expected[0])
+
+
+def test_every_pair_meets_once_a_sweep():
+    for count in range(1, 12):
+        pairs = [tuple(sorted(p)) for a, b in H.rounds(count) for p in zip(a.tolist(), b.tolist())]
+        assert sorted(pairs) == [(i, j) for i in range(count) for j in range(i + 1, count)]
+
+
+def test_a_far_mean_costs_no_digits(spark):
+    """Deviations of a few steps around a mean of 10 ** 12 steps."""
+    rng = np.random.default_rng(3)
+    points = 2.0**32 + rng.integers(-9, 10, size=(200, 6)) * np.array([9, 5, 3, 2, 1, 1]) / 256
+    rows = [(i, v.tolist()) for i, v in enumerate(points)]
+    found = H.whitened(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    _, fit, values, _ = by_hand(rows)
+    shares = sorted({r.explained for r in found}, reverse=True)
+    assert shares == pytest.approx(list(values[:4] / values.sum()), rel=1e-6) and found[0].identity_error < 1e-8
+
+
+def test_odd_vectors(spark):
+    nan, inf = float("nan"), float("inf")
+    good = [(0, [1.0, 0.0]), (0, [1.0, 0.0]), (None, [0.5, 2.0]), (1, [-1.0, 0.25]), (2, [0.0, 0.0]), (3, [-0.0, 0.0])]
+    odd = [(5, None), (6, []), (8, [1.0, None]), (9, [nan, 1.0]), (11, [1.0, inf]), (12, [1.0, 2.0, 3.0])]
+    schema = "vec_id long, embedding array<double>, x string, n int, whitened string"
+    frame = spark.createDataFrame([(*row, "s", 1, "q") for row in good + odd], schema)
+    found = H.whitened(frame).collect()
+    assert sorted((str(r.vec_id), r.component, r.n) for r in found) == sorted((str(i), c, 4) for i, _ in good for c in (1, 2))
+    assert H.whitened(frame.limit(0)).collect() == []
+    assert H.whitened(frame.where("vec_id = 0")).collect() == []  # no variance
+
+
+def test_sums_beyond_a_long_are_null_not_wrong(spark):
+    rows = [(0, [1e16, 1.0]), (1, [-1e16, 2.0]), (2, [3.0, 4.0]), (3, [1e300, 5.0])]
+    found = H.whitened(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert {r.deviation for r in found} == {None} and all(np.isfinite(r.whitened) for r in found)
+    line = [(i, [float(i), 2.0 * i]) for i in range(5)]
+    found = H.whitened(spark.createDataFrame(line, "vec_id long, embedding array<double>")).collect()
+    assert {(r.component, round(r.explained, 12)) for r in found} == {(1, 1.0)}

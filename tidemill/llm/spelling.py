@@ -16,6 +16,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from math import ceil, log
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +45,10 @@ class Settings:
     """Words that go down a trie together."""
     leaf: int = 24
     """Words that are compared rather than divided further."""
+    keys: int = 3
+    """Groups that make the key of a trie, at least: each fourfold number of words beyond
+    ``key_words`` takes one more, so that the words of one key stay few."""
+    key_words: int = 2_000_000
 
 
 # Letters of A-Z in lower case and of U+00C0 to U+00FF by groups, the most telling ones first.
@@ -51,8 +56,6 @@ GROUPS = (
     "e", "a", "i", "n", "o", "t", "r", "s", "hl", "cd", "um", "pgb", "fywv", "kxjqz",
     "".join(map(chr, range(0xDF, 0x100))), "".join(map(chr, range(0xC0, 0xDF))),
 )
-KEYS = 3
-"""Groups that make the key of a trie."""
 WIDTH = 48
 """Letters that are compared side by side; longer words are compared one by one."""
 
@@ -131,7 +134,7 @@ def _count(data: np.ndarray, offsets: np.ndarray, names: list[bytes], totals: di
     pairs = np.concatenate([[0], np.cumsum(two)])
     letters = runs.end - runs.start - (pairs[runs.end] - pairs[runs.start])
     before = np.array([zlib.crc32(name) for name in names], np.uint32)[runs.text]
-    sums = checksums(lower, runs.start, runs.end, before)
+    sums = checksums(lower, runs.start, runs.end, before).astype(np.int64)
     cut = sums % settings.every == 0
     for index in np.flatnonzero(cut & (letters > settings.letters)).tolist():
         word = lower[runs.start[index] : runs.end[index]].tobytes().decode()
@@ -149,7 +152,7 @@ def _count(data: np.ndarray, offsets: np.ndarray, names: list[bytes], totals: di
 class Spelled:
     """Words as numbers: letters side by side, counts of letter groups."""
 
-    def __init__(self, words: list[str], keys: int = KEYS):
+    def __init__(self, words: list[str], keys: int):
         self.text = [word.encode("latin-1") for word in words]
         self.length = np.array([len(word) for word in self.text], np.int64)
         every = np.frombuffer(b"".join(self.text), np.uint8)
@@ -172,9 +175,9 @@ class Trie:
     """The words of one key and block, in order of their counts: a node is a run of words whose
     counts agree as far as it is deep."""
 
-    def __init__(self, words: list[str], n: np.ndarray, settings: Settings):
+    def __init__(self, words: list[str], n: np.ndarray, keys: int, settings: Settings):
         self.settings = settings
-        self.spelled = Spelled(words)
+        self.spelled = Spelled(words, keys)
         order = np.lexsort(self.spelled.counts.T[::-1])
         self.spelled.take(order)
         self.n = n[order]
@@ -247,21 +250,27 @@ def _one_edit(a: bytes, b: bytes) -> bool:
     return short[low + (len(a) == len(b)) :] == grown[low + 1 :]
 
 
-def dealt(vocabulary: DataFrame, settings: Settings) -> DataFrame:
+def key_groups(words: int, settings: Settings) -> int:
+    """How many groups make a key."""
+    more = ceil(log(max(1.0, words / settings.key_words), 4) - 1e-9)
+    return min(len(GROUPS) - 1, settings.keys + more)
+
+
+def dealt(vocabulary: DataFrame, groups: int, settings: Settings) -> DataFrame:
     """The words as members of the tries of their keys, and as visitors of all within the budget."""
     count = lambda letters: F.length("word") - F.length(F.translate("word", letters, ""))
-    names = [f"k{i}" for i in range(KEYS)]
+    names = [f"k{i}" for i in range(groups)]
     words = vocabulary.select("word", "n", *[count(GROUPS[i]).alias(name) for i, name in enumerate(names)])
     size = words.groupBy(*names).agg(F.ceil(F.count("*") / settings.block).cast("int").alias("blocks"))
     members = words.join(size, names).select(
         *names, F.pmod(F.xxhash64("word"), "blocks").cast("int").alias("block"), F.lit(True).alias("member"), "word", "n",
         F.lit(False).alias("surplus"), F.lit(False).alias("deficit"),
     )
-    steps = [(0,) * KEYS]
-    for up in range(-1, KEYS):
-        for down in range(-1, KEYS):
+    steps = [(0,) * groups]
+    for up in range(-1, groups):
+        for down in range(-1, groups):
             if up != down:
-                steps.append(tuple((i == up) - (i == down) for i in range(KEYS)))
+                steps.append(tuple((i == up) - (i == down) for i in range(groups)))
     ways = F.array(*[
         F.struct(*[(F.col(name) + by).alias(name) for name, by in zip(names, step)], F.lit(1 in step).alias("surplus"), F.lit(-1 in step).alias("deficit"))
         for step in sorted(set(steps))
@@ -276,7 +285,8 @@ def dealt(vocabulary: DataFrame, settings: Settings) -> DataFrame:
 
 def met(vocabulary: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """(word, n_near, best_n, best) of each word and trie in which it has near words."""
-    keys = [*[f"k{i}" for i in range(KEYS)], "block"]
+    groups = key_groups(vocabulary.count(), settings)
+    keys = [*[f"k{i}" for i in range(groups)], "block"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place, trie, members, visitors = None, None, [], []
@@ -285,7 +295,7 @@ def met(vocabulary: DataFrame, settings: Settings = Settings()) -> DataFrame:
             rows = pa.Table.from_batches(visitors)
             visitors.clear()
             words = rows["word"].to_pylist()
-            asked = Spelled(words)
+            asked = Spelled(words, groups)
             one, other = trie.near(asked, rows["surplus"].to_numpy(), rows["deficit"].to_numpy())
             order = np.lexsort((trie.rank[other], -trie.n[other], one))
             one, other = one[order], other[order]
@@ -318,14 +328,14 @@ def met(vocabulary: DataFrame, settings: Settings = Settings()) -> DataFrame:
                     continue
                 if trie is None:
                     rows = pa.Table.from_batches(members)
-                    trie = Trie(rows["word"].to_pylist(), rows["n"].to_numpy(), settings)
+                    trie = Trie(rows["word"].to_pylist(), rows["n"].to_numpy(), groups, settings)
                 visitors.append(part)
                 if sum(part.num_rows for part in visitors) >= settings.queries:
                     yield answer()
         if visitors:
             yield answer()
 
-    rows = dealt(vocabulary, settings).repartition(*keys).sortWithinPartitions(*keys, F.desc("member"))
+    rows = dealt(vocabulary, groups, settings).repartition(*keys).sortWithinPartitions(*keys, F.desc("member"))
     return rows.mapInArrow(run, MET)
 
 
