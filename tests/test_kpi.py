@@ -195,6 +195,19 @@ def test_charts_of_one_pass(spark):
     ]
 
 
+def test_sums_beyond_whole_cents_are_doubles(spark):
+    """Three million amounts of 8e16, whose high parts run over a bigint together."""
+    many = spark.range(3_000_000).select(F.lit(8e16).alias("v"), (F.col("id") % 3).alias("k"))
+    assert many.agg(money.total(F.col("v"))).first()[0] == pytest.approx(2.4e23, rel=1e-9)
+    assert [r[1] for r in many.groupBy("k").agg(money.total(F.col("v"))).collect()] == pytest.approx([8e22] * 3, rel=1e-9)
+    signs = many.select((F.col("v") * F.when(F.col("k") == 0, -1).otherwise(1)).alias("v"))
+    assert signs.agg(money.total(F.col("v"))).first()[0] == pytest.approx(8e22, rel=1e-9)
+    inf, nan = float("inf"), float("nan")
+    odd = spark.createDataFrame([(1, 0.1), (1, 0.2), (1, nan), (2, inf), (2, 1.0), (3, None), (4, nan), (5, -8e16)], "k int, v double")
+    found = {r.k: r.t for r in odd.groupBy("k").agg(money.total(F.col("v")).alias("t")).collect()}
+    assert found == {1: 0.3, 2: inf, 3: 0.0, 4: 0.0, 5: -8e16}
+
+
 # Quantity and price; an exact half of a cent goes to the even one.
 PRICES = [(3, 1.1), (3, 0.1), (1, 0.125), (-1, 2.5)]
 

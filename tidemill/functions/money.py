@@ -7,9 +7,9 @@ from decimal import Decimal
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Cents are added up in two parts of this many bits and more, so that neither
-# sum can run over: the low parts of 2^43 rows fit a bigint, as do the high
-# parts of as many amounts of a decimal(10,2) column. Larger amounts are left to doubles.
+# Cents are added up in two parts of this many bits and more. The low parts of 2^43 rows fit
+# a bigint, as do the high parts of as many amounts of a decimal(10,2) column; where the high
+# parts of larger amounts run over, and for amounts beyond ``LARGEST``, doubles are added up.
 LOW_BITS = 20
 LARGEST = 9e16
 
@@ -28,15 +28,17 @@ def total(amount: Column) -> Column:
     """Exact sum as a double, whatever the order of rows; 0.0 when there is nothing to add.
 
     Two bigint sums cost a fifth of one decimal sum. Where an amount is too large for
-    them, infinities included, the amounts are added up as doubles. NaN is missing.
+    them, infinities included, or the amounts together are, they are added up as doubles.
+    NaN is missing.
     """
     whole = cents(amount)
-    high = F.sum(F.shiftright(whole, LOW_BITS)).cast("decimal(20,0)")
+    high = F.try_sum(F.shiftright(whole, LOW_BITS)).cast("decimal(20,0)")
     low = F.sum(whole.bitwiseAND(F.lit((1 << LOW_BITS) - 1))).cast("decimal(20,0)")
     both = (high * F.lit(Decimal(1 << LOW_BITS)) + low) * F.lit(Decimal("0.01"))
     known = present(amount)
     large = F.max(F.abs(known)) >= LARGEST
-    return F.coalesce(F.when(large, F.sum(known)).otherwise(both.cast("double")), F.lit(0.0))
+    exact = F.when(~large, both.cast("double"))
+    return F.coalesce(exact, F.sum(known), F.lit(0.0))
 
 
 def mean(amount: Column) -> Column:
