@@ -114,6 +114,23 @@ def test_large_groups_are_settled_in_rounds(spark, monkeypatch):
     assert rows(added) == one_by_one([], batch)
 
 
+def test_a_long_chain_takes_steps_as_its_logarithm(spark, monkeypatch):
+    """A chain whose rows each have the one before as only earlier rival, and side branches."""
+    monkeypatch.setattr(insert, "SETTLED_AT_ONCE", 10)
+    staged = []
+    write = insert.stage
+
+    def recorded(frame, label):
+        staged.append(label)
+        return write(frame, label)
+
+    monkeypatch.setattr(insert, "stage", recorded)
+    batch = chain(20_000) + [(f"p{n}", f"side{n}", 30_000 + n) for n in range(0, 9_000, 7)]
+    added = insert.insert_ignore_unique(frame(spark, []), frame(spark, batch), "pk", ["email"], ["n"])
+    assert rows(added) == one_by_one([], batch)
+    assert staged.count("rest") <= 4 and staged.count("ways") <= 25
+
+
 def test_seed_only_while_empty(spark, tmp_path):
     path = str(tmp_path / "t")
 

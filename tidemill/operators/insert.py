@@ -50,8 +50,9 @@ def insert_ignore_unique(
     are joined to groups of direct and indirect rivals, which cannot touch each
     other: a group of up to ``SETTLED_AT_ONCE`` rows is walked through in order in one
     expression; larger ones are settled in rounds, in each of which the rows that are
-    first under all their keys go in and those sharing a key with them are out. Only
-    order and keys take part; the rows themselves are fetched once, at the end.
+    first under all their keys go in, chains that begin with them are followed to their
+    ends, and rows sharing a key with an accepted one are out. Only order and keys take
+    part; the rows themselves are fetched once, at the end.
     """
     keys = [primary_key, *unique]
     offered = batch.where(F.col(primary_key).isNotNull())
@@ -122,24 +123,74 @@ def _walked(rivals: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def _in_rounds(rest: DataFrame, keys: list[str]) -> list[DataFrame]:
+    """The ids that go in, round by round.
+
+    In a round, rows without an earlier rival go in, chains of rows with just one earlier
+    rival are decided up to their ends, and all that share a key with an accepted row are out.
+    """
     accepted = []
     rest = stage(rest, "rest")
     while not rest.isEmpty():
-        leaders = rest
-        for key in keys:
-            # Joined on order and key together, so rows of a hot key spread out.
-            leaders = leaders.join(_first_per_value(rest, key), ["__order"], "left_semi")
-        leaders = stage(leaders, "leaders")
-        accepted.append(leaders.select("__id"))
-        left = rest
+        places = stage(_places(rest, keys), "places")
+        leaders = places.where(F.col("firsts") == len(keys)).select("__id")
+        one_rival = (F.col("rivals") == 1) & (F.col("firsts") == len(keys) - 1)
+        followers = places.where(one_rival).select("__id", "to")
+        chosen = stage(leaders.unionByName(_every_other(followers, leaders)), "chosen")
+        accepted.append(chosen)
+        left, taken = rest, stage(rest.join(chosen, "__id", "left_semi"), "taken")
         for key in keys:
-            left = _without_values(left, leaders, key)
+            left = _without_values(left, taken, key)
         after = stage(left, "rest")
-        unstage(rest)
+        for done in (rest, places, taken):
+            unstage(done)
         rest = after
     return accepted
 
 
+def _places(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """(__id, firsts, rivals, to) of the rows that are first or second under a key.
+
+    ``firsts`` counts the keys under which a row is first, ``rivals`` those under which it is second,
+    with the first row of such a key in ``to``. A row without a value is first under that key.
+    Two least orders of each value are all that is looked at, so rows of a hot key spread out.
+    """
+    parts = []
+    for key in keys:
+        known = rows.where(F.col(key).isNotNull()).select(key, "__order")
+        first = known.groupBy(key).agg(F.min("__order").alias("__first"))
+        later = known.join(first.select(F.col("__first").alias("__order")), "__order", "left_anti")
+        second = later.groupBy(key).agg(F.min("__order").alias("__second")).join(first, key)
+        none = rows.where(F.col(key).isNull()).select(F.col("__order.__id").alias("__id"))
+        firsts = first.select(F.col("__first.__id").alias("__id")).unionByName(none)
+        parts.append(firsts.select("__id", F.lit(1).alias("firsts"), F.lit(0).alias("rivals"), F.lit(None).cast("long").alias("to")))
+        parts.append(
+            second.select(F.col("__second.__id").alias("__id"), F.lit(0).alias("firsts"), F.lit(1).alias("rivals"), F.col("__first.__id").alias("to"))
+        )
+    every = reduce(DataFrame.unionByName, parts)
+    return every.groupBy("__id").agg(F.sum("firsts").alias("firsts"), F.sum("rivals").alias("rivals"), F.max("to").alias("to"))
+
+
+def _every_other(followers: DataFrame, leaders: DataFrame) -> DataFrame:
+    """The ids that go in of chains (__id, to) whose first row goes in: each second one.
+
+    A row whose only earlier rival is ``to`` goes in just if that one does not. Each step
+    doubles the way that a row looks back, so a chain takes steps as its logarithm.
+    """
+    ways = stage(followers.withColumn("steps", F.lit(1).cast("long")), "ways")
+    while True:
+        ahead = ways.select(F.col("__id").alias("to"), F.col("to").alias("__next"), F.col("steps").alias("__more"))
+        if ways.join(ahead, "to", "left_semi").isEmpty():
+            break
+        further = ways.join(ahead, "to", "left").select(
+            "__id", F.coalesce("__next", "to").alias("to"), (F.col("steps") + F.coalesce("__more", F.lit(0))).alias("steps")
+        )
+        after = stage(further, "ways")
+        unstage(ways)
+        ways = after
+    begun = ways.join(leaders.select(F.col("__id").alias("to")), "to", "left_semi")
+    return begun.where(F.col("steps") % 2 == 0).select("__id")
+
+
 def _without_values(rows: DataFrame, taken: DataFrame, key: str) -> DataFrame:
     """Rows whose key is not taken; a NULL key is never taken."""
     offered = rows.select(key).where(F.col(key).isNotNull()).distinct()
@@ -147,13 +198,6 @@ def _without_values(rows: DataFrame, taken: DataFrame, key: str) -> DataFrame:
     return rows.join(held, key, "left_anti")
 
 
-def _first_per_value(rows: DataFrame, key: str) -> DataFrame:
-    """Order of the first row per key value; a row without a value is first on its own."""
-    alone = F.when(F.col(key).isNull(), F.col("__order"))
-    firsts = rows.groupBy(key, alone.alias("__alone")).agg(F.min("__order").alias("__order"))
-    return firsts.select("__order")
-
-
 def seed_if_empty(
     target: DataFrame,
     rows: Callable[[], DataFrame],
