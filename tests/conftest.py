@@ -12,12 +12,12 @@ from tidemill.session import build_session  # noqa: E402
 def spark(tmp_path_factory):
     session = build_session(
         "tests",
-        "local[8]",
+        "local[4]",
         {
             "spark.sql.shuffle.partitions": "4",
             "spark.default.parallelism": "2",
             "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
-            "spark.driver.memory": "8g",
+            "spark.driver.memory": "4g",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
         },
     )

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from plans import scanned_rows
 from tidemill import catalog, session
 from tidemill.operators.enrich import add_ingestion_metadata
-from tidemill.sources import lake, logs, tables
+from tidemill.sources import footers, lake, logs, tables
 from tidemill.streaming import sinks
 
 SCHEMA = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.StringType())])
@@ -202,3 +202,21 @@ def test_scratch_lies_in_the_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     paths = {session.scratch_path(spark, "lake") for _ in range(2)}
     assert len(paths) == 2 and all(p.startswith(f"{shared}/lake-") for p in paths)
+
+
+def test_row_counts_come_from_footers(spark, tmp_path):
+    """Files with other columns, or columns in another order, count alike; nothing is read."""
+    root, hours = str(tmp_path / "lake"), catalog.PARTITION_COLUMNS
+    place = lambda hour: [F.lit(v).alias(c) for c, v in zip(hours, ("2024", "01", "02", hour))]
+    assert footers.row_count(spark, root) == 0 and footers.rows_by_hour(spark, root).count() == 0
+    numbers = spark.range(10, numPartitions=3)
+    sinks.land_batch(numbers.select("id", F.lit(0.5).alias("x"), *place("03")), root)
+    sinks.land_batch(numbers.select(F.lit("y").alias("z"), (F.col("id") + 500).alias("id"), *place("03")), root)
+    sinks.land_batch(numbers.where("id < 4").select("id", *place("23")), root)
+    counts = footers.rows_by_hour(spark, root)
+    assert rows(counts) == [("2024", "01", "02", "03", 20), ("2024", "01", "02", "23", 4)]
+    assert footers.row_count(spark, root) == 24
+    plan = footers.hourly_counts(footers.footer_session(spark), root)._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [COUNT(*)]" in plan and "ReadSchema: struct<year:string,month:string,day:string,hour:string,count(*):bigint>" in plan
+    # The caller's session keeps its own reader.
+    assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"

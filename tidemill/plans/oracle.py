@@ -447,9 +447,12 @@ BODIES = {
     "newest_files_rows": """
         SELECT o_orderkey, lpad((o_orderkey % 24)::VARCHAR, 2, '0') AS hour FROM orders
         WHERE o_orderkey % 24 >= 19""",
+    "rows_by_hour": """
+        SELECT '2024' AS year, '01' AS month, '02' AS day, lpad((o_orderkey % 24)::VARCHAR, 2, '0') AS hour, count(*) AS rows
+        FROM orders GROUP BY ALL""",
     "preview_filtered": """
         SELECT lpad((o_orderkey % 24)::VARCHAR, 2, '0') AS hour, o_orderkey FROM orders
-        WHERE o_orderkey % 24 < 20 AND o_orderkey % 7 = 3 AND o_orderkey < 400
+        WHERE o_orderpriority = '1-URGENT' AND o_totalprice > 300000
         ORDER BY hour DESC, o_orderkey LIMIT 30""",
     "recent_events_7d": recent("shop_web_events", "event_timestamp", 7),
     "recent_orders_by_window": WINDOWS,
@@ -539,6 +542,21 @@ BODIES = {
     + " UNION ALL SELECT 'no_orders', EXISTS (SELECT 1 FROM shop_orders WHERE total_amount < 0)",
     "backfill_then_stream": count_by("shop_orders", "status", "orders"),
     "followed_orders": count_by("(SELECT * FROM shop_orders WHERE status <> 'F')", "status", "orders"),
+    "log_between_offsets": """
+        SELECT o_orderkey::VARCHAR AS order_id, o_orderstatus AS status FROM (
+            SELECT *, row_number() OVER (PARTITION BY o_orderkey % 3 ORDER BY o_orderkey) - 1 AS place,
+                   count(*) OVER (PARTITION BY o_orderkey % 3) AS n
+            FROM orders)
+        WHERE place >= n // 4 AND place < 3 * n // 4""",
+    "log_missing_offsets": """
+        SELECT 'shop.public.orders' AS topic, p::INTEGER AS partition, min(place) AS start, max(place) + 1 AS "end"
+        FROM (SELECT p, place, place - row_number() OVER (PARTITION BY p ORDER BY place) AS run
+              FROM (SELECT o_orderkey % 3 AS p, o_orderstatus,
+                           row_number() OVER (PARTITION BY o_orderkey % 3 ORDER BY o_orderkey) - 1 AS place
+                    FROM orders)
+              WHERE o_orderstatus = 'P')
+        GROUP BY p, run""",
+    "ledger_resumed_orders": count_by("shop_orders", "status", "orders"),
     "all_datasets_landed": " UNION ALL ".join(
         f"SELECT '{n}' AS dataset, count(*) AS rows, TRUE AS has_data FROM shop_{n}"
         for n in SHOP_SQL
@@ -615,6 +633,11 @@ BODIES = {
         QUALIFY row_number() OVER (
             PARTITION BY l_orderkey, l_linenumber
             ORDER BY l_shipdate, l_partkey, l_suppkey, l_extendedprice) = 1""",
+    "insert_ignore_stream": """
+        SELECT l_orderkey, l_linenumber, l_shipdate, l_returnflag FROM lineitem
+        QUALIFY row_number() OVER (
+            PARTITION BY l_orderkey
+            ORDER BY CASE l_returnflag WHEN 'R' THEN 1 WHEN 'A' THEN 2 ELSE 3 END, l_shipdate, l_linenumber) = 1""",
     "seeded_if_empty": "SELECT customer_id, email FROM shop_customers",
 }
 for _name in SHOP_SQL:

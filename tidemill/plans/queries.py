@@ -5,10 +5,11 @@ Times leave as ``timestamp_ntz``, so that values do not depend on a session zone
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemill import catalog
@@ -18,10 +19,12 @@ from tidemill.operators import envelope, filters, insert, kpi, quality, rules
 from tidemill.operators.enrich import add_ingestion_metadata, convert_times, enrich
 from tidemill.plans import dashboard
 from tidemill.plans.shop import SHOP, VISIT_STEPS, table
-from tidemill.session import configure, scratch_path
-from tidemill.sources import lake, tables
-from tidemill.sources.logs import BACKFILL_OFFSETS, FOLLOW_OFFSETS, FileLog, table_topics
-from tidemill.streaming import landing, sinks
+from tidemill.session import configure, scratch_path, stage
+from tidemill.sources import footers, lake, offsets, tables
+from tidemill.sources.logs import (
+    BACKFILL_OFFSETS, FOLLOW_OFFSETS, LOG_SCHEMA, FileLog, table_topics,
+)
+from tidemill.streaming import inserts, landing, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -242,11 +245,18 @@ def newest_files_rows(spark, sf_dir):
     return lake.load_dataset(spark, root, schema, newest=5).select("o_orderkey", "hour")
 
 
+@query
+def rows_by_hour(spark, sf_dir):
+    """Rows of each landed hour, from the files' footers alone."""
+    root, _ = _orders_by_hour(spark, sf_dir)
+    return footers.rows_by_hour(spark, root)
+
+
 @query
 def preview_filtered(spark, sf_dir):
     """The first rows that pass a filter, where the newest files hold fewer than asked for."""
     root, schema = _orders_by_hour(spark, sf_dir)
-    rare = "o_orderkey % 24 < 20 AND o_orderkey % 7 = 3 AND o_orderkey < 400"
+    rare = "o_orderpriority = '1-URGENT' AND o_totalprice > 300000"
     return lake.first_rows(spark, root, schema, lambda rows: rows.where(rare), 30).select("hour", "o_orderkey")
 
 
@@ -658,6 +668,56 @@ def followed_orders(spark, sf_dir):
     return kpi.count_by(lake.load_dataset(spark, spec.lake_path(root), spec), "status", "orders")
 
 
+def _numbered_orders(spark, sf_dir) -> DataFrame:
+    """Messages of orders in three partitions, with offsets in the order of their ids."""
+    messages = envelope.encode(SHOP["orders"](spark, sf_dir), catalog.ORDERS, PREFIX)
+    order_id = F.get_json_object(F.col("key").cast("string"), "$.order_id").cast("long")
+    placed = messages.withColumn("partition", F.pmod(order_id, F.lit(3)).cast("int"))
+    place = F.row_number().over(Window.partitionBy("partition").orderBy(order_id)) - 1
+    return placed.withColumn("offset", place.cast("long"))
+
+
+@query
+def log_between_offsets(spark, sf_dir):
+    """The middle half of each partition of a log, read between offsets."""
+    log, topic = FileLog(scratch_path(spark, "log")), catalog.ORDERS.topic(PREFIX)
+    log.append(_numbered_orders(spark, sf_dir))
+    marks = offsets.marks(log.messages(spark, topic)).collect()
+    starting, ending = (
+        json.dumps({topic: {r.partition: r.first + (r.end - r.first) * part // 4 for r in marks}})
+        for part in (1, 3)
+    )
+    rows = log.read(spark, topic, starting, ending).transform(envelope.decode, catalog.ORDERS)
+    return rows.select("order_id", "status")
+
+
+@query
+def log_missing_offsets(spark, sf_dir):
+    """Stretches of a log that are gone: the messages of orders in process."""
+    log, topic = FileLog(scratch_path(spark, "log")), catalog.ORDERS.topic(PREFIX)
+    messages = stage(_numbered_orders(spark, sf_dir), "messages")
+    status = F.get_json_object(F.col("value").cast("string"), "$.after.status")
+    log.append(messages.where(status != "P"))
+    return offsets.missing(log.messages(spark, topic), offsets.ranges(messages))
+
+
+@query
+def ledger_resumed_orders(spark, sf_dir):
+    """A reader takes a growing log in turns; each turn fails once before it is noted."""
+    spec, topic = catalog.ORDERS, catalog.ORDERS.topic(PREFIX)
+    log = FileLog(scratch_path(spark, "log"), partitions=4)
+    ledger, root = offsets.Ledger(scratch_path(spark, "ledger")), scratch_path(spark, "taken")
+    orders = SHOP["orders"](spark, sf_dir)
+    for turn, status in enumerate(("F", "O", "P")):
+        log.append(envelope.encode(orders.where(F.col("status") == status), spec, PREFIX))
+        for _ in range(2):
+            rows, wanted = ledger.take(log.messages(spark, topic), "reader", turn)
+            rows.write.mode("overwrite").parquet(f"{root}/turn={turn}")
+        ledger.note(wanted, "reader", turn)
+    taken = spark.read.schema(LOG_SCHEMA).parquet(root).transform(envelope.decode, spec)
+    return kpi.count_by(taken, "status", "orders")
+
+
 @query
 def all_datasets_landed(spark, sf_dir):
     """Nine datasets and the audit from one mixed log, side by side; rows and newest file count."""
@@ -860,6 +920,25 @@ def insert_ignore_two_keys(spark, sf_dir):
     ).select("line", "supply")
 
 
+@query
+def insert_ignore_stream(spark, sf_dir):
+    """Lines into a table with a line of each order, as a stream that is replayed from its start."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate", "l_returnflag")
+    source, target = scratch_path(spark, "lines"), scratch_path(spark, "table")
+    wanted = inserts.InsertTable(target, lines.schema, ["l_orderkey"], ["l_shipdate", "l_linenumber"])
+
+    def land(checkpoint: str) -> None:
+        stream = spark.readStream.schema(lines.schema).parquet(source)
+        wanted.insert_stream(stream, checkpoint, trigger=sinks.ONCE).awaitTermination()
+
+    checkpoint = scratch_path(spark, "checkpoint")
+    for flag in ("R", "A", "N"):
+        lines.where(F.col("l_returnflag") == flag).write.mode("append").parquet(source)
+        land(checkpoint)
+    land(scratch_path(spark, "checkpoint"))
+    return wanted.rows(spark)
+
+
 @query
 def seeded_if_empty(spark, sf_dir):
     """Customers seeded twice: the second time the target is not empty, and nothing is added."""
