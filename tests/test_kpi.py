@@ -206,6 +206,12 @@ def test_sums_beyond_whole_cents_are_doubles(spark):
     odd = spark.createDataFrame([(1, 0.1), (1, 0.2), (1, nan), (2, inf), (2, 1.0), (3, None), (4, nan), (5, -8e16)], "k int, v double")
     found = {r.k: r.t for r in odd.groupBy("k").agg(money.total(F.col("v")).alias("t")).collect()}
     assert found == {1: 0.3, 2: inf, 3: 0.0, 4: 0.0, 5: -8e16}
+    # Kept pieces of parts put together give the same.
+    for frame in (odd, many.withColumn("k", F.lit(0)).withColumn("v", F.col("v").cast("double"))):
+        whole = {r.k: r.t for r in frame.groupBy("k").agg(money.total(F.col("v")).alias("t")).collect()}
+        kept = frame.groupBy("k", F.rand(1) > 0.5).agg(*[c.alias(f"v_{n}") for n, c in money.pieces(F.col("v")).items()])
+        again = kept.groupBy("k").agg(money.assembled(money.regathered("v_")).alias("t"))
+        assert {r.k: r.t for r in again.collect()} == pytest.approx(whole, rel=1e-9)
 
 
 # Quantity and price; an exact half of a cent goes to the even one.

@@ -24,6 +24,40 @@ def present(amount: Column) -> Column:
     return F.when(~F.isnan(amount), amount)
 
 
+def pieces(amount: Column) -> dict[str, Column]:
+    """What ``total`` adds up, as aggregates that can be kept and put together later."""
+    whole, known = cents(amount), present(amount)
+    return {
+        "high": F.try_sum(F.shiftright(whole, LOW_BITS)),
+        "low": F.sum(whole.bitwiseAND(F.lit((1 << LOW_BITS) - 1))),
+        "doubles": F.sum(known),
+        "most": F.max(F.abs(known)),
+    }
+
+
+def regathered(prefix: str) -> dict[str, Column]:
+    """Aggregates over kept ``pieces``, whose columns begin with a prefix: again pieces.
+
+    A high part that had run over is NULL beside an amount, and makes the sum one of doubles.
+    """
+    part = lambda name: F.col(f"{prefix}{name}")
+    run_over = F.coalesce(F.bool_or(part("high").isNull() & part("most").isNotNull()), F.lit(False))
+    return {
+        "high": F.when(~run_over, F.try_sum(part("high"))),
+        "low": F.sum(part("low")),
+        "doubles": F.sum(part("doubles")),
+        "most": F.max(part("most")),
+    }
+
+
+def assembled(found: dict[str, Column]) -> Column:
+    """The sum that pieces make; 0.0 where there is nothing to add."""
+    high, low = found["high"].cast("decimal(20,0)"), found["low"].cast("decimal(20,0)")
+    both = (high * F.lit(Decimal(1 << LOW_BITS)) + low) * F.lit(Decimal("0.01"))
+    exact = F.when(found["most"] < LARGEST, both.cast("double"))
+    return F.coalesce(exact, found["doubles"], F.lit(0.0))
+
+
 def total(amount: Column) -> Column:
     """Exact sum as a double, whatever the order of rows; 0.0 when there is nothing to add.
 
@@ -31,14 +65,7 @@ def total(amount: Column) -> Column:
     them, infinities included, or the amounts together are, they are added up as doubles.
     NaN is missing.
     """
-    whole = cents(amount)
-    high = F.try_sum(F.shiftright(whole, LOW_BITS)).cast("decimal(20,0)")
-    low = F.sum(whole.bitwiseAND(F.lit((1 << LOW_BITS) - 1))).cast("decimal(20,0)")
-    both = (high * F.lit(Decimal(1 << LOW_BITS)) + low) * F.lit(Decimal("0.01"))
-    known = present(amount)
-    large = F.max(F.abs(known)) >= LARGEST
-    exact = F.when(~large, both.cast("double"))
-    return F.coalesce(exact, F.sum(known), F.lit(0.0))
+    return assembled(pieces(amount))
 
 
 def mean(amount: Column) -> Column:

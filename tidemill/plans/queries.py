@@ -17,20 +17,24 @@ from tidemill.catalog import CHANGE_DATASETS, DATASETS, PARTITION_COLUMNS, Datas
 from tidemill.functions import money, temporal
 from tidemill.operators import envelope, filters, insert, kpi, quality, rules
 from tidemill.operators.enrich import add_ingestion_metadata, convert_times, enrich
+from tidemill.operators.rollups import RollupSpec, merged, partials
 from tidemill.plans import dashboard
 from tidemill.plans.shop import SHOP, VISIT_STEPS, table
 from tidemill.session import configure, scratch_path, stage
-from tidemill.sources import footers, lake, offsets, tables
+from tidemill.sources import buckets, footers, lake, offsets, tables
 from tidemill.sources.logs import (
     BACKFILL_OFFSETS, FOLLOW_OFFSETS, LOG_SCHEMA, FileLog, table_topics,
 )
 from tidemill.streaming import inserts, landing, sinks
+from tidemill.streaming.lags import payment_lag_stream
+from tidemill.streaming.rollups import RollupTable
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 
 PREFIX = "shop"
+BUCKETS = 8
 
 
 def query(function: Query) -> Query:
@@ -114,6 +118,45 @@ def revenue_by_day(spark, sf_dir):
     return kpi.revenue_by_day(SHOP["orders"](spark, sf_dir))
 
 
+@query
+def revenue_by_day_rolled_up(spark, sf_dir):
+    """Revenue by day from partial aggregates, refreshed after each of three landings."""
+    orders, root = SHOP["orders"](spark, sf_dir), scratch_path(spark, "lake")
+    spec = RollupSpec({"order_day": "to_date(order_date)", "status": "status"}, {"revenue": "total_amount"})
+    kept = RollupTable(scratch_path(spark, "rollup"), root, orders.schema, spec)
+    for status in ("F", "O", "P"):
+        orders.where(F.col("status") == status).write.mode("append").parquet(root)
+        kept.refresh(spark)
+    return kept.figures(spark, "order_day").where("order_day is not null").select("order_day", "revenue")
+
+
+@query
+def visitors_estimated(spark, sf_dir):
+    """Whether distinct sessions and customers from merged sketches come within 5 percent, for every window choice."""
+    events = SHOP["web_events"](spark, sf_dir)
+    spec = RollupSpec(
+        {"hour": "date_trunc('hour', event_timestamp)"},
+        distinct={"sessions": "session_id", "customers": "customer_id"},
+    )
+    kept = stage(partials(events, spec), "partials")
+    newest = events.agg(F.max("event_timestamp"))
+    results = []
+    for choice, days in filters.WINDOW_CHOICES.items():
+        # A window of whole hours, for sketches and rows alike.
+        since = F.date_trunc("hour", newest.scalar() - F.expr(f"INTERVAL {days or 100_000} DAYS"))
+        guess = merged(kept.where(F.col("hour") >= since), spec)
+        exact = events.where(F.date_trunc("hour", "event_timestamp") >= since).agg(
+            F.count("*").alias("events"), F.count_distinct("session_id").alias("s"), F.count_distinct("customer_id").alias("c")
+        )
+        near = lambda a, b: F.abs(F.col(a) - F.col(b)) <= 0.05 * F.col(b)
+        both = exact.select("*", guess.select(F.struct("rows", "sessions", "customers")).scalar().alias("guess")).select("events", "s", "c", "guess.*")
+        results.append(both.select(
+            F.lit(choice).alias("window"), (F.col("rows") == F.col("events")).alias("same_rows"), "events",
+            near("sessions", "s").alias("sessions_near"), near("customers", "c").alias("customers_near"),
+        ))
+    return reduce(DataFrame.unionAll, results)
+
+
 @query
 def order_value_bands(spark, sf_dir):
     return kpi.value_bands(SHOP["orders"](spark, sf_dir))
@@ -777,6 +820,39 @@ def payment_lag(spark, sf_dir):
     return rules.payment_lag(SHOP["payments"](spark, sf_dir), SHOP["orders"](spark, sf_dir))
 
 
+@query
+def bucketed_reconciliation(spark, sf_dir):
+    """Orders, lines and payments kept in buckets of the order, reconciled without a shuffle."""
+    frames = {}
+    for name, frame in shop(spark, sf_dir, "orders", "order_items", "payments").items():
+        path = scratch_path(spark, name)
+        kept = f"{name}_{path.rpartition('-')[2]}"
+        buckets.land_bucketed(frame, kept, path, "order_id", BUCKETS)
+        frames[name] = spark.table(kept)
+    totals = rules.order_total_mismatches(frames["orders"], frames["order_items"])
+    paid = rules.payment_amount_mismatches(frames["payments"], frames["orders"])
+    lags = rules.payment_lag(frames["payments"], frames["orders"])
+    return reduce(DataFrame.unionAll, [
+        totals.select(F.lit("order total").alias("check"), F.col("order_id").alias("key"), "total_amount", F.col("items_total").alias("other")),
+        paid.select(F.lit("payment"), "payment_id", "total_amount", "amount"),
+        lags.select(F.lit("lag"), "payment_id", F.lit(None).cast("double"), F.col("lag_minutes").cast("double")),
+    ])
+
+
+@query
+def payment_lag_streamed(spark, sf_dir):
+    """The same from the messages of orders and payments, joined as streams."""
+    log, out, checkpoint = (scratch_path(spark, name) for name in ("log", "lags", "checkpoint"))
+    log, specs = FileLog(log), (catalog.PAYMENTS, catalog.ORDERS)
+    for spec in specs:
+        log.append(envelope.encode(SHOP[spec.name](spark, sf_dir), spec, PREFIX))
+    rows = [landing.lake_rows(spark, spec, log, PREFIX, BACKFILL_OFFSETS) for spec in specs]
+    pairs = payment_lag_stream(*rows)
+    writer = pairs.writeStream.format("parquet").option("checkpointLocation", checkpoint)
+    writer.trigger(**sinks.ONCE).start(out).awaitTermination()
+    return spark.read.schema(pairs.schema).parquet(out)
+
+
 @query
 def ticket_resolution_minutes(spark, sf_dir):
     tickets = rules.with_resolution_minutes(
