@@ -1,0 +1,84 @@
+import pyarrow.parquet as pq
+import pytest
+from pyspark.sql import functions as F
+
+from tidemill.catalog import PARTITION_COLUMNS
+from tidemill.sources import lake
+from tidemill.streaming import sinks
+from tidemill.streaming.compaction import CompactedLake
+
+
+def batch(spark, first, last, hour, files=3):
+    place = [F.lit(v).alias(c) for c, v in zip(PARTITION_COLUMNS, ("2024", "01", "02", hour))]
+    return spark.range(first, last, numPartitions=files).select("id", F.concat(F.lit("v"), F.xxhash64("id").cast("string")).alias("name"), *place)
+
+
+@pytest.fixture
+def table(spark, tmp_path):
+    return CompactedLake(f"{tmp_path}/lake", f"{tmp_path}/compact", batch(spark, 0, 1, "00").schema, crowded=4)
+
+
+def ids(frame):
+    return sorted((r.id, r.hour) for r in frame.collect())
+
+
+def test_rows_stay_and_files_become_few(spark, table):
+    assert ids(table.rows(spark)) == [] and table.compact(spark, "id") == 0
+    for turn in range(3):
+        sinks.land_batch(batch(spark, 100 * turn, 100 * turn + 100, "03"), table.lake)
+    sinks.land_batch(batch(spark, 300, 320, "04"), table.lake)
+    whole = ids(table.rows(spark))
+    assert len(whole) == 320
+    assert table.compact(spark, "id") == 9 and table.compact(spark, "id") == 0
+    assert ids(table.rows(spark)) == whole
+    # Three files of the quiet hour, and one of the crowded one, in order.
+    assert len(table.rows(spark).inputFiles()) == 4
+    (path,) = [p for p in table.rows(spark).inputFiles() if "/compact/" in p]
+    stored = pq.ParquetFile(path.replace("file://", "")).read()["id"].to_pylist()
+    assert stored == list(range(300))
+    # What lands later is seen, and compacted in its turn.
+    sinks.land_batch(batch(spark, 400, 500, "03", files=5), table.lake)
+    assert len(ids(table.rows(spark))) == 420
+    assert table.compact(spark, "id") == 5 and len(ids(table.rows(spark))) == 420
+
+
+def test_files_are_of_a_set_size_and_large_ones_stay(spark, table):
+    sinks.land_batch(batch(spark, 0, 40_000, "03", files=8), table.lake)
+    size = sum(r.length for r in lake.list_files(spark, table.lake).collect())
+    cut = CompactedLake(table.lake, table.path, table.schema, target_bytes=size // 3, crowded=4)
+    assert cut.compact(spark, "id") == 8
+    made = cut.rows(spark).inputFiles()
+    assert 3 <= len(made) <= 4 and cut.rows(spark).agg(F.count("*"), F.sum("id")).first()[:] == (40_000, sum(range(40_000)))
+    none = CompactedLake(table.lake, f"{table.path}2", table.schema, target_bytes=size // 8, crowded=4)
+    assert none.compact(spark, "id") == 0
+
+
+def test_a_reader_in_between_sees_one_version(spark, table, monkeypatch):
+    sinks.land_batch(batch(spark, 0, 50, "03", files=5), table.lake)
+    whole = ids(table.rows(spark))
+    before = table.rows(spark)
+
+    class Stopped(Exception):
+        pass
+
+    def fail(*_):
+        raise Stopped
+
+    with monkeypatch.context() as patch:
+        patch.setattr(type(spark), "createDataFrame", fail)
+        with pytest.raises(Stopped):
+            CompactedLake.compact(_Fixed(table), spark, "id")
+    assert ids(table.rows(spark)) == whole  # the attempt's files are there, and not read
+    assert lake.list_files(spark, f"{table.path}/data").count() >= 1
+    assert table.vacuum(spark) == 1 and lake.list_files(spark, f"{table.path}/data").count() == 0
+    assert table.compact(spark, "id") == 5
+    assert ids(before) == ids(table.rows(spark)) == whole and table.vacuum(spark) == 0
+
+
+class _Fixed:
+    """A lake whose list of small files is known already."""
+
+    def __init__(self, table):
+        self.__dict__.update(lake=table.lake, path=table.path, schema=table.schema, target_bytes=table.target_bytes, ledger=table.ledger)
+        self.files_at_once, self.folder = table.files_at_once, table.folder
+        self.small = lambda spark: lake.list_files(spark, table.lake).select("path", "length")

@@ -459,6 +459,9 @@ BODIES = {
     "rows_by_hour": """
         SELECT '2024' AS year, '01' AS month, '02' AS day, lpad((o_orderkey % 24)::VARCHAR, 2, '0') AS hour, count(*) AS rows
         FROM orders GROUP BY ALL""",
+    "compacted_orders": """
+        SELECT o_orderkey, o_orderstatus, day, lpad((o_orderkey % 24)::VARCHAR, 2, '0') AS hour
+        FROM orders, (VALUES ('02'), ('03')) d(day) WHERE day = '02' OR o_orderstatus = 'P'""",
     "preview_filtered": """
         SELECT lpad((o_orderkey % 24)::VARCHAR, 2, '0') AS hour, o_orderkey FROM orders
         WHERE o_orderpriority = '1-URGENT' AND o_totalprice > 300000

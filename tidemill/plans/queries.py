@@ -26,6 +26,7 @@ from tidemill.sources.logs import (
     BACKFILL_OFFSETS, FOLLOW_OFFSETS, LOG_SCHEMA, FileLog, table_topics,
 )
 from tidemill.streaming import inserts, landing, sinks
+from tidemill.streaming.compaction import CompactedLake
 from tidemill.streaming.lags import payment_lag_stream
 from tidemill.streaming.rollups import RollupTable
 
@@ -295,6 +296,17 @@ def rows_by_hour(spark, sf_dir):
     return footers.rows_by_hour(spark, root)
 
 
+@query
+def compacted_orders(spark, sf_dir):
+    """A lake of many small files, rewritten as few sorted ones: the same rows, and new ones beside them."""
+    root, schema = _orders_by_hour(spark, sf_dir)
+    kept = CompactedLake(root, scratch_path(spark, "compact"), schema, crowded=1)
+    kept.compact(spark, "o_orderkey")
+    late = spark.read.schema(schema).parquet(root).where("o_orderstatus = 'P'").withColumn("day", F.lit("03"))
+    sinks.land_batch(late, root)
+    return kept.rows(spark).select("o_orderkey", "o_orderstatus", "day", "hour")
+
+
 @query
 def preview_filtered(spark, sf_dir):
     """The first rows that pass a filter, where the newest files hold fewer than asked for."""
