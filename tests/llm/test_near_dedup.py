@@ -81,10 +81,46 @@ def test_odd_documents(spark):
     assert N.near_duplicates(docs).count() == len(documents())
     kept = N.keep_one(docs)
     assert kept.columns == docs.columns
-    assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(["1", "2", "3", "4", "6", "7", "8", "10", "None", "None"])
+    assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(["1", "2", "3", "4", "6", "7", "8", "10", "None"])
     assert N.near_duplicates(empty_documents(spark)).count() == 0
 
 
+def test_rows_without_id_are_linked_by_their_texts(spark):
+    docs = [(None, prose(n, 100)) for n in range(5)] * 3 + [(None, edited(prose(1, 100), 7, 1)), (4, prose(2, 100)), (None, None), (None, None), (None, " "), (None, " ")]
+    kept = N.keep_one(spark.createDataFrame(docs, DOCS).repartition(3)).collect()
+    named = [r.doc_id for r in kept if r.doc_id is not None]
+    texts = sorted((r.text or "").strip() for r in kept if r.doc_id is None)
+    assert named == [4] and texts[:4] == [""] * 4 and len(texts) == 8
+    assert {prose(0, 100), prose(3, 100), prose(4, 100)} < set(texts)
+
+
+@pytest.mark.parametrize("block", [512, 32])
+def test_what_leaves_a_task_grows_with_the_group_and_not_its_square(spark, monkeypatch, block):
+    """Texts all alike but mostly below the threshold, from which each other is about 0.82."""
+    made = {}
+    write = N.stage
+
+    def recorded(frame, label, *rest):
+        done = write(frame, label, *rest)
+        made.setdefault(label, []).append(done.count())
+        return done
+
+    monkeypatch.setattr(N, "stage", recorded)
+    base = prose(300, 200).split()
+    for count in (60, 240):
+        docs = []
+        for n in range(count):
+            rng, words = random.Random(n), list(base)
+            for at in rng.sample(range(200), 2):
+                words[at] = f"changed{n}x{at}"
+            docs.append((n, " ".join(words)))
+        made.clear()
+        found = N.near_duplicates(spark.createDataFrame(docs, DOCS).repartition(4), Settings(block=block))
+        assert rows(found) == sorted(by_hand(docs), key=repr)
+        # All pairs would be count / 2 for each text.
+        assert max(made["pairs"]) <= 20 * count and max(made["links"]) <= 3 * count, made
+
+
 def test_posterior_bounds_spare_links():
     """A pair at the threshold passes every look; a distant pair fails the first."""
     for n, least in N.least_matches(Settings()):

@@ -7,9 +7,11 @@ the threshold falls below a share of ``miss``; what survives is confirmed on the
 
 Candidates of one band value are taken in two steps. First, each class is compared with
 the bucket's hub, the member that shares most buckets with others; confirmed links join
-classes to components. Then only members of different components are compared, in
-blocks of bounded size, so that a large group of copies costs about its size and no
-pair is left out.
+classes to components. Then members that are still apart meet in blocks of bounded size,
+so that no pair is left out: a task first finds which of them have a plausible partner, a
+second one brings the full sets of those to the block and confirms links until no two
+members that are linked lie apart. What leaves a block is one link for each member at most,
+never its pairs.
 """
 
 from __future__ import annotations
@@ -41,12 +43,15 @@ class Settings:
     miss: float = 1e-4
     """Largest chance that a pair at the threshold is dropped, over all looks together."""
     block: int = 512
-    """Classes of one bucket that meet others in one task at a time."""
+    """Classes of one bucket that meet as many others in one task at a time."""
+    block_shingles: int = 1 << 20
+    """Shingles of such classes; longer texts make smaller blocks."""
 
 
 ROWS = 4
 SKETCH = "doc_id long, n_shingles long, key_a long, key_b long, signature binary"
 PAIR = "a long, b long"
+BLOCK = ["bucket", "home", "visit"]
 
 
 def least_matches(settings: Settings) -> list[tuple[int, int]]:
@@ -129,11 +134,12 @@ def band_rows(classes: DataFrame, settings: Settings) -> DataFrame:
                     pa.array(np.repeat(batch.column(0).to_numpy(), settings.bands)),
                     pa.array(np.tile(np.arange(settings.bands, dtype=np.int32), len(signs))),
                     pa.array(buckets.ravel().view(np.int64)),
+                    pa.array(np.repeat(batch.column(2).to_numpy(), settings.bands)),
                 ],
-                ["rep", "band", "bucket"],
+                ["rep", "band", "bucket", "n_shingles"],
             )
 
-    return classes.select("rep", "signature").mapInArrow(run, "rep long, band int, bucket long")
+    return classes.select("rep", "signature", "n_shingles").mapInArrow(run, "rep long, band int, bucket long, n_shingles long")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -184,21 +190,23 @@ def plausible(pairs: DataFrame, classes: DataFrame, settings: Settings) -> DataF
     return joined.select("a", "b", "left", "right").mapInArrow(run, PAIR)
 
 
+def linked(left: np.ndarray, right: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets reach the threshold."""
+    if 100 * min(len(left), len(right)) < percent * max(len(left), len(right)):
+        return False
+    both = np.concatenate([left, right])
+    both.sort(kind="stable")
+    common = int((both[1:] == both[:-1]).sum())
+    return 100 * common >= percent * (len(both) - common)
+
+
 def confirmed(pairs: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame:
     """Pairs whose full shingle sets reach the threshold."""
 
     def run(batches):
         for batch in batches:
-            keep = []
-            for left, right in zip(batch.column(2), batch.column(3)):
-                left, right = np.frombuffer(left.as_buffer(), np.uint64), np.frombuffer(right.as_buffer(), np.uint64)
-                if 100 * min(len(left), len(right)) < settings.percent * max(len(left), len(right)):
-                    keep.append(False)
-                    continue
-                both = np.concatenate([left, right])
-                both.sort(kind="stable")
-                common = int((both[1:] == both[:-1]).sum())
-                keep.append(100 * common >= settings.percent * (len(both) - common))
+            sides = ((np.frombuffer(value.as_buffer(), np.uint64) for value in batch.column(k)) for k in (2, 3))
+            keep = [linked(left, right, settings.percent) for left, right in zip(*sides)]
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
     joined = pairs.join(sets.toDF("a", "left"), "a").join(sets.toDF("b", "right"), "b")
@@ -216,66 +224,125 @@ def hub_pairs(members: DataFrame) -> DataFrame:
     return pairs.select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct()
 
 
-def open_pairs(members: DataFrame, labels: DataFrame, classes: DataFrame, settings: Settings) -> DataFrame:
-    """Plausible pairs of one bucket whose members are in different components.
-
-    Members outside the bucket's largest component visit all blocks of the bucket, so
-    that each pair of components meets; of the bands that a pair shares, the first
-    reports it.
-    """
-    block, table, bands = settings.block, least_matches(settings), settings.bands
+def unsettled(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members of the buckets that hold several components, with their own and the largest one (main)."""
     named = members.join(labels.toDF("rep", "label"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
     counted = named.groupBy("bucket", "label").agg(F.count("*").alias("size"))
-    spread = counted.groupBy("bucket").agg(
-        F.max(F.struct("size", "label")).alias("top"), F.sum("size").alias("total"), F.count("*").alias("labels")
-    ).where("labels > 1")
-    spread = spread.select(
-        "bucket", F.col("top.label").alias("main"), F.ceil(F.col("total") / block).cast("int").alias("homes"),
-        F.ceil((F.col("total") - F.col("top.size")) / block).cast("int").alias("visits"),
+    spread = counted.groupBy("bucket").agg(F.max(F.struct("size", "label")).alias("top"), F.count("*").alias("labels"))
+    return named.join(spread.where("labels > 1").select("bucket", F.col("top.label").alias("main")), "bucket")
+
+
+def grid(open_members: DataFrame, settings: Settings) -> DataFrame:
+    """The members dealt to the blocks (bucket, home, visit) in which they meet.
+
+    All members have a home; those outside the main component also visit all homes of
+    their bucket, so that each pair of components meets.
+    """
+    weight = F.greatest(F.lit(1.0 / settings.block), F.col("n_shingles") / settings.block_shingles)
+    sizes = open_members.groupBy("bucket").agg(
+        F.ceil(F.sum(weight)).cast("int").alias("homes"),
+        F.ceil(F.sum(F.when(F.col("label") != F.col("main"), weight))).cast("int").alias("visits"),
     )
-    unsettled = named.join(spread, "bucket")
     cells = lambda number: F.explode(F.sequence(F.lit(0), F.col(number) - 1))
-    home = unsettled.select(
-        "bucket", "band", "rep", "label", "main", F.lit(False).alias("visitor"),
-        F.pmod(F.xxhash64("rep"), "homes").cast("int").alias("home"), cells("visits").alias("visit"),
+    rows = open_members.join(sizes, "bucket")
+    columns = ["bucket", "band", "rep", "label", "main"]
+    home = rows.select(
+        *columns, F.lit(False).alias("visitor"), F.pmod(F.xxhash64("rep"), "homes").cast("int").alias("home"), cells("visits").alias("visit")
     )
-    visitors = unsettled.where("label <> main").select(
-        "bucket", "band", "rep", "label", "main", F.lit(True).alias("visitor"),
-        cells("homes").alias("home"), F.pmod(F.xxhash64("rep", F.lit(1)), "visits").cast("int").alias("visit"),
+    visitors = rows.where("label <> main").select(
+        *columns, F.lit(True).alias("visitor"), cells("homes").alias("home"),
+        F.pmod(F.xxhash64("rep", F.lit(1)), "visits").cast("int").alias("visit"),
     )
-    rows = home.unionByName(visitors).join(classes.select("rep", "n_shingles", "signature"), "rep")
+    return home.unionByName(visitors)
+
+
+class Meeting:
+    """A block: which of its members may be linked, by their signatures."""
+
+    def __init__(self, group: pa.Table, settings: Settings):
+        self.settings, self.table = settings, least_matches(settings)
+        self.visitor = group["visitor"].to_numpy()
+        self.rep, self.label, self.size = (group[c].to_numpy() for c in ("rep", "label", "n_shingles"))
+        self.signs = np.frombuffer(b"".join(group["signature"].to_pylist()), np.uint16).reshape(-1, settings.hashes)
+        self.parts = np.ascontiguousarray(self.signs[:, : ROWS * settings.bands]).view(np.uint64)
+        self.band, self.main = group["band"][0].as_py(), group["main"][0].as_py()
+        self.homes, self.guests = np.flatnonzero(~self.visitor), np.flatnonzero(self.visitor)
+
+    def plausible(self, guest: int) -> np.ndarray:
+        """The home members that a guest may be linked with, the most alike first. A pair of visitors
+        meets twice, once in the home block of each; of the bands that a pair shares, the
+        first one's bucket counts."""
+        homes, rep, label, size, signs = self.homes, self.rep, self.label, self.size, self.signs
+        rows = homes[(label[homes] != label[guest]) & ((label[homes] == self.main) | (rep[homes] > rep[guest]))]
+        small, large = np.minimum(size[rows], size[guest]), np.maximum(size[rows], size[guest])
+        rows = rows[100 * small >= self.settings.percent * large]
+        matches, read = np.zeros(len(rows), np.int64), 0
+        for n, least in self.table:
+            matches = matches + (signs[rows, read:n] == signs[guest, read:n]).sum(1)
+            keep = matches >= least
+            rows, matches, read = rows[keep], matches[keep], n
+            if not len(rows):
+                return rows
+        first = (self.parts[rows] == self.parts[guest]).argmax(1) == self.band
+        return rows[first][np.argsort(-matches[first], kind="stable")]
+
+
+def waiting(cells: DataFrame, classes: DataFrame) -> DataFrame:
+    """Rows of the blocks with what ``Meeting`` reads."""
+    return cells.join(classes.select("rep", "n_shingles", "signature"), "rep")
+
+
+def partnered(cells: DataFrame, classes: DataFrame, settings: Settings) -> DataFrame:
+    """The rows of the blocks whose member has a plausible partner there in another component."""
+    names = cells.columns
 
     def run(batches):
-        for group in grouped(batches, ["bucket", "home", "visit"]):
-            visitor = group["visitor"].to_numpy()
-            if not visitor.any() or visitor.all():
-                continue
-            rep, label, size = (group[c].to_numpy() for c in ("rep", "label", "n_shingles"))
-            signs = np.frombuffer(b"".join(group["signature"].to_pylist()), np.uint16).reshape(-1, settings.hashes)
-            parts = np.ascontiguousarray(signs[:, : ROWS * bands]).view(np.uint64)
-            band, main = group["band"][0].as_py(), group["main"][0].as_py()
-            homes = np.flatnonzero(~visitor)
-            for guest in np.flatnonzero(visitor):
-                # A pair of visitors meets twice, once in the home block of each.
-                rows = homes[(label[homes] != label[guest]) & ((label[homes] == main) | (rep[homes] > rep[guest]))]
-                small, large = np.minimum(size[rows], size[guest]), np.maximum(size[rows], size[guest])
-                rows = rows[100 * small >= settings.percent * large]
-                matches, read = np.zeros(len(rows), np.int64), 0
-                for n, least in table:
-                    matches = matches + (signs[rows, read:n] == signs[guest, read:n]).sum(1)
-                    keep = matches >= least
-                    rows, matches, read = rows[keep], matches[keep], n
-                    if not len(rows):
-                        break
-                rows = rows[(parts[rows] == parts[guest]).argmax(1) == band]
-                if len(rows):
-                    other = np.full(len(rows), rep[guest])
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.minimum(rep[rows], other)), pa.array(np.maximum(rep[rows], other))], ["a", "b"]
-                    )
-
-    keys = ["bucket", "home", "visit"]
-    return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, PAIR).distinct()
+        for group in grouped(batches, BLOCK):
+            meeting = Meeting(group, settings)
+            some = np.zeros(group.num_rows, bool)
+            for guest in meeting.guests:
+                rows = meeting.plausible(guest)
+                some[rows] = True
+                some[guest] |= len(rows) > 0
+            if some.any():
+                yield from group.select(names).filter(pa.array(some)).to_batches()
+
+    rows = waiting(cells, classes)
+    return rows.repartition(*BLOCK).sortWithinPartitions(*BLOCK).select(
+        *names, "n_shingles", "signature"
+    ).mapInArrow(run, cells.schema)
+
+
+def forest(cells: DataFrame, classes: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame:
+    """Confirmed links of the blocks that join all components linked there: one less than
+    there are components. Pairs that are joined by then are not compared."""
+
+    def run(batches):
+        for group in grouped(batches, BLOCK):
+            meeting = Meeting(group, settings)
+            held = [np.frombuffer(value.as_buffer(), np.uint64) for value in group["set"].combine_chunks()]
+            parent = {label: label for label in meeting.label.tolist()}
+
+            def top(label: int) -> int:
+                while parent[label] != label:
+                    parent[label] = label = parent[parent[label]]
+                return label
+
+            found = []
+            for guest in meeting.guests:
+                own = int(meeting.label[guest])
+                for row in meeting.plausible(guest).tolist():
+                    one, other = top(own), top(int(meeting.label[row]))
+                    if one != other and linked(held[guest], held[row], settings.percent):
+                        parent[one] = other
+                        found.append(sorted((int(meeting.rep[guest]), int(meeting.rep[row]))))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(end, pa.int64()) for end in zip(*found)], ["a", "b"])
+
+    rows = waiting(cells, classes).join(sets, "rep")
+    return rows.repartition(*BLOCK).sortWithinPartitions(*BLOCK).select(
+        *cells.columns, "n_shingles", "signature", "set"
+    ).mapInArrow(run, PAIR).distinct()
 
 
 def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -296,35 +363,55 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
         "classes",
     )
     known = classes.where("rep is not null")
-    banded = band_rows(known, settings)
+    banded = stage(band_rows(known, settings), "bands")
     buckets = banded.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     members = stage(banded.join(buckets, "bucket"), "members")
+    drop_staged(banded)
     involved = members.select(F.col("rep").alias("doc_id")).distinct()
     sets = stage(_full_sets(docs, involved, settings), "sets")
 
     pairs = stage(plausible(hub_pairs(members), known, settings), "pairs")
     links = stage(confirmed(pairs, sets, settings), "links")
     labels = stage(components(links), "labels")
-    apart = stage(open_pairs(members, labels, known, settings), "pairs")
-    more = stage(confirmed(apart, sets, settings), "links")
-    if not more.isEmpty():
-        labels = stage(components(links.unionByName(more)), "labels")
-    for done in (members, sets, pairs, apart, links, more):
+    apart = stage(unsettled(members, labels), "apart")
+    cells = stage(partnered(grid(apart, settings), known, settings), "cells")
+    more = stage(forest(cells, known, sets, settings), "links")
+    labels = joined(labels, more)
+    for done in (members, sets, pairs, links, apart, cells, more):
         drop_staged(done)
 
     named = classes.select("key_a", "key_b", "n_shingles", "rep").join(
         labels.toDF("rep", "label"), "rep", "left"
     ).withColumn("component_id", F.coalesce("label", "rep")).drop("label", "rep")
     empty = F.col("n_shingles") == 0
-    return (
+    found = stage(
         sketch.select("doc_id", "n_shingles", "key_a", "key_b")
         .join(named, ["key_a", "key_b", "n_shingles"], "left")
         .select(
             "doc_id", "n_shingles",
             F.when(empty, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
         )
-        .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()))
+        .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull())),
+        "components",
     )
+    for done in (sketch, classes, labels):
+        drop_staged(done)
+    return found
+
+
+def joined(labels: DataFrame, more: DataFrame) -> DataFrame:
+    """The components (node, label) after further links: only labels are linked anew."""
+    if more.isEmpty():
+        return labels
+    ends = more.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    every = stage(labels.unionByName(ends.join(labels, "node", "left_anti").withColumn("label", F.col("node"))), "labels")
+    of = lambda end: every.select(F.col("node").alias(end), F.col("label").alias(f"label_{end}"))
+    links = more.join(of("a"), "a").join(of("b"), "b").select(F.col("label_a").alias("a"), F.col("label_b").alias("b"))
+    tops = components(links.where("a <> b")).toDF("label", "top")
+    after = stage(every.join(tops, "label", "left").select("node", F.coalesce("top", "label").alias("label")), "labels")
+    for done in (labels, every):
+        drop_staged(done)
+    return after
 
 
 def _full_sets(docs: DataFrame, involved: DataFrame, settings: Settings) -> DataFrame:
@@ -339,13 +426,26 @@ def _full_sets(docs: DataFrame, involved: DataFrame, settings: Settings) -> Data
     return texts.join(involved.hint("shuffle_hash"), "doc_id", "left_semi").mapInArrow(run, "rep long, set binary")
 
 
+UNNAMED = 1 << 62
+"""Ids from here on, by a hash of the text, stand for missing ones while copies are removed."""
+
+
 def keep_one(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """The rows of ``docs`` without near copies: of each component the least doc_id stays.
 
     Columns are those of ``docs``. Rows that repeat a doc_id are one document, and stay or
-    go together; rows without doc_id stay.
+    go together. Rows without doc_id are known by a hash of their text: of copies among them
+    one stays, and none if a document with an id is a copy too. Texts without words are linked
+    with nothing and stay.
     """
-    found = near_duplicates(docs, settings)
-    gone = found.where("not kept").select("doc_id", F.lit(True).alias("gone"))
-    named = docs.join(gone.where("doc_id is not null").distinct().hint("shuffle_hash"), "doc_id", "left_anti")
-    return named.select(docs.columns)
+    inner = F.shiftrightunsigned(F.xxhash64("text"), 3) + F.lit(UNNAMED)
+    known = docs.select(F.coalesce(F.col("doc_id").cast("long"), inner).alias("doc_id"), "text")
+    found = near_duplicates(known, settings)
+    gone = found.where("not kept").select(F.col("doc_id").alias("__gone")).distinct().hint("shuffle_hash")
+    nameless = docs.where(F.col("doc_id").isNull())
+    worded = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    rows = docs.where(F.col("doc_id").isNotNull()).unionByName(nameless.where(worded).dropDuplicates(["text"]))
+    kept = rows.unionByName(nameless.where(~worded)).join(
+        gone, F.coalesce(F.col("doc_id").cast("long"), inner) == F.col("__gone"), "left_anti"
+    )
+    return kept.select(docs.columns)
