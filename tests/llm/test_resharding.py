@@ -1,4 +1,6 @@
 import random
+import time
+import zlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -32,6 +34,47 @@ def test_the_fewest_bytes_move(seed):
     assert moved == sum(sizes) - kept
 
 
+def test_many_shards_are_solved_at_once():
+    rng = random.Random(9)
+    sizes = [rng.randrange(10**9) for _ in range(2_000)]
+    capacities = R.equal_parts(sum(sizes), 2_500)
+    began = time.process_time()
+    moves = R.transfers(sizes, capacities)
+    assert time.process_time() - began < 5
+    moved = sum(b for old, row in enumerate(moves) for new, b in row if new != old)
+    assert moved == sum(max(0, s - c) for s, c in zip(sizes, capacities))
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_flows_at_any_prices_cost_the_least(seed):
+    """Against all ways to send two units over a small graph, by hand."""
+    rng = random.Random(seed)
+    edges = [(a, b, rng.randrange(3), rng.randrange(5)) for a in range(5) for b in range(5) if a != b and b and a != 4]
+    flow = R.cheapest_flow(5, edges, 0, 4)
+    net = lambda f, n: sum(x for x, (_, b, *_) in zip(f, edges) if b == n) - sum(x for x, (a, *_) in zip(f, edges) if a == n)
+    assert all(0 <= x <= e[2] for x, e in zip(flow, edges)) and all(net(flow, n) == 0 for n in (1, 2, 3))
+
+    def spare(f):
+        """A cycle or way of negative cost left would mean a cheaper or larger flow."""
+        dist = {n: 0 for n in range(5)}
+        for _ in range(5):
+            changed = False
+            for x, (a, b, room, price) in zip(f, edges):
+                for tail, head, open_, unit in ((a, b, room - x, price), (b, a, x, -price)):
+                    if open_ and dist[tail] + unit < dist[head]:
+                        dist[head], changed = dist[tail] + unit, True
+            if not changed:
+                return False
+        return True
+
+    reach, grew = {0}, True
+    while grew:
+        more = {h for x, (a, b, room, _) in zip(flow, edges) for t, h, o in ((a, b, room - x), (b, a, x)) if o and t in reach}
+        grew = not more <= reach
+        reach |= more
+    assert 4 not in reach and not spare(flow)
+
+
 def test_cheapest_flow_takes_the_cheaper_way():
     edges = [(0, 1, 5, 1), (0, 2, 5, 0), (1, 3, 5, 0), (2, 3, 2, 0), (2, 1, 5, 3)]
     assert R.cheapest_flow(4, edges, 0, 3) == [5, 2, 5, 2, 0]
@@ -57,6 +100,28 @@ def test_shards_are_near_equal_and_slots_gapless(spark):
     assert sorted(map(tuple, again), key=repr) == sorted(map(tuple, found), key=repr)
 
 
+@pytest.mark.parametrize("sf_dir", ["/root/testdata/sf0.001", "/root/testdata/sf0.01"])
+def test_the_query_moves_the_fewest_bytes(spark, sf_dir):
+    """Bytes that the plan moves, and those that the rows in their new shards have moved."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    settings = R.Settings()
+    plan = R.plan(docs, settings)
+    old = {r.doc_id: r.old for r in docs.select("doc_id", R.hashed_shard(settings.old_shards).alias("old")).collect()}
+    rows = docs.collect()
+    sizes = [0] * settings.new_shards
+    for r in rows:
+        sizes[old[r.doc_id]] += len((r.text or "").encode()) + 16
+    fewest = sum(max(0, s - c) for s, c in zip(sizes, R.equal_parts(sum(sizes), settings.new_shards)))
+    assert plan.moved_bytes == fewest
+    found = R.rewrite(docs, plan, scratch_path(spark, "shards"), settings).select("document.doc_id", "size", "text_crc32", F.col("shard").cast("int").alias("shard")).collect()
+    texts = {r.doc_id: (r.text or "").encode() for r in rows}
+    assert all(r.text_crc32 == zlib.crc32(texts[r.doc_id]) and r.size == len(texts[r.doc_id]) + 16 for r in found)
+    moved = sum(r.size for r in found if r.shard != old[r.doc_id])
+    # Long documents go whole: at most half of one for each quota that crosses shards.
+    crossing = sum(old != new for old, row in enumerate(plan.quotas) for new, _ in row)
+    assert abs(moved - fewest) <= crossing * max(r.size for r in found) / 2
+
+
 def test_only_affected_shards_are_rewritten(spark):
     docs, frame = corpus(spark)
     settings = R.Settings(old_shards=3, new_shards=3, classes=())

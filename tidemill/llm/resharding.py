@@ -3,23 +3,24 @@
 Old shard sizes are supplies, new capacities are demands. A byte that stays costs
 nothing, a byte that moves costs one, whatever the pair of shards; so a flow through one
 hub states the problem with a number of edges linear in the shards, and the transfers
-are paired off afterwards. Each old shard is laid out in a fixed order of blocks, hash
-ranges of bounded size, and its transfers are cut from that order; a document goes where
-its middle byte falls. That misses a cut by half a document, so long documents are dealt
-out first and shorter ones fill what is then left: the same problem once for each class
-of sizes. Files of shards that neither give nor take are left alone.
+are paired off afterwards. They are the quotas that each old shard fills for each new one.
+An old shard is laid out in a fixed order of blocks, hash ranges of bounded size, and its
+quotas are cut from that order; a document goes where its middle byte falls. That misses a
+cut by half a document, so long documents are dealt out first and shorter ones fill what is
+then left of each quota. Files of shards that neither give nor take are left alone.
 """
 
 from __future__ import annotations
 
 import heapq
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from itertools import accumulate
 from math import ceil
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemill.llm.store import stage
+from tidemill.llm.store import drop_staged, stage
 from tidemill.session import scratch_path
 
 
@@ -40,7 +41,8 @@ class Settings:
 def cheapest_flow(nodes: int, edges: list[tuple[int, int, int, int]], source: int, sink: int) -> list[int]:
     """The flow on each edge (from, to, capacity, cost >= 0) of a maximum flow of least cost.
 
-    Successive shortest paths with potentials.
+    Shortest distances by Dijkstra's rule over costs less potentials; then as much flow as
+    all shortest ways of that length hold together, before distances are looked at again.
     """
     graph: list[list[int]] = [[] for _ in range(nodes)]
     to, room, cost = [], [], []
@@ -51,29 +53,64 @@ def cheapest_flow(nodes: int, edges: list[tuple[int, int, int, int]], source: in
             room.append(space)
             cost.append(unit)
     potential = [0] * nodes
-    while True:
+
+    def left(edge: int) -> int:
+        return cost[edge] + potential[to[edge ^ 1]] - potential[to[edge]]
+
+    def shortest() -> list[float]:
         distance: list[float] = [float("inf")] * nodes
-        distance[source], came, queue = 0, [-1] * nodes, [(0, source)]
+        distance[source], queue = 0, [(0, source)]
         while queue:
             so_far, node = heapq.heappop(queue)
             if so_far > distance[node]:
                 continue
             for edge in graph[node]:
-                if room[edge] and so_far + cost[edge] + potential[node] - potential[to[edge]] < distance[to[edge]]:
-                    distance[to[edge]] = so_far + cost[edge] + potential[node] - potential[to[edge]]
-                    came[to[edge]] = edge
+                if room[edge] and so_far + left(edge) < distance[to[edge]]:
+                    distance[to[edge]] = so_far + left(edge)
                     heapq.heappush(queue, (distance[to[edge]], to[edge]))
-        if came[sink] < 0:
+        return distance
+
+    def levels() -> list[int]:
+        level, reached = [-1] * nodes, [source]
+        level[source] = 0
+        for node in reached:
+            for edge in graph[node]:
+                if room[edge] and level[to[edge]] < 0 and not left(edge):
+                    level[to[edge]] = level[node] + 1
+                    reached.append(to[edge])
+        return level
+
+    def fill(level: list[int]) -> None:
+        tried, path, node = [0] * nodes, [], source
+        while True:
+            if node == sink:
+                step = min(room[edge] for edge in path)
+                for edge in path:
+                    room[edge] -= step
+                    room[edge ^ 1] += step
+                path, node = [], source
+            ways = graph[node]
+            while tried[node] < len(ways):
+                edge = ways[tried[node]]
+                if room[edge] and level[to[edge]] == level[node] + 1 and not left(edge):
+                    break
+                tried[node] += 1
+            if tried[node] < len(ways):
+                path.append(edge)
+                node = to[edge]
+            elif path:
+                node = to[path.pop() ^ 1]
+                tried[node] += 1
+            else:
+                return
+
+    while True:
+        distance = shortest()
+        if distance[sink] == float("inf"):
             return [room[2 * k + 1] for k in range(len(edges))]
         potential = [p + (d if d < float("inf") else 0) for p, d in zip(potential, distance)]
-        path, node = [], sink
-        while node != source:
-            path.append(came[node])
-            node = to[came[node] ^ 1]
-        step = min(room[edge] for edge in path)
-        for edge in path:
-            room[edge] -= step
-            room[edge ^ 1] += step
+        while (level := levels())[sink] >= 0:
+            fill(level)
 
 
 def transfers(sizes: list[int], capacities: list[int]) -> list[list[tuple[int, int]]]:
@@ -111,8 +148,8 @@ def equal_parts(total: int, parts: int) -> list[int]:
 
 
 def hashed_shard(shards: int) -> Column:
-    """The usual layout by a hash of doc_id."""
-    return F.pmod(F.xxhash64("doc_id"), F.lit(shards)).cast("int")
+    """The usual layout by a hash of doc_id; of the text, where there is none."""
+    return F.pmod(F.xxhash64("doc_id", F.when(F.col("doc_id").isNull(), F.col("text"))), F.lit(shards)).cast("int")
 
 
 def sized(docs: DataFrame, settings: Settings, old: Column | None = None) -> DataFrame:
@@ -139,8 +176,10 @@ class Plan:
     blocks: int
     bounds: list[float]
     """Sizes that divide the classes, descending."""
-    moves: list[list[list[tuple[int, int]]]]
-    """For each class and old shard, (new shard, bytes) in order."""
+    quotas: list[list[tuple[int, int]]]
+    """The flow: for each old shard, (new shard, bytes) in order, first what stays."""
+    moves: list[list[list[tuple[int, int]]]] = field(default_factory=list)
+    """The same for each class: its part of the quotas."""
     starts: DataFrame | None = None
     """(old, klass, block, offset): bytes of the class in the old shard before each block."""
     slots: DataFrame | None = None
@@ -150,12 +189,12 @@ class Plan:
     @property
     def affected(self) -> set[int]:
         """Shards that give or take."""
-        moved = [(old, new) for rows in self.moves for old, row in enumerate(rows) for new, _ in row if old != new]
+        moved = [(old, new) for old, row in enumerate(self.quotas) for new, _ in row if old != new]
         return {old for old, _ in moved} | {new for _, new in moved}
 
     @property
     def moved_bytes(self) -> int:
-        return sum(size for rows in self.moves for old, row in enumerate(rows) for new, size in row if old != new)
+        return sum(size for old, row in enumerate(self.quotas) for new, size in row if old != new)
 
 
 def positions(rows: DataFrame, found: Plan, carried: list[str]) -> DataFrame:
@@ -170,15 +209,13 @@ def positions(rows: DataFrame, found: Plan, carried: list[str]) -> DataFrame:
     return flat.withColumns({"middle": until - F.floor(F.col("size") / 2), "rank": F.row_number().over(order)})
 
 
-def _wanted(left: list[int], capacities: list[int], later: int, supply: int) -> list[int]:
-    """Bytes of one class for each shard: what is left but for its part of later classes."""
-    total = sum(capacities) or 1
-    free = [max(0, room - later * capacity // total) for room, capacity in zip(left, capacities)]
+def _parts(left: list[int], quotas: list[int], later: int, supply: int) -> list[int]:
+    """Bytes of one class for each quota of an old shard: what is left but for its part of later classes."""
+    total = sum(quotas) or 1
+    free = [max(0, room - later * quota // total) for room, quota in zip(left, quotas)]
     if not sum(free):
-        free = [1] * len(left)
-    sums = [0]
-    for part in free:
-        sums.append(sums[-1] + part)
+        free = quotas
+    sums = [0, *accumulate(free)]
     return [supply * high // sums[-1] - supply * low // sums[-1] for low, high in zip(sums, sums[1:])]
 
 
@@ -198,28 +235,35 @@ def plan(docs: DataFrame, settings: Settings = Settings(), old: Column | None =
         raise ValueError("capacities must sum to the size of all documents")
     bounds = [total / max(1, len(wanted)) / part for part in settings.classes]
     blocks = max(settings.least_blocks, ceil(max(most.values(), default=0) / settings.block_bytes))
-    found = Plan(blocks, bounds, [])
+    sizes = [most.get(old, 0) for old in range(max([settings.old_shards, *(k + 1 for k in most)]))]
+    found = Plan(blocks, bounds, transfers(sizes, wanted))
 
     placed = stage(positions(rows, found, ["doc_id"]), "positions")
+    drop_staged(rows)
     units = placed.groupBy(*UNIT).agg(F.sum("size").alias("bytes"))
     order = Window.partitionBy("old", "klass").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     found.starts = stage(units.select(*UNIT, F.coalesce(F.sum("bytes").over(order), F.lit(0)).alias("offset")), "starts")
-    supplies = [[0] * settings.old_shards for _ in range(len(bounds) + 1)]
+    supplies = [[0] * len(sizes) for _ in range(len(bounds) + 1)]
     for row in placed.groupBy("klass", "old").agg(F.sum("size").alias("bytes")).toLocalIterator():
         supplies[row["klass"]][row["old"]] = row["bytes"]
-    left = list(wanted)
+    left = [dict(row) for row in found.quotas]
     for number, supply in enumerate(supplies):
-        later = sum(map(sum, supplies[number + 1 :]))
-        found.moves.append(transfers(supply, _wanted(left, wanted, later, sum(supply))))
-        if later and sum(supply):
-            dealt = _sharded(placed.where(F.col("klass") == number), found, spark).groupBy("shard").agg(F.sum("size").alias("bytes"))
+        later = [sum(part[old] for part in supplies[number + 1 :]) for old in range(len(sizes))]
+        moves = []
+        for old, quotas in enumerate(found.quotas):
+            parts = _parts(list(left[old].values()), [size for _, size in quotas], later[old], supply[old])
+            moves.append([(new, part) for (new, _), part in zip(quotas, parts) if part])
+        found.moves.append(moves)
+        if sum(later) and sum(supply):
+            dealt = _sharded(placed.where(F.col("klass") == number), found, spark).groupBy("old", "shard").agg(F.sum("size").alias("bytes"))
             for row in dealt.toLocalIterator():
-                left[row["shard"]] -= row["bytes"]
+                left[row["old"]][row["shard"]] -= row["bytes"]
 
     pieces = _sharded(placed, found, spark).groupBy(*UNIT, "shard").agg(F.count("*").alias("documents"), F.min("rank").alias("first"))
     order = Window.partitionBy("shard").orderBy(*UNIT).rowsBetween(Window.unboundedPreceding, -1)
     slots = pieces.withColumn("base", F.coalesce(F.sum("documents").over(order), F.lit(0))).drop("documents")
     found.slots = stage(slots, "slots")
+    drop_staged(placed)
     return found
 
 
@@ -228,15 +272,12 @@ def _sharded(placed: DataFrame, found: Plan, spark: SparkSession) -> DataFrame:
     cuts = []
     for klass, olds in enumerate(found.moves):
         for old, row in enumerate(olds):
-            end, ends = 0, []
-            for new, size in row:
-                end += size
-                ends.append((end, new))
+            ends = [(end, new) for (new, _), end in zip(row, accumulate(size for _, size in row))]
             if ends:
                 cuts.append((old, klass, ends))
     table = spark.createDataFrame(cuts, "old int, klass int, cuts array<struct<end:long,new:int>>")
     at = placed.join(found.starts, UNIT).withColumn("at", F.col("offset") + F.col("middle"))
-    # One row a class and shard.
+    # One row a class and shard, and in a class as many cuts as there are old and new shards.
     met = at.join(F.broadcast(table), ["old", "klass"])
     return met.withColumn("shard", F.element_at(F.filter("cuts", lambda cut: F.col("at") <= cut["end"]), 1)["new"]).drop("cuts")
 
@@ -264,7 +305,7 @@ def digest(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Reshard (doc_id, text, ...) from a hashed layout to more shards of equal bytes.
 
     Returns one row a document, from the files written: a null text has only the overhead
-    and the checksum of no bytes; rows without doc_id are in one old shard, and rows that
+    and the checksum of no bytes; rows without doc_id are dealt by their text, and rows that
     repeat are told apart by nothing but their order.
     """
     folder = scratch_path(docs.sparkSession, "shards")
