@@ -75,6 +75,38 @@ def test_rules_are_learned_and_reject_in_order(spark):
     assert kept == {n for n, r in found.items() if r.kept}
 
 
+def features(text):
+    """The ratios that rules read, by hand."""
+    n, text = by_hand(text), text or ""
+    letters = sum(c.isascii() and c.isalpha() or not c.isascii() for c in text)
+    share = lambda above, below: above / below if below else 0.0
+    return {
+        "words": float(n["n_words"]), "word_length": share(n["word_chars"], n["n_words"]), "symbols": share(n["n_symbols"], n["n_words"]),
+        "repeated_lines": share(n["n_dup_lines"], n["n_lines"]), "repeated_words": share(n["n_repeat_words"], n["n_words"]),
+        "distinct_words": share(n["n_distinct_words"], n["n_words"]), "same_words": share(n["n_same_words"], n["n_words"]),
+        "capitals": share(n["n_upper"], letters), "digits": share(n["n_digits"], n["n_chars"]), "shouts": share(text.count("!"), n["n_words"]),
+        "stops": share(sum(text.count(c) for c in ".,;:?"), n["n_words"]), "bars": share(text.count("|"), n["n_words"]),
+        "letters": share(letters, n["n_chars"]), "line_words": share(n["n_words"], n["n_lines"]),
+    }
+
+
+def test_the_column_chain_says_what_the_conditions_hold(spark):
+    folder = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    counted = S.counted(docs)
+    rules = Q.fit(counted.select("doc_id", "statistics"), spark.read.parquet(f"{folder}/labels.parquet"))
+    assert rules
+    rules += [(Q.Condition("words", True, 100.0), Q.Condition("stops", False, 0.05)), (Q.Condition("digits", True, 0.0),)]
+    found = Q.judged(counted, rules).collect()
+    table = pd.DataFrame([features(r.text) for r in found])
+    for name, column in S.ratios().items():
+        mine = [r[0] for r in counted.select(column).collect()]
+        assert np.allclose(mine, table[name].to_numpy(), rtol=1e-12, atol=0), name
+    held = np.array([Q._covers(rule, table) for rule in rules])
+    first = np.where(held.any(0), held.argmax(0) + 1, 0)
+    assert [r.rule for r in found] == first.tolist() and len(set(first)) > 2
+
+
 def test_a_list_covers_one_part_after_the_other():
     rng = np.random.default_rng(0)
     data = pd.DataFrame({"a": rng.random(3000), "b": rng.random(3000)})
