@@ -4,16 +4,26 @@ What no rule decides, the graph does: trust flows from hosts with allowed pages
 links (who is linked from trusted hosts is trusted), distrust flows from hosts with
 blocked pages against them (who links to blocked hosts is distrusted), both as
 personalised PageRank. A host and its parent domain count as linked both ways.
+
+The graph is cut into blocks of bounded size along domains, as most links stay within
+one. A task walks through a block until its ranks have settled, given what flows in from
+other blocks; Spark then carries ranks over the links between blocks, and blocks are walked
+again, until what flows between them has settled too.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
+from math import ceil
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.llm.store import drop_staged, stage
+from tidemill.llm.store import drop_staged, grouped, stage
 
 
 @dataclass(frozen=True)
@@ -44,13 +54,14 @@ RULES = tuple(
 class Settings:
     rules: tuple[Rule, ...] = RULES
     damping: float = 0.85
-    tolerance: float = 1e-11
-    """The walk ends when its last step changes no host's rank by a larger part of it."""
+    tolerance: float = 1e-12
+    """A walk ends when its last step changes no host's rank by a larger part of it."""
     alike: float = 1e-9
     """Trust and distrust that differ by no larger part are equal."""
     rounds: int = 10_000
-    """Steps after which ranks that have not settled are an error."""
-    stage_rounds: int = 12
+    """Exchanges between blocks after which ranks that have not settled are an error."""
+    block_rows: int = 500_000
+    """Hosts and links of a block, about."""
     ratio: float = 1.0
     """A host is blocked when its distrust exceeds this many times its trust."""
 
@@ -108,46 +119,153 @@ def edges(rows: DataFrame) -> DataFrame:
     return linked.unionByName(both).where("src <> dst and src <> '' and dst <> ''").distinct()
 
 
-def propagated(seeds: DataFrame, links: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """(host, trust, distrust) from seeds of those columns over links (src, dst).
+BLOCK = "block int, hosts array<string>, seeds binary, ends binary, weights binary"
+RANKS = "host string, trust double, distrust double"
+
 
-    A walk ends at a host without links in its direction. Both walks are steps over one
-    table of edges: trust goes from src to dst, distrust from dst to src. A row from each
-    host to itself brings its seeds, so that a step is one join and one sum. Ranks only
-    grow, and no later step changes one by a larger part than this step's largest: a host
-    far from all seeds is reached before the walk ends. Every ``stage_rounds`` steps the
-    ranks are written, which cuts the lineage, and the last change is looked at.
+def walks(links: DataFrame, damping: float) -> DataFrame:
+    """(at, host, f, b): the part of its trust, and of its distrust, that ``at`` hands to ``host``.
+
+    Trust goes from src to dst in equal parts, distrust from dst to src.
     """
     outward = links.groupBy("src").agg(F.count("*").alias("out"))
     inward = links.groupBy("dst").agg(F.count("*").alias("into"))
-    weighed = links.join(outward, "src").join(inward, "dst")
-    zero, left = F.lit(0.0), 1 - settings.damping
-    none = zero.alias("trust0"), zero.alias("distrust0")
-    forward = weighed.select(F.col("src").alias("at"), F.col("dst").alias("host"), (settings.damping / F.col("out")).alias("f"), zero.alias("b"), *none)
-    backward = weighed.select(F.col("dst").alias("at"), F.col("src").alias("host"), zero.alias("f"), (settings.damping / F.col("into")).alias("b"), *none)
-    ends = links.select(F.explode(F.array("src", "dst")).alias("host"), zero.alias("trust"), zero.alias("distrust"))
-    nodes = seeds.unionByName(ends).groupBy("host").agg((left * F.sum("trust")).alias("trust"), (left * F.sum("distrust")).alias("distrust"))
-    now = staged = stage(nodes, "ranks")
-    own = now.select(F.col("host").alias("at"), "host", zero.alias("f"), zero.alias("b"), F.col("trust").alias("trust0"), F.col("distrust").alias("distrust0"))
-    walks = stage(forward.unionByName(backward).unionByName(own), "walks")
-    grown = lambda name: F.when(F.col(name) > 0, (F.col(name) - F.col(f"{name}_before")) / F.col(name))
-    for _ in range(0, settings.rounds, settings.stage_rounds):
-        for _ in range(settings.stage_rounds):
-            given = walks.join(now.select(F.col("host").alias("at"), "trust", "distrust"), "at")
-            itself = F.col("at") == F.col("host")
-            now = given.groupBy("host").agg(
-                F.sum(F.col("trust") * F.col("f") + F.col("trust0")).alias("trust"),
-                F.sum(F.col("distrust") * F.col("b") + F.col("distrust0")).alias("distrust"),
-                F.max(F.when(itself, F.col("trust"))).alias("trust_before"),
-                F.max(F.when(itself, F.col("distrust"))).alias("distrust_before"),
+    weighed, none = links.join(outward, "src").join(inward, "dst"), F.lit(0.0)
+    forward = weighed.select(F.col("src").alias("at"), F.col("dst").alias("host"), (damping / F.col("out")).alias("f"), none.alias("b"))
+    return forward.unionByName(
+        weighed.select(F.col("dst").alias("at"), F.col("src").alias("host"), none.alias("f"), (damping / F.col("into")).alias("b"))
+    )
+
+
+def placed(nodes: DataFrame, ways: DataFrame, settings: Settings) -> tuple[DataFrame, int]:
+    """(host, block) and the number of blocks: domains stay whole unless they are large."""
+    family = F.substring_index("host", ".", -2).alias("family")
+    rows = nodes.select("host", family).unionByName(ways.select("host", family))
+    sizes = rows.groupBy("family").agg(F.count("*").alias("size"))
+    blocks = ceil((sizes.agg(F.sum("size")).first()[0] or 0) / settings.block_rows) or 1
+    split = sizes.select("family", F.ceil(F.col("size") * 4 / settings.block_rows).alias("parts"))
+    own = F.pmod(F.xxhash64("host"), "parts")
+    block = F.pmod(F.xxhash64("family", own), F.lit(blocks)).cast("int").alias("block")
+    return nodes.select("host", family).join(split, "family").select("host", block), blocks
+
+
+def packed(nodes: DataFrame, inner: DataFrame, blocks: int) -> DataFrame:
+    """A row for each block: its hosts, their seeds, and the walks between them as flat arrays."""
+    seeds = nodes.select("block", "host", F.lit(None).cast("string").alias("at"), F.col("trust").alias("f"), F.col("distrust").alias("b"))
+    rows = seeds.unionByName(inner.select("block", "host", "at", "f", "b"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in grouped(batches, ["block"]):
+            seeded = group["at"].is_null()
+            own, ways = group.filter(seeded), group.filter(pa.compute.invert(seeded))
+            hosts = own["host"].to_pylist()
+            number = {host: at for at, host in enumerate(hosts)}
+            ends = np.array([[number[h] for h in ways[side].to_pylist()] for side in ("at", "host")], "<i4")
+            values = [np.array([part["f"].to_numpy(), part["b"].to_numpy()], "<f8").tobytes() for part in (own, ways)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([group["block"][0].as_py()], pa.int32()), pa.array([hosts], pa.list_(pa.string())), *[pa.array([v], pa.binary()) for v in (values[0], ends.tobytes(), values[1])]],
+                ["block", "hosts", "seeds", "ends", "weights"],
+            )
+
+    dealt = rows.repartitionById(blocks, F.col("block")).sortWithinPartitions("block", "host", "at")
+    return dealt.mapInArrow(run, BLOCK)
+
+
+def settled(seeds: np.ndarray, ends: np.ndarray, weights: np.ndarray, tolerance: float) -> np.ndarray:
+    """Ranks (trust, distrust) of one block's hosts: steps from the seeds until none changes."""
+    now = seeds
+    while True:
+        after = np.array([
+            seed + np.bincount(ends[1], weight * rank[ends[0]], len(seed)) for seed, weight, rank in zip(seeds, weights, now)
+        ])
+        grown = np.divide(after - now, after, out=np.zeros_like(after), where=after > 0)
+        now = after
+        if grown.max(initial=0.0) <= tolerance:
+            return now
+
+
+def solved(graph: DataFrame, inflow: DataFrame | None, blocks: int, settings: Settings) -> DataFrame:
+    """(host, trust, distrust) of all blocks, given what (block, host, trust, distrust) flows in."""
+    rows = graph
+    if inflow is not None:
+        rows = graph.unionByName(inflow, allowMissingColumns=True)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in grouped(batches, ["block"]):
+            row = group.slice(0, 1).to_pylist()[0]
+            hosts, number = row["hosts"], len(row["hosts"])
+            seeds = np.frombuffer(row["seeds"], "<f8").reshape(2, number).copy()
+            ends = np.frombuffer(row["ends"], "<i4").reshape(2, -1)
+            weights = np.frombuffer(row["weights"], "<f8").reshape(2, -1)
+            if group.num_rows > 1:
+                places = {host: at for at, host in enumerate(hosts)}
+                given = group.slice(1)
+                at = [places[host] for host in given["host"].to_pylist()]
+                seeds[:, at] += np.array([given["trust"].to_numpy(), given["distrust"].to_numpy()])
+            ranks = settled(seeds, ends, weights, settings.tolerance)
+            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), *map(pa.array, ranks)], ["host", "trust", "distrust"])
+
+    # The block itself comes first, then what flows into it.
+    dealt = rows.repartitionById(blocks, F.col("block")).sortWithinPartitions("block", F.col("hosts").isNull())
+    return dealt.mapInArrow(run, RANKS)
+
+
+def propagated(seeds: DataFrame, links: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """(host, trust, distrust) from seeds of those columns over links (src, dst).
+
+    A walk ends at a host without links in its direction. Ranks only grow: if nothing that
+    flows between blocks has grown by a larger part than ``tolerance``, no rank has either.
+    A host far from all seeds is reached before that, as its first flow grows from nothing.
+    """
+    left = 1 - settings.damping
+    ways = stage(walks(links, settings.damping), "walks")
+    none = F.lit(0.0)
+    ends = ways.select("host", none.alias("trust"), none.alias("distrust"))
+    summed = seeds.unionByName(ends).groupBy("host").agg((left * F.sum("trust")).alias("trust"), (left * F.sum("distrust")).alias("distrust"))
+    nodes = stage(summed, "hosts")
+    places, blocks = placed(nodes, ways, settings)
+    places = stage(places, "places")
+    located_ways = stage(
+        ways.join(places, "host").join(places.select(F.col("host").alias("at"), F.col("block").alias("from_block")), "at"), "walks"
+    )
+    inner, outer = located_ways.where("block = from_block"), located_ways.where("block <> from_block")
+    graph = stage(packed(nodes.join(places, "host"), inner, blocks), "blocks")
+    ranks = stage(solved(graph, None, blocks, settings), "ranks")
+    before = None
+    try:
+        if outer.isEmpty():
+            return ranks
+        for _ in range(settings.rounds):
+            carried = outer.join(ranks.select(F.col("host").alias("at"), "trust", "distrust"), "at")
+            flow = stage(
+                carried.groupBy("block", "host").agg(
+                    F.sum(F.col("trust") * F.col("f")).alias("trust"), F.sum(F.col("distrust") * F.col("b")).alias("distrust")
+                ),
+                "inflow",
             )
-        now = stage(now, "ranks")
-        drop_staged(staged)
-        staged = now
-        change = now.agg(F.max(F.greatest(grown("trust"), grown("distrust")))).first()[0]
-        if change is None or change <= settings.tolerance:
-            return now.select("host", "trust", "distrust")
-    raise ValueError(f"ranks still change by a part of {change} after {settings.rounds} steps")
+            change = _growth(flow, before)
+            if before is not None:
+                drop_staged(before)
+            before = flow
+            if change <= settings.tolerance:
+                return ranks
+            after = stage(solved(graph, flow, blocks, settings), "ranks")
+            drop_staged(ranks)
+            ranks = after
+        raise ValueError(f"ranks still change by a part of {change} after {settings.rounds} exchanges")
+    finally:
+        for done in (ways, nodes, places, located_ways, graph, *([before] if before is not None else [])):
+            drop_staged(done)
+
+
+def _growth(flow: DataFrame, before: DataFrame | None) -> float:
+    """The largest part by which a flow has grown."""
+    both = flow.select("host", "trust", "distrust", F.lit(0.0).alias("t"), F.lit(0.0).alias("d"))
+    if before is not None:
+        both = both.unionByName(before.select("host", F.lit(0.0).alias("trust"), F.lit(0.0).alias("distrust"), F.col("trust").alias("t"), F.col("distrust").alias("d")))
+    sums = both.groupBy("host").agg(*[F.sum(name).alias(name) for name in ("trust", "distrust", "t", "d")])
+    grown = lambda new, old: F.when(F.col(new) > 0, (F.col(new) - F.col(old)) / F.col(new)).otherwise(0.0)
+    return sums.agg(F.max(F.greatest(grown("trust", "t"), grown("distrust", "d")))).first()[0] or 0.0
 
 
 def judged(pages: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -165,7 +283,10 @@ def judged(pages: DataFrame, settings: Settings = Settings()) -> DataFrame:
         F.avg((F.coalesce("ruled", F.lit("")) == "allow").cast("double")).alias("trust"),
         F.avg((F.coalesce("ruled", F.lit("")) == "block").cast("double")).alias("distrust"),
     )
-    found = propagated(stage(seeds, "seeds"), stage(edges(rows), "links"), settings)
+    seeds, links = stage(seeds, "seeds"), stage(edges(rows), "links")
+    found = propagated(seeds, links, settings)
+    for done in (seeds, links):
+        drop_staged(done)
     known = ruled.select("page_id", "host", "path", "rule", "ruled").join(found, "host", "left")
     trust, distrust = F.coalesce("trust", F.lit(0.0)), F.coalesce("distrust", F.lit(0.0))
     method = F.when(distrust > settings.ratio * (1 + settings.alike) * trust, "block").otherwise("allow")
