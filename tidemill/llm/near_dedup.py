@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.llm import words as W
-from tidemill.llm.store import drop_staged, grouped, stage
+from tidemill.llm.store import drop_staged, freed, grouped, stage
 
 
 @dataclass(frozen=True)
@@ -117,7 +117,7 @@ def sketches(docs: DataFrame, settings: Settings) -> DataFrame:
                 ["doc_id", "n_shingles", "key_a", "key_b", "signature"],
             )
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, SKETCH)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(freed(run), SKETCH)
 
 
 def band_rows(classes: DataFrame, settings: Settings) -> DataFrame:
@@ -139,7 +139,7 @@ def band_rows(classes: DataFrame, settings: Settings) -> DataFrame:
                 ["rep", "band", "bucket", "n_shingles"],
             )
 
-    return classes.select("rep", "signature", "n_shingles").mapInArrow(run, "rep long, band int, bucket long, n_shingles long")
+    return classes.select("rep", "signature", "n_shingles").mapInArrow(freed(run), "rep long, band int, bucket long, n_shingles long")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -187,7 +187,7 @@ def plausible(pairs: DataFrame, classes: DataFrame, settings: Settings) -> DataF
 
     signs = classes.select("rep", "signature")
     joined = pairs.join(signs.toDF("a", "left"), "a").join(signs.toDF("b", "right"), "b")
-    return joined.select("a", "b", "left", "right").mapInArrow(run, PAIR)
+    return joined.select("a", "b", "left", "right").mapInArrow(freed(run), PAIR)
 
 
 def linked(left: np.ndarray, right: np.ndarray, percent: int) -> bool:
@@ -210,7 +210,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, settings: Settings) -> DataFram
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
     joined = pairs.join(sets.toDF("a", "left"), "a").join(sets.toDF("b", "right"), "b")
-    return joined.select("a", "b", "left", "right").mapInArrow(run, PAIR)
+    return joined.select("a", "b", "left", "right").mapInArrow(freed(run), PAIR)
 
 
 def hub_pairs(members: DataFrame) -> DataFrame:
@@ -310,7 +310,7 @@ def partnered(cells: DataFrame, classes: DataFrame, settings: Settings) -> DataF
     rows = waiting(cells, classes)
     return rows.repartition(*BLOCK).sortWithinPartitions(*BLOCK).select(
         *names, "n_shingles", "signature"
-    ).mapInArrow(run, cells.schema)
+    ).mapInArrow(freed(run), cells.schema)
 
 
 def forest(cells: DataFrame, classes: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame:
@@ -342,7 +342,7 @@ def forest(cells: DataFrame, classes: DataFrame, sets: DataFrame, settings: Sett
     rows = waiting(cells, classes).join(sets, "rep")
     return rows.repartition(*BLOCK).sortWithinPartitions(*BLOCK).select(
         *cells.columns, "n_shingles", "signature", "set"
-    ).mapInArrow(run, PAIR).distinct()
+    ).mapInArrow(freed(run), PAIR).distinct()
 
 
 def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -423,7 +423,7 @@ def _full_sets(docs: DataFrame, involved: DataFrame, settings: Settings) -> Data
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["rep", "set"])
 
     texts = docs.select(F.col("doc_id").cast("long"), "text")
-    return texts.join(involved.hint("shuffle_hash"), "doc_id", "left_semi").mapInArrow(run, "rep long, set binary")
+    return texts.join(involved.hint("shuffle_hash"), "doc_id", "left_semi").mapInArrow(freed(run), "rep long, set binary")
 
 
 UNNAMED = 1 << 62

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemill.llm import words as W
+from tidemill.llm.store import freed
 
 WINDOW = 8
 
@@ -96,7 +97,7 @@ def counted(docs: DataFrame, column: str = "text") -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, struct], [*batch.schema.names, "statistics"])
 
     schema = T.StructType([*plain.schema.fields, T.StructField("statistics", STATISTICS)])
-    return plain.mapInArrow(run, schema).toDF(*docs.columns, "statistics")
+    return plain.mapInArrow(freed(run), schema).toDF(*docs.columns, "statistics")
 
 
 def ratios(struct: str = "statistics") -> dict[str, F.Column]:

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 from math import ceil
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.session import scratch_path
+from tidemill.session import unstage as drop_staged  # noqa: F401  for the operators
 
 
 def stage(frame: DataFrame, label: str, by: str | None = None) -> DataFrame:
@@ -34,17 +36,22 @@ def bounded(rows: DataFrame, number: int) -> DataFrame:
     return rows.orderBy(place, *[F.col(f"`{name}`") for name in rows.columns]).limit(number)
 
 
-def drop(spark: SparkSession, path: str) -> None:
-    """Remove a table that nothing reads any more."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+def freed(run: Callable) -> Callable:
+    """``run`` of a mapInArrow, after which the worker gives back memory that it holds and does not
+    use. Workers live on from task to task, and an executor has to hold all it ever gave them."""
 
+    def wrapped(batches):
+        yield from run(batches)
+        give_back()
 
-def drop_staged(frame: DataFrame) -> None:
-    """Remove the files behind a table that ``stage`` has read back."""
-    files = frame.inputFiles()
-    if files:
-        drop(frame.sparkSession, files[0].rpartition("/")[0])
+    return wrapped
+
+
+def give_back() -> None:
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
 
 
 def grouped(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
