@@ -33,13 +33,23 @@ def library_ids(text):
 
 
 def test_counts_and_ids_are_those_of_the_library():
-    merger, encoder = C.Merger(SPEC), T.Encoder(SPEC, 500)
+    merger, encoder = C.Merger(SPEC), T.Encoder(SPEC, 50_000)
     for text in texts():
         expected = library_ids(text)
         assert merger.count([text]) == [len(expected)], repr(text)
         assert np.frombuffer(encoder.encode(text), "<u4").tolist() == expected, repr(text)
 
 
+def test_what_is_remembered_is_bounded_and_parts_need_their_splitting():
+    encoder, held = T.Encoder(SPEC, 100_000), []
+    for text in texts():
+        assert np.frombuffer(encoder.encode(text), "<u4").tolist() == library_ids(text), repr(text)
+        held.append(encoder.held)
+    assert encoder.folds and encoder.before and max(held) < 300_000
+    # With another splitting, no word is put together of parts.
+    assert not T.Encoder(SPEC.replace("'s|'t", "'x|'t"), 100_000).folds
+
+
 def test_merging_by_ranks_matches_one_pair_at_a_time():
     """Sequences in one array do not touch one another; equal neighbours merge from the left."""
     merger = C.Merger(SPEC)
@@ -76,6 +86,15 @@ def test_documents_come_back_in_order(spark, settings):
     assert sorted(map(tuple, T.digest(frame, VOCABULARY, settings).collect())) == expected_places(sorted(docs))
 
 
+def test_files_are_read_back_by_as_many_tasks_as_there_are_reading_rows(spark):
+    docs = spark.createDataFrame([(n, prose(n, 5)) for n in range(200)], "doc_id long, text string").repartition(4)
+    settings, folder = T.Settings(read_documents=10), scratch_path(spark, "ids")
+    manifest = T.write(docs, VOCABULARY, folder, settings)
+    reading = sum(-(-r.documents // 10) for r in manifest.collect())
+    found = T.read(spark, folder, manifest, settings)
+    assert reading >= 20 and found.rdd.getNumPartitions() == reading and found.count() == 200
+
+
 def test_odd_documents(spark):
     found = T.digest(odd_documents(spark), VOCABULARY).collect()
     assert len(found) == len(documents())

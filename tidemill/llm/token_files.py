@@ -48,6 +48,17 @@ LOWER_CASE = {
         {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"},
     ],
 }
+# Fixed value: the splitting under which a run of letters is one piece, and stops after it another.
+LETTER_RUNS = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {
+            "type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+            "behavior": "Removed", "invert": True,
+        },
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
 ENTRY = np.dtype([("packed", "<u4"), ("size", "<u4"), ("checksum", "<u4")])
 DOCUMENT = np.dtype([("doc_id", "<i8"), ("named", "u1"), ("frame", "<u4")])
 
@@ -63,8 +74,9 @@ class Settings:
     """Bytes of ids after which a task starts a new file."""
     read_documents: int = 20_000
     """Documents of a file that one reading row covers."""
-    known_words: int = 500_000
-    """Words whose ids a worker remembers before it starts afresh."""
+    known_bytes: int = 64 << 20
+    """Memory of words whose ids a worker remembers before it starts afresh; it keeps the last
+    such memory beside the new one."""
 
 
 MANIFEST = "file string, task int, number int, documents long, ids long"
@@ -72,6 +84,8 @@ MANIFEST = "file string, task int, number int, documents long, ids long"
 
 # Latin letters whose lower case is one letter: all but the capital I with a dot.
 LETTERED = regex.compile(r"([A-Za-zÀ-ÖØ-öø-įı-ɏ]+)([.,;:!?%$&*#()/+=-]*)")
+ENTRY_BYTES = 160
+"""What a remembered word takes besides its letters and ids, about."""
 
 
 class Encoder(dict):
@@ -83,41 +97,48 @@ class Encoder(dict):
     library's model gives the ids; all other words the library encodes as they are.
     """
 
-    def __init__(self, vocabulary: str, limit: int):
+    def __init__(self, vocabulary: str, known_bytes: int):
         self.library = Tokenizer.from_str(vocabulary)
         self.library.no_truncation()
         self.library.no_padding()
         self.model = self.library.model
-        self.limit = limit
+        self.known_bytes, self.held = known_bytes, 0
         self.before: dict[str, bytes] = {}
         self.letters = {byte: letter for byte, letter in enumerate(byte_letters())}
         spec = json.loads(vocabulary)
-        self.folds = spec["normalizer"] == LOWER_CASE and spec["model"]["end_of_word_suffix"] is not None
+        self.folds = (
+            spec["normalizer"] == LOWER_CASE and spec["pre_tokenizer"] == LETTER_RUNS and spec["model"]["end_of_word_suffix"] is not None
+        )
 
     def __missing__(self, word: str) -> bytes:
         found = self.before.get(word)
         if found is None:
-            found = self._encoded(word)
+            found = self._ids(word)
         self[word] = found
+        self.held += ENTRY_BYTES + len(word) + len(found)
         return found
 
-    def _encoded(self, word: str) -> bytes:
-        match = LETTERED.fullmatch(word) if self.folds else None
-        if match is None:
-            ids = self.library.encode(word, add_special_tokens=False).ids
-        elif match[2]:
-            return self[match[1]] + self[match[2]]
-        else:
-            lower = word.lower()
-            if lower != word:
-                return self[lower]
-            ids = [token.id for token in self.model.tokenize(word.encode().decode("latin-1").translate(self.letters))]
+    def _ids(self, word: str) -> bytes:
+        if self.folds:
+            plain = word.isascii() and word.isalpha()
+            match = None if plain else LETTERED.fullmatch(word)
+            if match and match[2]:
+                return self[match[1]] + self[match[2]]
+            if plain or match:
+                lower = word.lower()
+                if lower != word:
+                    return self[lower]
+                # Bytes as the letters that stand for them: those of ASCII stand for themselves.
+                said = word if plain else word.encode().decode("latin-1").translate(self.letters)
+                ids = [token.id for token in self.model.tokenize(said)]
+                return struct.pack(f"<{len(ids)}I", *ids)
+        ids = self.library.encode(word, add_special_tokens=False).ids
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, text: str) -> bytes:
-        if len(self) > self.limit:
+        if self.held > self.known_bytes:
             # Words met since the last time stay at hand.
-            self.before = dict(self)
+            self.before, self.held = dict(self), 0
             self.clear()
         return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
 
@@ -125,11 +146,11 @@ class Encoder(dict):
 _encoders: dict[str, Encoder] = {}
 
 
-def encoder(vocabulary: str, limit: int) -> Encoder:
+def encoder(vocabulary: str, known_bytes: int) -> Encoder:
     """This worker's encoder, which remembers words from task to task."""
     if vocabulary not in _encoders:
         _encoders.clear()
-        _encoders[vocabulary] = Encoder(vocabulary, limit)
+        _encoders[vocabulary] = Encoder(vocabulary, known_bytes)
     return _encoders[vocabulary]
 
 
@@ -215,7 +236,7 @@ def write(docs: DataFrame, vocabulary: str, folder: str, settings: Settings = Se
     end = np.array([settings.end_id], "<u4").tobytes()
 
     def run(batches):
-        remembered, task = encoder(spec.value, settings.known_words), TaskContext.get().partitionId()
+        remembered, task = encoder(spec.value, settings.known_bytes), TaskContext.get().partitionId()
         done, writer = [], None
 
         def close() -> None:
@@ -270,7 +291,9 @@ def read(spark: SparkSession, folder: str, manifest: DataFrame, settings: Settin
                         ["doc_id", "start", "n_tokens", "ids"],
                     )
 
-    spread = parts.repartition(F.col("task"), F.col("number"), F.col("first"))
+    # One task for each reading row: a number of partitions that is asked for is not coalesced.
+    rows = manifest.agg(F.sum(F.ceil(F.col("documents") / step))).first()[0] or 1
+    spread = parts.repartition(int(rows), F.col("task"), F.col("number"), F.col("first"))
     return spread.select("file", "documents", "base", "first").mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary")
 
 
