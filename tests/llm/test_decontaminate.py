@@ -67,6 +67,30 @@ def test_spans_are_cut_out(spark):
     left = {r.doc_id: r.text for r in D.cut_spans(frame, bench).collect()}
     assert left[30] == f"{prose(1, 20)} ! {prose(2, 5)}" and left[34] == "" and left[32] == "a ."
     assert left[5] == docs[5][1]
+    for size in (300, 600, 2000):
+        small = D.Settings(block_bytes=size)
+        assert len(D.blocks(bench, small)) > 1
+        assert {r.doc_id: r.text for r in D.cut_spans(frame, bench, small).collect()} == left
+
+
+def test_an_item_goes_whole_however_many_blocks_hold_its_windows(spark):
+    item = " ".join(f"w{n}" for n in range(30))
+    frame = spark.createDataFrame([(1, f"a {item} z"), (1, f"a {item} z"), (None, f"{item}"), (2, None)], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, item, "f")], BENCH)
+    for parts in (1, 5, 9):
+        settings = D.Settings(block_bytes=(64 << 20) if parts == 1 else 21 * 130 // parts)
+        left = D.cut_spans(frame, bench, settings)
+        assert rows(left) == sorted([(1, "a  z"), (1, "a  z"), (2, None), (None, "")], key=repr)
+
+
+def test_a_block_is_about_as_large_as_its_words(spark):
+    """What is broadcast is arrays, not objects: within twice the measure of ``block_bytes``."""
+    import pickle
+
+    bench = spark.createDataFrame([(n, prose(n, 300), "f") for n in range(100)], BENCH)
+    known = D.windows(bench, D.Settings()).toArrow()
+    measure = sum(len(w) + 64 + 16 * len(i) for w, i in zip(known["words"].to_pylist(), known["items"].to_pylist()))
+    assert len(pickle.dumps(D.Lookup(known))) < 1.2 * measure
 
 
 def test_equals_its_sql(spark):

@@ -3,8 +3,8 @@
 Every run of ``size`` words of a benchmark item is a window; an item with fewer words is
 one window. The hashes of all windows are broadcast, documents are scanned whole, and a
 hash that is found counts only when the words are the same. The set is broadcast in
-blocks of at most ``block_bytes``, each scanned against all documents, so that a large
-benchmark needs more scans and no larger memory.
+blocks of at most ``block_bytes``, one after the other, each scanned against all documents,
+so that a large benchmark needs more scans and no larger memory.
 """
 
 from __future__ import annotations
@@ -15,12 +15,13 @@ from math import ceil
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemill.llm import words as W
-from tidemill.llm.store import stage
+from tidemill.llm.store import drop_staged, stage
 
 
 @dataclass(frozen=True)
@@ -77,37 +78,59 @@ def _words(data: np.ndarray, found: W.Words, first: int, size: int) -> bytes:
 
 
 class Lookup:
-    """Windows of one block, by size: a table of hash prefixes, sorted hashes, and the words."""
-
-    BITS = 22
-
-    def __init__(self, rows):
-        self.items = defaultdict(list)
-        hashes = defaultdict(set)
-        for row in rows:
-            key = row["hash"] & W.MASK
-            hashes[row["size"]].add(key)
-            self.items[row["size"], key].append((bytes(row["words"]), row["items"]))
-        self.sorted = {size: np.array(sorted(known), np.uint64) for size, known in hashes.items()}
+    """Windows of one block as flat arrays, by size: sorted hashes, words end to end, items.
+
+    It is broadcast as it is; a worker adds a table of hash prefixes to each size.
+    """
+
+    MOST_BITS = 22
+
+    def __init__(self, block: pa.Table):
+        every = block["size"].to_numpy()
+        self.names = sorted({name for items in block["items"].to_pylist() for name in items})
+        number = {name: at for at, name in enumerate(self.names)}
+        self.sizes = {}
+        for size in np.unique(every).tolist():
+            part = block.filter(pa.array(every == size))
+            hashes = part["hash"].to_numpy().view(np.uint64)
+            order = np.argsort(hashes, kind="stable")
+            part = part.take(pa.array(order)).combine_chunks()
+            text, items = part["words"].combine_chunks().cast(pa.large_binary()), part["items"].combine_chunks()
+            lengths = np.array([len(word) for word in items.to_pylist()], np.int64)
+            self.sizes[size] = (
+                hashes[order],
+                np.frombuffer(text.buffers()[1], np.int64)[: len(text) + 1].copy(), text.buffers()[2].to_pybytes() if len(text) else b"",
+                np.concatenate([[0], np.cumsum(lengths)]), np.array([number[name] for name in items.flatten().to_pylist()], np.int32),
+            )
         self.prefixes = {}
-        for size, known in self.sorted.items():
-            table = np.zeros(1 << self.BITS, bool)
-            table[(known >> np.uint64(64 - self.BITS)).astype(np.int64)] = True
-            self.prefixes[size] = table
+
+    def __getstate__(self):
+        return {**self.__dict__, "prefixes": {}}
+
+    def _likely(self, size: int, hashes: np.ndarray) -> np.ndarray:
+        """Positions whose hash may be one of this size's."""
+        known = self.sizes[size][0]
+        if size not in self.prefixes:
+            bits = min(self.MOST_BITS, max(8, len(known).bit_length() + 3))
+            table = np.zeros(1 << bits, bool)
+            table[(known >> np.uint64(64 - bits)).astype(np.int64)] = True
+            self.prefixes[size] = np.uint64(64 - bits), table
+        shift, table = self.prefixes[size]
+        return np.flatnonzero(table[(hashes >> shift).astype(np.int64)])
 
     def hits(self, data: np.ndarray, found: W.Words):
         """(first word, size, items) of each verified occurrence."""
-        for size, known in self.sorted.items():
+        for size, (known, starts, text, firsts, items) in self.sizes.items():
             at, hashes = W.windows(found, size)
-            likely = np.flatnonzero(self.prefixes[size][(hashes >> np.uint64(64 - self.BITS)).astype(np.int64)])
-            place = np.searchsorted(known, hashes[likely])
-            place[place == len(known)] = 0
-            for index in likely[known[place] == hashes[likely]].tolist():
-                first = int(at[index])
+            likely = self._likely(size, hashes)
+            low = np.searchsorted(known, hashes[likely], "left")
+            high = np.searchsorted(known, hashes[likely], "right")
+            for place in np.flatnonzero(high > low).tolist():
+                first = int(at[likely[place]])
                 said = _words(data, found, first, size)
-                for text, items in self.items[size, int(hashes[index])]:
-                    if text == said:
-                        yield first, size, items
+                for row in range(low[place], high[place]):
+                    if text[starts[row] : starts[row + 1]] == said:
+                        yield first, size, [self.names[item] for item in items[firsts[row] : firsts[row + 1]]]
 
 
 def plain(docs: DataFrame) -> DataFrame:
@@ -115,43 +138,51 @@ def plain(docs: DataFrame) -> DataFrame:
     return docs.toDF(*[name if name == "text" else f"x{i}" for i, name in enumerate(docs.columns)])
 
 
-def scan(docs: DataFrame, block: DataFrame, cut: bool = False) -> DataFrame:
-    """``docs`` with what the windows of ``block`` hit in a last column ``found``: number of
-    words, merged spans of words, items and, with ``cut``, the text without the spans (each
-    from the first byte of its first word to the last byte of its last)."""
-    # At most block_bytes of words, as the caller has measured; no rows, no hits.
-    lookup = docs.sparkSession.sparkContext.broadcast([row.asDict() for row in block.toLocalIterator()])
-
+def scan(docs: DataFrame, lookup: Broadcast, cut: bool = False) -> DataFrame:
+    """``docs`` with what the windows of a block hit in a last column ``found``: number of words,
+    merged spans of words, items and, with ``cut``, the text without the spans (each from the
+    first byte of its first word to the last byte of its last). Spans that a column
+    ``earlier`` holds are merged with them."""
     spans_type = pa.list_(pa.struct([("first", pa.int32()), ("end", pa.int32())]))
     types = [pa.int64(), spans_type, pa.list_(pa.string()), pa.string()]
 
     def run(batches):
-        table = Lookup(lookup.value)
+        table = lookup.value
         for batch in batches:
             out = {"n_words": [], "spans": [], "items": [], "cut": []}
+            place = batch.schema.get_field_index("earlier")
+            earlier = batch.column(place).to_pylist() if place >= 0 else [[]] * batch.num_rows
             for first, end, data, offsets in W.chunks(batch.column(batch.schema.get_field_index("text"))):
                 found = W.words(data, offsets, W.ALNUM, fold=True)
                 spans, items = defaultdict(list), defaultdict(set)
-                hits = sorted((word, size, names) for word, size, names in table.hits(data, found))
-                for word, size, names in hits:
+                for word, size, names in table.hits(data, found):
                     row = int(found.text[word])
                     items[row].update(names)
-                    if spans[row] and word <= spans[row][-1][1]:
-                        spans[row][-1][1] = max(spans[row][-1][1], word + size)
-                    else:
-                        spans[row].append([word, word + size])
+                    spans[row].append((word, word + size))
                 for row in range(end - first):
                     base = int(found.first[row])
+                    merged = joined(spans[row] + [(base + s["first"], base + s["end"]) for s in earlier[first + row]])
                     out["n_words"].append(int(found.count[row]))
-                    out["spans"].append([{"first": a - base, "end": b - base} for a, b in spans[row]])
+                    out["spans"].append([{"first": a - base, "end": b - base} for a, b in merged])
                     out["items"].append(sorted(items[row]))
-                    out["cut"].append(_without(data, offsets[row], offsets[row + 1], found, spans[row]) if cut else None)
+                    out["cut"].append(_without(data, offsets[row], offsets[row + 1], found, merged) if cut and merged else None)
             found = pa.StructArray.from_arrays([pa.array(v, t) for v, t in zip(out.values(), types)], list(out))
             yield pa.RecordBatch.from_arrays([*batch.columns, found], [*batch.schema.names, "found"])
 
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("found", FOUND)]))
 
 
+def joined(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Spans in order, those that touch as one."""
+    found: list[tuple[int, int]] = []
+    for first, end in sorted(spans):
+        if found and first <= found[-1][1]:
+            found[-1] = found[-1][0], max(found[-1][1], end)
+        else:
+            found.append((first, end))
+    return found
+
+
 def _without(data: np.ndarray, first: int, end: int, found: W.Words, spans: list) -> str:
     kept, at = [], int(first)
     for a, b in spans:
@@ -169,6 +200,31 @@ def blocks(benchmark: DataFrame, settings: Settings) -> list[DataFrame]:
     return [known.where(F.pmod(F.xxhash64("hash"), F.lit(parts)) == part) for part in range(parts)]
 
 
+def in_turn(rows: DataFrame, benchmark: DataFrame, settings: Settings, step, carried: bool) -> DataFrame | list[DataFrame]:
+    """``step(rows, lookup, last)`` for one block after the other.
+
+    At most one block is broadcast: what a step makes is written, and its block released,
+    before the next block is fetched. With ``carried`` each step takes the rows of the one
+    before and the last one's rows are returned, else those of all steps. One block alone
+    is not written.
+    """
+    context = rows.sparkSession.sparkContext
+    parts, found = blocks(benchmark, settings), []
+    for number, block in enumerate(parts):
+        # At most block_bytes of windows, as measured; no rows, no hits.
+        lookup = context.broadcast(Lookup(block.toArrow()))
+        after = step(rows, lookup, number == len(parts) - 1)
+        if len(parts) > 1:
+            after = stage(after, "scanned")
+            lookup.destroy()
+        if carried:
+            if number:
+                drop_staged(rows)
+            rows = after
+        found.append(after)
+    return rows if carried else found
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """(doc_id, text_key, n_words, spans, items) of each row of (doc_id, text, ...).
 
@@ -178,10 +234,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, settings: Settings = Se
     block; over several blocks they are gathered and may touch.
     """
     rows = docs.select("doc_id", "text")
-    parts = [
-        scan(rows, block).select("doc_id", F.xxhash64("text").alias("text_key"), "found.n_words", "found.spans", "found.items")
-        for block in blocks(benchmark, settings)
-    ]
+
+    def step(rows: DataFrame, lookup: Broadcast, last: bool) -> DataFrame:
+        return scan(rows, lookup).select("doc_id", F.xxhash64("text").alias("text_key"), "found.n_words", "found.spans", "found.items")
+
+    parts = in_turn(rows, benchmark, settings, step, carried=False)
     if len(parts) == 1:
         return parts[0]
     every = parts[0]
@@ -211,20 +268,24 @@ def digest(found: DataFrame) -> DataFrame:
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """The rows of ``docs`` that no benchmark window occurs in, with the columns of ``docs``."""
-    rows = plain(docs)
-    for block in blocks(benchmark, settings):
-        rows = scan(rows, block).where(F.size("found.spans") == 0).drop("found")
-    return rows.toDF(*docs.columns)
+
+    def step(rows: DataFrame, lookup: Broadcast, last: bool) -> DataFrame:
+        return scan(rows, lookup).where(F.size("found.spans") == 0).drop("found")
+
+    return in_turn(plain(docs), benchmark, settings, step, carried=True).toDF(*docs.columns)
 
 
 def cut_spans(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """``docs`` with every hit span removed from ``text``; other columns as they were.
 
-    Over several blocks, the text left by one is scanned for the next.
+    Spans of all blocks are gathered and merged, and the text is cut once, after the last.
     """
-    rows = plain(docs)
-    for block in blocks(benchmark, settings):
-        done = scan(rows, block, cut=True)
-        left = F.when(F.size("found.spans") > 0, F.col("found.cut")).otherwise(F.col("text"))
-        rows = done.withColumn("text", left).drop("found")
-    return rows.toDF(*docs.columns)
+
+    def step(rows: DataFrame, lookup: Broadcast, last: bool) -> DataFrame:
+        done = scan(rows, lookup, cut=last)
+        if not last:
+            return done.withColumn("earlier", F.col("found.spans")).drop("found")
+        return done.withColumn("text", F.coalesce("found.cut", "text")).drop("found", "earlier")
+
+    none = F.array().cast(T.ArrayType(SPAN))
+    return in_turn(plain(docs).withColumn("earlier", none), benchmark, settings, step, carried=True).toDF(*docs.columns)
