@@ -4,6 +4,8 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from plans import operators
+
 from tidemill.sources import offsets
 from tidemill.sources.logs import LOG_SCHEMA, FileLog
 
@@ -51,6 +53,45 @@ def test_offsets_go_on_without_gaps(spark, log):
     assert {r.n for r in again.collect()} == {1}
 
 
+def shuffled_rows(frame):
+    """Rows of the shuffles and windows that the executed frame itself had."""
+    frame.collect()
+    kinds = [(n.getClass().getSimpleName(), n) for n in operators(frame)]
+    assert not [k for k, _ in kinds if k in ("WindowExec", "SortExec")]
+    return sum(n.metrics().apply("shuffleRecordsWritten").value() for k, n in kinds if k == "ShuffleExchangeExec")
+
+
+def test_messages_are_numbered_without_a_shuffle(spark):
+    messages = keyed(spark, "a", 0, 4000).repartition(3).unionByName(keyed(spark, "b", 0, 900))
+    ends = spark.createDataFrame([("a", 0, 0, 7)], "topic string, partition int, first long, end long")
+    rows = offsets.numbered(messages, ends, 2)
+    assert shuffled_rows(rows) == 0
+    found = places(rows)
+    for topic, partition, first in (("a", 0, 7), ("a", 1, 0), ("b", 0, 0), ("b", 1, 0)):
+        mine = [o for t, p, o in found if (t, p) == (topic, partition)]
+        assert mine == list(range(first, first + len(mine)))
+    assert len(found) == 4900
+
+
+@pytest.mark.parametrize("writers, partitions", [("16", 1), ("2", 1), ("0", 1), ("2", 5)])
+def test_a_task_keeps_the_order_of_its_messages(spark, writers, partitions):
+    """More topics in a task than files that it keeps open, or more partitions in a file."""
+    messages = spark.range(0, 3000, numPartitions=2).select(
+        (F.col("id") % 11).cast("string").cast("binary").alias("key"),
+        F.concat(F.lit("t"), F.pmod(F.xxhash64("id"), F.lit(5)).cast("string")).alias("topic"),
+        F.col("id").cast("string").cast("binary").alias("value"),
+    )
+    spark.conf.set("spark.sql.maxConcurrentOutputFileWriters", writers)
+    try:
+        rows = offsets.numbered(messages, spark.createDataFrame([], "topic string, partition int, end long"), partitions).collect()
+    finally:
+        spark.conf.set("spark.sql.maxConcurrentOutputFileWriters", "16")
+    assert sorted(int(r.value) for r in rows) == list(range(3000))
+    for place in {(r.topic, r.partition) for r in rows}:
+        mine = sorted((r.offset, int(r.value)) for r in rows if (r.topic, r.partition) == place)
+        assert [o for o, _ in mine] == list(range(len(mine))) and [v for _, v in mine] == sorted(v for _, v in mine)
+
+
 def test_reads_between_positions(spark, log):
     ends = {r.partition: r.end for r in offsets.marks(log.messages(spark, "a")).collect()}
     assert sum(ends.values()) == 80

@@ -39,26 +39,41 @@ def numbered(messages: DataFrame, ends: DataFrame, partitions: int) -> DataFrame
     """Messages with partition and offset: a key's messages in one partition, in the order of their
     tasks, and messages without key in one.
 
-    Offsets go on from ``ends`` (topic, partition, end) without gaps. Messages are written once and
-    counted by task, so that no task numbers more than another task brought.
+    Offsets go on from ``ends`` (topic, partition, end) without gaps. Messages are written once, by
+    place, and each file is counted: a message's offset is its file's first offset and its row in
+    the file, so that no message is shuffled or sorted. Only where a file may be out of order, or
+    holds several places, its rows are numbered by a window over the file.
     """
+    spark = messages.sparkSession
+    writers = int(spark.conf.get("spark.sql.maxConcurrentOutputFileWriters"))
     key = F.col("key") if "key" in messages.columns else F.lit(None).cast("binary")
     place = F.pmod(F.xxhash64(key), F.lit(partitions)).cast("int")
     held = stage(
-        messages.drop("partition", "offset").withColumns(
-            {"partition": place, "__task": F.spark_partition_id(), "__row": F.monotonically_increasing_id()}
+        messages.where(F.col("topic").isNotNull()).drop("partition", "offset").withColumns(
+            {"partition": place, "__row": F.monotonically_increasing_id()}
         ),
         "messages",
+        *(PLACE if partitions <= writers else PLACE[:1]),
+    ).withColumns({"__file": F.col("_metadata.file_path"), "__place": F.col("_metadata.row_index")})
+    counts = held.groupBy("__file", *PLACE).agg(F.count("*").alias("n"), F.min("__row").alias("__first"))
+    before = Window.partitionBy(*PLACE).orderBy("__first").rowsBetween(Window.unboundedPreceding, -1)
+    # A task with more places than open writers sorts what it writes, and not by row.
+    task = Window.partitionBy(F.shiftright("__first", 33))
+    straight = (F.count("*").over(task) <= writers) & (F.count("*").over(Window.partitionBy("__file")) == 1)
+    counts = counts.withColumns({"__before": F.coalesce(F.sum("n").over(before), F.lit(0)), "__straight": straight})
+    # A short row for each file, written so that its size is known.
+    bases = stage(
+        counts.join(ends.select(*PLACE, "end"), PLACE, "left").select(
+            "__file", "partition", (F.coalesce("end", F.lit(0)) + F.col("__before")).alias("__base"), "__straight"
+        ),
+        "bases",
     )
-    task = [*PLACE, "__task"]
-    before = Window.partitionBy(*PLACE).orderBy("__task").rowsBetween(Window.unboundedPreceding, -1)
-    counts = held.groupBy(*task).agg(F.count("*").alias("n")).withColumn("__before", F.coalesce(F.sum("n").over(before), F.lit(0)))
-    bases = counts.join(ends.select(*PLACE, "end"), PLACE, "left").select(
-        *task, (F.coalesce("end", F.lit(0)) + F.col("__before")).alias("__base")
-    )
-    order = F.row_number().over(Window.partitionBy(*task).orderBy("__row"))
-    rows = held.withColumn("__place", order).join(bases, task)
-    return rows.withColumn("offset", F.col("__base") + F.col("__place") - 1).drop("__task", "__row", "__base", "__place")
+    based = held.join(bases, ["__file", "partition"])
+    rows = based.where("__straight")
+    if not bases.where("NOT __straight").isEmpty():
+        order = F.row_number().over(Window.partitionBy("__file", "partition").orderBy("__row"))
+        rows = rows.unionByName(based.where("NOT __straight").withColumn("__place", order - 1))
+    return rows.withColumn("offset", F.col("__base") + F.col("__place")).drop("__row", "__file", "__place", "__base", "__straight")
 
 
 def positions(known: DataFrame, position: str, column: str) -> DataFrame:
