@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tidemill.catalog import PARTITION_COLUMNS
 from tidemill.sources import lake
-from tidemill.streaming import sinks
+from tidemill.streaming import compaction, sinks
 from tidemill.streaming.compaction import CompactedLake
 
 
@@ -53,6 +53,15 @@ def test_files_are_of_a_set_size_and_large_ones_stay(spark, table):
     assert none.compact(spark, "id") == 0
 
 
+def test_no_task_sorts_a_whole_file_of_the_target_size(spark, table, monkeypatch):
+    sinks.land_batch(batch(spark, 0, 40_000, "03", files=8), table.lake)
+    size = sum(r.length for r in lake.list_files(spark, table.lake).collect())
+    monkeypatch.setattr(compaction, "SORTED_BYTES", size // 5, raising=False)
+    assert table.compact(spark, "id") == 8
+    made = table.rows(spark).inputFiles()
+    assert 5 <= len(made) <= 6 and table.rows(spark).agg(F.count("*"), F.sum("id")).first()[:] == (40_000, sum(range(40_000)))
+
+
 def test_a_reader_in_between_sees_one_version(spark, table, monkeypatch):
     sinks.land_batch(batch(spark, 0, 50, "03", files=5), table.lake)
     whole = ids(table.rows(spark))

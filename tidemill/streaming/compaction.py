@@ -22,6 +22,9 @@ from tidemill.sources.lake import exists, list_files
 
 LEDGER_SCHEMA = "file string, version string"
 
+# Bytes of small files whose rows one task sorts: in memory they take about thirty times that.
+SORTED_BYTES = 16 << 20
+
 
 @dataclass(frozen=True)
 class CompactedLake:
@@ -65,7 +68,8 @@ class CompactedLake:
         """Rewrite the small files of crowded hours, sorted by hour and then ``sort_by``; how many there were.
 
         Rows are dealt to files by ranges of that order, so that an hour of any size takes as
-        many files as its rows fill. An attempt that fails is in no ledger.
+        many files as its rows fill, and no task sorts more than ``SORTED_BYTES``. An attempt that
+        fails is in no ledger.
         """
         files = self.small(spark).orderBy("path").limit(self.files_at_once).collect()
         if not files:
@@ -73,7 +77,7 @@ class CompactedLake:
         version, order = uuid.uuid4().hex, [*PARTITION_COLUMNS, *sort_by]
         paths = [row.path for row in files]
         rows = spark.read.schema(self.schema).option("basePath", self.lake).parquet(*paths)
-        parts = max(1, ceil(sum(row.length for row in files) / self.target_bytes))
+        parts = max(1, ceil(sum(row.length for row in files) / min(self.target_bytes, SORTED_BYTES)))
         dealt = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
         dealt.write.partitionBy(*PARTITION_COLUMNS).parquet(self.folder(version))
         named = spark.createDataFrame([(path, version) for path in paths], LEDGER_SCHEMA)
