@@ -3,7 +3,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from plans import final_plan
+from plans import final_plan, operators
 from tidemill.operators import quality, rules
 
 NOON = dt.datetime(2024, 1, 1, 12)
@@ -206,6 +206,18 @@ def test_constraints(spark):
     ]
 
 
+def test_orphans_hold_each_key_once_and_sort_nothing(spark):
+    child = spark.range(0, 30_000).selectExpr("IF(id % 10 = 0, NULL, CAST(id % 7000 AS string)) AS k")
+    parent = spark.range(0, 9_000).selectExpr("IF(id % 9 = 0, NULL, CAST(id + 100 AS string)) AS id")
+    found = quality.orphans(child, "k", parent, "id")
+    keys = [str(i % 7000) for i in range(30_000) if i % 10]
+    held = {str(i + 100) for i in range(9_000) if i % 9}
+    assert rows(found) == sorted((k, keys.count(k)) for k in set(keys) - held)
+    kinds = [n.getClass().getSimpleName() for n in operators(found)]
+    assert not [k for k in kinds if "Join" in k or k == "SortExec"]
+    assert kinds.count("ShuffleExchangeExec") == 1
+
+
 def test_rule_names_are_plain_text(spark):
     frame = spark.createDataFrame([(1,), (None,)], "n int")
     found = quality.violations(frame, {"owner's \"n\"": "n IS NULL", "`odd`": "n > 5"})

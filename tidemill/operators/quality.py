@@ -112,13 +112,14 @@ def duplicate_keys(frame: DataFrame, *key: str) -> DataFrame:
 def orphans(child: DataFrame, column: str, parent: DataFrame, key: str) -> DataFrame:
     """Referenced keys the parent lacks, with their number of child rows; NULL refers to nothing.
 
-    Both sides are cut to one row per key before they meet, however often a key occurs.
+    Both sides meet in one aggregation, to which each task brings one row per key, however often
+    it occurs: a key is held once, and nothing is sorted.
     """
-    referred = (
-        child.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("rows"))
-    )
-    known = parent.select(F.col(key).alias(column)).distinct()
-    return referred.join(known, column, "left_anti")
+    referred = child.select(column, F.lit(1).alias("rows"), F.lit(False).alias("__known"))
+    known = parent.select(F.col(key).alias(column), F.lit(0).alias("rows"), F.lit(True).alias("__known"))
+    keys = referred.unionAll(known).where(F.col(column).isNotNull()).groupBy(column)
+    counts = keys.agg(F.sum("rows").alias("rows"), F.bool_or("__known").alias("__known"))
+    return counts.where(~F.col("__known")).select(column, "rows")
 
 
 def violations(frame: DataFrame, rules: dict[str, str]) -> DataFrame:

@@ -15,6 +15,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     # Splits the partition of a hot key in the fact-to-dimension joins.
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Keys are packed tightly in a shuffle: the default of 64 MB takes a task gigabytes.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8MB",
     # The default INT96 carries no statistics, so time filters could not skip row groups.
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     # One ingestion hour means one or two open folders per task, a log's topics a few more: no
