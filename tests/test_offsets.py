@@ -92,6 +92,18 @@ def test_a_task_keeps_the_order_of_its_messages(spark, writers, partitions):
         assert [o for o, _ in mine] == list(range(len(mine))) and [v for _, v in mine] == sorted(v for _, v in mine)
 
 
+def test_offsets_in_an_order_take_no_task_for_a_whole_partition(spark):
+    ids = spark.range(0, 5000).select(F.expr("IF(id % 100 = 7, NULL, id * 37 % 4999)").alias("id"), F.lit("a").alias("topic"))
+    rows = offsets.in_order(ids.withColumn("partition", F.pmod("id", F.lit(3)).cast("int")), F.col("id"))
+    assert shuffled_rows(rows) == 0
+    found = rows.collect()
+    assert len(found) == 5000 and rows.columns == ["id", "topic", "partition", "offset"]
+    for partition in (None, 0, 1, 2):
+        mine = sorted((r.offset, r.id) for r in found if r.partition == partition)
+        assert mine and [o for o, _ in mine] == list(range(len(mine)))
+        assert partition is None or [i for _, i in mine] == sorted(i for _, i in mine)
+
+
 def test_reads_between_positions(spark, log):
     ends = {r.partition: r.end for r in offsets.marks(log.messages(spark, "a")).collect()}
     assert sum(ends.values()) == 80

@@ -728,8 +728,7 @@ def _numbered_orders(spark, sf_dir) -> DataFrame:
     messages = envelope.encode(SHOP["orders"](spark, sf_dir), catalog.ORDERS, PREFIX)
     order_id = F.get_json_object(F.col("key").cast("string"), "$.order_id").cast("long")
     placed = messages.withColumn("partition", F.pmod(order_id, F.lit(3)).cast("int"))
-    place = F.row_number().over(Window.partitionBy("partition").orderBy(order_id)) - 1
-    return placed.withColumn("offset", place.cast("long"))
+    return offsets.in_order(placed, order_id)
 
 
 @query
@@ -750,7 +749,7 @@ def log_between_offsets(spark, sf_dir):
 def log_missing_offsets(spark, sf_dir):
     """Stretches of a log that are gone: the messages of orders in process."""
     log, topic = FileLog(scratch_path(spark, "log")), catalog.ORDERS.topic(PREFIX)
-    messages = stage(_numbered_orders(spark, sf_dir), "messages")
+    messages = _numbered_orders(spark, sf_dir)
     status = F.get_json_object(F.col("value").cast("string"), "$.after.status")
     log.append(messages.where(status != "P"))
     return offsets.missing(log.messages(spark, topic), offsets.ranges(messages))

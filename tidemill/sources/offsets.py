@@ -9,7 +9,7 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemill.session import stage, unstage
@@ -76,6 +76,29 @@ def numbered(messages: DataFrame, ends: DataFrame, partitions: int) -> DataFrame
     return rows.withColumn("offset", F.col("__base") + F.col("__place")).drop("__row", "__file", "__place", "__base", "__straight")
 
 
+def in_order(messages: DataFrame, order: Column) -> DataFrame:
+    """Messages that have a partition, with offsets from 0 on in the order of ``order``; of messages
+    that tie, any may come first.
+
+    Ranges of the order are sorted and written, each by a task of its own, and counted. An offset
+    is that of the first row of its range and the rows before it there, so that a partition of any
+    size is no single task.
+    """
+    ranged_by = ["partition", "__order"]
+    dealt = messages.withColumn("__order", order).repartitionByRange(*ranged_by).sortWithinPartitions(*ranged_by)
+    held = stage(dealt, "ordered").withColumns({"__file": F.col("_metadata.file_path"), "__place": F.col("_metadata.row_index")})
+    counts = held.groupBy("__file", "partition").agg(
+        F.count("*").alias("n"), F.min("__place").alias("low"), F.min("__order").alias("first")
+    )
+    before = Window.partitionBy("partition").orderBy("first").rowsBetween(Window.unboundedPreceding, -1)
+    base = F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("low")
+    # A short row for each file, written so that its size is known.
+    bases = stage(counts.select(F.col("__file").alias("file"), F.col("partition").alias("of"), base.alias("base")), "bases")
+    same = (F.col("__file") == F.col("file")) & F.col("partition").eqNullSafe(F.col("of"))
+    placed = held.join(bases, same).withColumn("offset", F.col("base") + F.col("__place"))
+    return placed.drop("__order", "__file", "__place", "file", "of", "base")
+
+
 def positions(known: DataFrame, position: str, column: str) -> DataFrame:
     """(topic, partition, ``column``) of a position: ``earliest``, ``latest``, or offsets as JSON.
 
