@@ -63,6 +63,15 @@ def test_later_row_goes_in_when_its_rival_did_not(spark):
     assert rows(added) == [("1", "a", 1), ("2", "c", 3)]
 
 
+def test_rows_without_rivals_are_not_carried_to_the_end_by_id(spark):
+    batch = frame(spark, [(f"p{n}", f"e{n}", n) for n in range(3000)] + [("p0", "z", 5000)])
+    added = insert.insert_ignore_unique(frame(spark, []), batch, "pk", ["email"], ["n"])
+    assert len(added.collect()) == 3000
+    plan = [n.getClass().getSimpleName() for n in operators(added)]
+    # What is left out is a small table: a single join, without a shuffle of the rows.
+    assert plan.count("BroadcastHashJoinExec") == 1 and "ShuffleExchangeExec" not in plan and "SortMergeJoinExec" not in plan
+
+
 KEYS = st.one_of(st.none(), st.sampled_from("abcdefg"))
 
 

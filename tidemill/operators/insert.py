@@ -60,18 +60,21 @@ def insert_ignore_unique(
         offered = _without_values(offered, target, key)
     # Written once, so that the ids that tell tied rows apart stay the same.
     offered = stage(offered.withColumn("__id", F.monotonically_increasing_id()), "offered")
-    rest = offered.select("__id", F.struct(*order_by, "__id").alias("__order"), *keys)
+    order = F.struct(*order_by, "__id")
 
-    ties = reduce(DataFrame.unionByName, [_ties(rest, key) for key in keys])
+    ties = reduce(DataFrame.unionByName, [_ties(offered, key) for key in keys])
     groups = _groups(ties)
-    alone = rest.join(groups, "__id", "left_anti").select("__id")
-    rivals = rest.join(groups, "__id")
     sizes = groups.groupBy("__group").agg(F.count("*").alias("__size"))
-    small = rivals.join(sizes.where(F.col("__size") <= SETTLED_AT_ONCE), "__group")
-    large = rivals.join(sizes.where(F.col("__size") > SETTLED_AT_ONCE), "__group")
-    accepted = [alone, _walked(small, keys), *_in_rounds(large.select(*rest.columns), keys)]
+    # Rivals alone are fetched, once, and each of their columns once.
+    named = offered.select("__id", *dict.fromkeys([*order_by, *keys]))
+    rivals = stage(named.join(groups.join(sizes, "__group"), "__id"), "rivals").withColumn("__order", order)
+    small = rivals.where(F.col("__size") <= SETTLED_AT_ONCE)
+    large = rivals.where(F.col("__size") > SETTLED_AT_ONCE)
+    accepted = [_walked(small, keys), *_in_rounds(large.select("__id", "__order", *keys), keys)]
     chosen = reduce(DataFrame.unionByName, accepted)
-    return offered.join(chosen, "__id", "left_semi").select(*batch.columns)
+    # Rows without rivals are most, and meet nothing but the ids that stay out.
+    out = stage(groups.select("__id").join(chosen, "__id", "left_anti"), "out")
+    return offered.join(out, "__id", "left_anti").select(*batch.columns)
 
 
 def _ties(rows: DataFrame, key: str) -> DataFrame:
