@@ -4,6 +4,8 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 import zstandard
 from tokenizers import Tokenizer
@@ -50,6 +52,29 @@ def test_what_is_remembered_is_bounded_and_parts_need_their_splitting():
     assert not T.Encoder(SPEC.replace("'s|'t", "'x|'t"), 100_000).folds
 
 
+def test_words_that_differ_in_case_and_stops_are_remembered_once():
+    encoder, runs = T.Encoder(SPEC, 1 << 20), ["stone", "ledge", "müßig", "zzyzx"]
+    words = [case(run) + stops for run in runs for case in (str, str.upper, str.title) for stops in ("", ",", ".", ");")]
+    text = " ".join(words).replace("SS", "ß")
+    assert np.frombuffer(encoder.encode(text), "<u4").tolist() == library_ids(text)
+    assert set(encoder) == {*runs, "", ",", ".", ");"}
+
+
+@pytest.mark.parametrize("kind", [pa.string(), pa.large_string()])
+def test_texts_are_encoded_in_chunks(monkeypatch, kind):
+    monkeypatch.setattr(T, "CHUNK_BYTES", 300)
+    some = [None, "", *texts()[:300], "word " * 200, None, "Tail.\n"]
+    found = list(T.Encoder(SPEC, 20_000).texts(pa.array(["out", *some], kind).slice(1)))
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in found] == [library_ids(text or "") for text in some]
+    assert not list(T.Encoder(SPEC, 20_000).texts(pa.array([], kind)))
+
+
+def test_lower_case_of_letters_is_one_letter():
+    letters = [chr(c) for c in range(0x250) if T.RUN.fullmatch(chr(c))]
+    assert pc.utf8_lower(pa.array(letters)).to_pylist() == [letter.lower() for letter in letters]
+    assert all(len(letter.lower()) == 1 for letter in letters)
+
+
 def test_merging_by_ranks_matches_one_pair_at_a_time():
     """Sequences in one array do not touch one another; equal neighbours merge from the left."""
     merger = C.Merger(SPEC)

@@ -23,6 +23,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs
 import regex
 import xxhash
@@ -75,26 +76,32 @@ class Settings:
     read_documents: int = 20_000
     """Documents of a file that one reading row covers."""
     known_bytes: int = 64 << 20
-    """Memory of words whose ids a worker remembers before it starts afresh; it keeps the last
-    such memory beside the new one."""
+    """Memory of parts of words whose ids a worker remembers before it starts afresh; it keeps
+    the last such memory beside the new one."""
 
 
 MANIFEST = "file string, task int, number int, documents long, ids long"
 
 
 # Latin letters whose lower case is one letter: all but the capital I with a dot.
-LETTERED = regex.compile(r"([A-Za-zÀ-ÖØ-öø-įı-ɏ]+)([.,;:!?%$&*#()/+=-]*)")
+LETTERS = "[A-Za-zÀ-ÖØ-öø-įı-ɏ]+"
+LETTERED = f"^(?P<run>{LETTERS})(?P<stops>[.,;:!?%$&*#()/+=-]*)$"
+RUN = regex.compile(LETTERS)
 ENTRY_BYTES = 160
-"""What a remembered word takes besides its letters and ids, about."""
+"""What a remembered part takes besides its letters and ids, about."""
+CHUNK_BYTES = 4 << 20
+"""Bytes of texts whose distinct words are found together; a longer text is a chunk by itself."""
 
 
 class Encoder(dict):
-    """The library's ids of words, as bytes, remembered.
+    """The library's ids of parts of words, as bytes, remembered.
 
     White space ends a pre-token of these vocabularies, so that a text's ids are those of
     its words in a row. A run of Latin letters is one pre-token, and stops after it are
     another: such words are put together of their parts, in lower case, of which the
-    library's model gives the ids; all other words the library encodes as they are.
+    library's model gives the ids; all other words the library encodes as they are. Only
+    parts are remembered, which are fewer than words; Arrow finds the distinct words of a
+    chunk of texts, and their parts.
     """
 
     def __init__(self, vocabulary: str, known_bytes: int):
@@ -110,44 +117,68 @@ class Encoder(dict):
             spec["normalizer"] == LOWER_CASE and spec["pre_tokenizer"] == LETTER_RUNS and spec["model"]["end_of_word_suffix"] is not None
         )
 
-    def __missing__(self, word: str) -> bytes:
-        found = self.before.get(word)
+    def __missing__(self, part: str) -> bytes:
+        found = self.before.get(part)
         if found is None:
-            found = self._ids(word)
-        self[word] = found
-        self.held += ENTRY_BYTES + len(word) + len(found)
+            found = self._ids(part)
+        self[part] = found
+        self.held += ENTRY_BYTES + len(part) + len(found)
         return found
 
-    def _ids(self, word: str) -> bytes:
-        if self.folds:
-            plain = word.isascii() and word.isalpha()
-            match = None if plain else LETTERED.fullmatch(word)
-            if match and match[2]:
-                return self[match[1]] + self[match[2]]
-            if plain or match:
-                lower = word.lower()
-                if lower != word:
-                    return self[lower]
-                # Bytes as the letters that stand for them: those of ASCII stand for themselves.
-                said = word if plain else word.encode().decode("latin-1").translate(self.letters)
-                ids = [token.id for token in self.model.tokenize(said)]
-                return struct.pack(f"<{len(ids)}I", *ids)
-        ids = self.library.encode(word, add_special_tokens=False).ids
+    def _ids(self, part: str) -> bytes:
+        plain = part.isascii() and part.isalpha()
+        if self.folds and (plain or RUN.fullmatch(part)):
+            # Bytes as the letters that stand for them: those of ASCII stand for themselves.
+            said = part if plain else part.encode().decode("latin-1").translate(self.letters)
+            ids = [token.id for token in self.model.tokenize(said)]
+        else:
+            ids = self.library.encode(part, add_special_tokens=False).ids
         return struct.pack(f"<{len(ids)}I", *ids)
 
-    def encode(self, text: str) -> bytes:
+    def _each(self, parts: pa.Array) -> np.ndarray:
+        coded = parts.dictionary_encode()
+        found = list(map(self.__getitem__, coded.dictionary.to_numpy(zero_copy_only=False)))
+        return np.array(found, object)[coded.indices.to_numpy()]
+
+    def _words(self, words: pa.Array) -> np.ndarray:
+        if not self.folds:
+            return self._each(words)
+        split = pc.extract_regex(words, LETTERED)
+        lettered = split.is_valid()
+        first = self._each(pc.if_else(lettered, pc.utf8_lower(split.field("run")), words))
+        return first + self._each(pc.if_else(lettered, split.field("stops"), ""))
+
+    def texts(self, texts: pa.Array) -> Iterator[bytes]:
+        """The ids of each text; a null text has none."""
+        ends = np.cumsum(pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        first = 0
+        while first < len(texts):
+            start = ends[first - 1] if first else 0
+            end = max(first + 1, int(np.searchsorted(ends, start + CHUNK_BYTES, side="right")))
+            yield from self._chunk(texts.slice(first, end - first))
+            first = end
+
+    def _chunk(self, texts: pa.Array) -> Iterator[bytes]:
         if self.held > self.known_bytes:
-            # Words met since the last time stay at hand.
+            # Parts met since the last time stay at hand.
             self.before, self.held = dict(self), 0
             self.clear()
-        return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
+        split = pc.split_pattern(pc.replace_substring(texts.fill_null(""), "\n", " "), " ")
+        coded = split.flatten().dictionary_encode()
+        data = self._words(coded.dictionary)[coded.indices.to_numpy()].tolist()
+        places = split.offsets.to_pylist()
+        for low, high in zip(places, places[1:]):
+            yield b"".join(data[low:high])
+
+    def encode(self, text: str) -> bytes:
+        return next(self.texts(pa.array([text], pa.string())))
 
 
 _encoders: dict[str, Encoder] = {}
 
 
 def encoder(vocabulary: str, known_bytes: int) -> Encoder:
-    """This worker's encoder, which remembers words from task to task."""
+    """This worker's encoder, which remembers parts of words from task to task."""
     if vocabulary not in _encoders:
         _encoders.clear()
         _encoders[vocabulary] = Encoder(vocabulary, known_bytes)
@@ -244,10 +275,10 @@ def write(docs: DataFrame, vocabulary: str, folder: str, settings: Settings = Se
             done.append((writer.name, task, len(done), len(writer.documents), writer.ids))
 
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            for doc_id, ids in zip(batch.column(0).to_pylist(), remembered.texts(batch.column(1))):
                 if writer is None:
                     writer = Writer(folder, f"ids-{task:06d}-{len(done):04d}-{uuid.uuid4().hex}.zst", settings)
-                writer.add(doc_id, remembered.encode(text.as_py() or "") + end)
+                writer.add(doc_id, ids + end)
                 if writer.ids * 4 >= settings.file_bytes:
                     close()
                     writer = None
