@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tidemill.llm.store import stage
+from tidemill.llm.store import freed, stage
 from tidemill.llm.token_counts import byte_letters
 from tidemill.session import scratch_path
 
@@ -89,7 +89,7 @@ LETTERED = f"^(?P<run>{LETTERS})(?P<stops>[.,;:!?%$&*#()/+=-]*)$"
 RUN = regex.compile(LETTERS)
 ENTRY_BYTES = 160
 """What a remembered part takes besides its letters and ids, about."""
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 """Bytes of texts whose distinct words are found together; a longer text is a chunk by itself."""
 
 
@@ -291,7 +291,7 @@ def write(docs: DataFrame, vocabulary: str, folder: str, settings: Settings = Se
 
     rows = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("tie"))
     ordered = rows.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie")
-    return stage(ordered.mapInArrow(run, MANIFEST), "manifest")
+    return stage(ordered.mapInArrow(freed(run), MANIFEST), "manifest")
 
 
 def read(spark: SparkSession, folder: str, manifest: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -325,7 +325,7 @@ def read(spark: SparkSession, folder: str, manifest: DataFrame, settings: Settin
     # One task for each reading row: a number of partitions that is asked for is not coalesced.
     rows = manifest.agg(F.sum(F.ceil(F.col("documents") / step))).first()[0] or 1
     spread = parts.repartition(int(rows), F.col("task"), F.col("number"), F.col("first"))
-    return spread.select("file", "documents", "base", "first").mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary")
+    return spread.select("file", "documents", "base", "first").mapInArrow(freed(run), "doc_id long, start long, n_tokens long, ids binary")
 
 
 def digest(docs: DataFrame, vocabulary: str, settings: Settings = Settings()) -> DataFrame:
